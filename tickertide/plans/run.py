@@ -13,7 +13,7 @@ from tickertide import vocab as V
 from tickertide.functions.scoring import TextScorer
 from tickertide.operators.mentions import find_mentions
 from tickertide.operators.summaries import GRAINS, Grain, accumulate, summarize, touched_periods
-from tickertide.plans.state import RunState
+from tickertide.plans.state import RUN, RunState
 from tickertide.session import cut_lineage
 from tickertide.sources.messages import scan_messages
 from tickertide.sources.tables import (
@@ -132,6 +132,5 @@ def run(
                 for grain in GRAINS:
                     name = f"stock_{grain}_summary"
                     report[grain] = read_table(spark, root, name)
-    for step in (*finished, "run"):
-        state.advance(step, started)
+    state.advance(*finished, RUN, moment=started)
     return run_report(report)

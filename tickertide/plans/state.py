@@ -40,11 +40,11 @@ class RunState:
     def run_watermark(self) -> datetime | None:
         return self.step_watermark(RUN)
 
-    def advance(self, step: str = RUN, moment: datetime | None = None) -> datetime:
-        """Record a run of ``step``, by default of now."""
+    def advance(self, *steps: str, moment: datetime | None = None) -> datetime:
+        """Record a run of the steps, or of the whole run, by default of now."""
         now = datetime.now(timezone.utc)
         moment = moment or now
-        self._append([(step, moment, now)])
+        self._append([(step, moment, now) for step in steps or (RUN,)])
         return moment
 
     def reset(self) -> None:
