@@ -120,9 +120,14 @@ def extract_tickers(
     return F.slice(found, 1, max_tickers) if max_tickers else found
 
 
-def ticker_context(text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW) -> Column:
+def ticker_context(
+    text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW, otherwise: Column | None = None
+) -> Column:
     """Text around the first three exact mentions of ``ticker``.
 
+    Short texts are their own context. A text that holds the ticker only inside other
+    words gives its head, one that does not hold it gives ``otherwise`` or nothing.
+
     ``split`` with a limit gives the gaps before those mentions and stops reading there;
     the running length of the gaps is the position of each mention. The pattern starts
     with the ticker itself, which lets the regex engine skip through the text.
@@ -156,17 +161,14 @@ def ticker_context(text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW)
         F.coalesce(
             windows,
             F.when(text.contains(ticker), F.substring(text, 1, 2 * window)),
-            F.lit(""),
+            F.lit("") if otherwise is None else otherwise,
         )
     )
 
 
 def mention_context(text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW) -> Column:
     """``ticker_context``, or the head of the text where that is empty."""
-    context = ticker_context(text, ticker, window)
-    return F.coalesce(
-        F.when(F.length(context) > 0, context), F.substring(text, 1, V.CONTEXT_FALLBACK)
-    )
+    return ticker_context(text, ticker, window, F.substring(text, 1, V.CONTEXT_FALLBACK))
 
 
 def percent_change(text: Column) -> Column:

@@ -36,6 +36,7 @@ class Grain:
     period: str
     tags: tuple[str, ...]
     maps: tuple[str, ...]
+    length: str
     high_conf: bool = False
     contexts: bool = False
 
@@ -53,14 +54,14 @@ class Grain:
         return F.to_date(ts) if self.name == "daily" else week_start(ts)
 
 
-HOURLY = Grain("hourly", "hour_start", BASE_TAGS, ("subreddits",))
+HOURLY = Grain("hourly", "hour_start", BASE_TAGS, ("subreddits",), "interval 1 hour")
 DAILY = Grain(
     "daily", "date", BASE_TAGS + TOPIC_TAGS, ("price_targets", "subreddits"),
-    high_conf=True, contexts=True,
+    "interval 1 day", high_conf=True, contexts=True,
 )
 WEEKLY = Grain(
     "weekly", "week_start", BASE_TAGS + TOPIC_TAGS,
-    ("price_targets", "daily_breakdown", "subreddits"),
+    ("price_targets", "daily_breakdown", "subreddits"), "interval 7 days",
 )
 GRAINS = {g.name: g for g in (HOURLY, DAILY, WEEKLY)}
 
@@ -239,12 +240,21 @@ def accumulate(stored: DataFrame, new: DataFrame, grain: Grain) -> DataFrame:
 
 
 def touched_periods(mentions: DataFrame, new: DataFrame, grain: Grain) -> DataFrame:
-    """All stored mentions of the (ticker, period) groups that ``new`` touches."""
+    """All stored mentions of the (ticker, period) groups that ``new`` touches.
+
+    The span of the touched periods bounds what is read: by ``event_date`` where the table
+    is laid out by day, and by the time of the mention.
+    """
     start = grain.start(F.col("created_at"))
     touched = new.select("ticker", start.alias(grain.period)).distinct()
-    first = touched.select(F.min(grain.period)).scalar()
+    first = touched.select(F.min(grain.period).cast("timestamp")).scalar()
+    after = touched.select(F.max(grain.period).cast("timestamp") + F.expr(grain.length)).scalar()
+    created = F.col("created_at")
+    wanted = (created >= first) & (created < after)
+    if "event_date" in mentions.columns:
+        wanted = wanted & F.col("event_date").between(F.to_date(first), F.to_date(after))
     return (
-        mentions.where(F.col("created_at") >= first)
+        mentions.where(wanted)
         .withColumn(grain.period, start)
         .join(touched, grain.keys, "left_semi")
         .drop(grain.period)

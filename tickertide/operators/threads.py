@@ -21,8 +21,10 @@ def comment_depth(messages: DataFrame) -> DataFrame:
     grows with the log of the depth. A comment with very many replies is a hot key of the
     join, which ``skew_join`` spreads.
     """
-    comments = messages.where(F.col("message_type") == V.COMMENT).select(
-        "message_id", "parent_id", "created_at"
+    comments = cut_lineage(
+        messages.where(F.col("message_type") == V.COMMENT).select(
+            "message_id", "parent_id", "created_at"
+        )
     )
     parents = comments.select(F.col("message_id").alias("parent_id"), F.lit(True).alias("nested"))
     start = skew_join(comments, parents, "parent_id", "message_id", "left")
@@ -57,13 +59,17 @@ def comment_depth(messages: DataFrame) -> DataFrame:
 
 
 def flatten_threads(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    """Comments depth first with their place in the thread; at most ``limit`` per thread."""
+    """Comments depth first, at most ``limit`` per thread.
+
+    With a limit they have ``place``, their number in the thread. Without one ``path`` is
+    the order: numbering would bring a whole thread, however long, to one task.
+    """
     threaded = comment_depth(messages)
-    order = [F.asc("path")]
-    if limit is not None:
-        threaded = first_rows(threaded, ["thread_id"], order, limit)
-    place = F.row_number().over(Window.partitionBy("thread_id").orderBy(*order))
-    return threaded.withColumn("place", place)
+    if limit is None:
+        return threaded
+    order = F.asc("path")
+    place = F.row_number().over(Window.partitionBy("thread_id").orderBy(order))
+    return first_rows(threaded, ["thread_id"], [order], limit).withColumn("place", place)
 
 
 def daily_thread_pick(
@@ -105,9 +111,11 @@ def thread_limit(
     wanted = messages.where(
         (F.col("message_type") == V.POST) & F.col("subreddit").isin(list(forums))
     ).select("message_id", "subreddit", "created_at")
-    posts = first_rows(
-        wanted, ["subreddit"], [F.desc("created_at"), F.asc("message_id")],
-        min(posts_per_forum, limit),
+    posts = cut_lineage(
+        first_rows(
+            wanted, ["subreddit"], [F.desc("created_at"), F.asc("message_id")],
+            min(posts_per_forum, limit),
+        )
     )
     ids = posts.select(F.col("message_id").alias("thread_id"))
     # At most len(forums) * posts_per_forum rows, so this side is small by construction.

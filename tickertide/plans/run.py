@@ -5,73 +5,54 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide import schemas
 from tickertide import vocab as V
 from tickertide.functions.scoring import TextScorer
-from tickertide.operators.mentions import find_mentions
-from tickertide.operators.summaries import GRAINS, Grain, accumulate, summarize, touched_periods
+from tickertide.operators.mentions import find_mentions, small_universe
+from tickertide.operators.summaries import GRAINS
 from tickertide.plans.state import RUN, RunState
 from tickertide.session import cut_lineage
 from tickertide.sources.messages import scan_messages
 from tickertide.sources.tables import (
+    accumulate_summary,
     create_tables,
     mentions_append_new,
-    overwrite,
     read_table,
-    summary_upsert,
-    table_exists,
+    refresh_summary,
 )
 
 STAGES = ("extract", "analyze", "persist", "aggregate")
 
 
 def save_summaries(
-    spark: SparkSession, root: str, mentions: DataFrame, added: DataFrame, mode: str = "exact"
+    spark: SparkSession, root: str, mentions: DataFrame, added: DataFrame | None = None
 ) -> None:
     """Bring the three summary tables up to date with a batch of stored mentions.
 
-    ``exact`` recomputes every period the batch touches from the stored mentions, so it
-    may run again after a failure. ``accumulate`` adds the mentions that were new to
-    stored sums and reads no old mentions; after a failure an exact run puts it right.
+    Without ``added`` every period the batch touches is recomputed from the stored
+    mentions, which may run again after a failure. With ``added``, the mentions that were
+    new, these are added to stored sums and no old mentions are read; after a failure a
+    run without it puts the tables right.
     """
     for grain in GRAINS.values():
-        name = f"stock_{grain.name}_summary"
-        if mode == "accumulate":
-            rows = _accumulated(spark, f"{root}/{name}_sums", added, grain)
+        if added is None:
+            refresh_summary(spark, root, mentions, grain)
         else:
-            stored = read_table(spark, root, "stock_mentions")
-            rows = summarize(touched_periods(stored, mentions, grain), grain)
-        summary_upsert(spark, root, name, rows, grain.keys)
-
-
-def _accumulated(spark: SparkSession, path: str, added: DataFrame, grain: Grain) -> DataFrame:
-    """Add a batch to the stored sums; each state of the sums is a folder of its own."""
-    batch = summarize(added, grain, keep_sums=True)
-    versions = spark.read.parquet(path) if table_exists(spark, path) else None
-    number = 0
-    if versions is not None:
-        number = versions.agg(F.max("version")).head()[0] + 1
-        stored = versions.where(F.col("version") == number - 1).drop("version")
-        touched = batch.select(*grain.keys)
-        total = accumulate(stored, batch, grain)
-        overwrite(total, f"{path}/version={number}")
-        batch = spark.read.parquet(f"{path}/version={number}").join(touched, grain.keys, "left_semi")
-    else:
-        overwrite(batch, f"{path}/version={number}")
-        batch = spark.read.parquet(f"{path}/version={number}")
-    return batch.select(*schemas.columns(f"stock_{grain.name}_summary"))
+            accumulate_summary(spark, root, added, grain)
 
 
-def save_batch(spark: SparkSession, root: str, mentions: DataFrame, mode: str = "exact") -> DataFrame:
-    """Append new mentions and refresh the summaries; returns the mentions that were new."""
-    found = cut_lineage(mentions)
-    added = mentions_append_new(spark, root, found)
-    if not found.isEmpty():
-        save_summaries(spark, root, found, added, mode)
-    return added
+def save_batch(spark: SparkSession, root: str, mentions: DataFrame, mode: str = "exact") -> None:
+    """Append new mentions and refresh the summaries. ``mentions`` is read several times."""
+    if mentions.isEmpty():
+        return
+    if mode == "accumulate":
+        added = mentions_append_new(spark, root, mentions, keep_added=True)
+        save_summaries(spark, root, mentions, added)
+    else:
+        mentions_append_new(spark, root, mentions)
+        save_summaries(spark, root, mentions)
 
 
 def run_report(tables: dict[str, DataFrame], status: str = "success") -> DataFrame:
@@ -104,8 +85,9 @@ def run(
     """Run the wanted stages and report the rows of each table.
 
     ``stages`` may leave out later ones. ``hours_back`` replaces the stored watermark.
-    ``arrival='ingestion_timestamp'`` does not lose messages that arrive late. A step's
-    watermark moves to the start of the run only after the step has succeeded.
+    ``arrival='ingestion_timestamp'`` does not lose messages that arrive late.
+    ``mode='accumulate'`` adds to the stored summaries instead of recomputing the touched
+    periods. Watermarks move to the start of the run, and only after it has succeeded.
     """
     wanted = set(stages)
     state = RunState(spark, f"{root}/etl_state")
@@ -115,22 +97,30 @@ def run(
     last = state.step_watermark("extraction")
     if hours_back is not None:
         last = started - timedelta(hours=hours_back)
-    found = scan_messages(messages, last, limit, arrival=arrival)
-    report = {"messages": found}
+    messages = scan_messages(messages, last, limit, arrival=arrival)
     finished = ["extraction"]
-    if "analyze" in wanted:
-        mentions = cut_lineage(find_mentions(found, universe, scorer))
-        report["mentions"] = mentions
+    if "analyze" not in wanted:
+        report = run_report({"messages": messages})
+    else:
+        known = universe if isinstance(universe, list) else small_universe(universe)
+        read = Observation()
+        if known is not None:
+            # One pass over the messages, so they can be counted on the way.
+            messages = messages.observe(read, F.count("*").alias("n"))
+        mentions = cut_lineage(find_mentions(messages, universe if known is None else known, scorer))
+        tables = {"mentions": mentions}
+        if known is None:
+            tables = {"messages": messages, **tables}
         finished.append("analysis")
-        if "persist" in wanted:
-            added = mentions_append_new(spark, root, mentions)
+        if "persist" in wanted and "aggregate" in wanted:
+            save_batch(spark, root, mentions, mode)
+            finished = list(V.STEPS)
+            tables |= {g: read_table(spark, root, f"stock_{g}_summary") for g in GRAINS}
+        elif "persist" in wanted:
+            mentions_append_new(spark, root, mentions)
             finished.append("stock_persistence")
-            if "aggregate" in wanted:
-                if not mentions.isEmpty():
-                    save_summaries(spark, root, mentions, added, mode)
-                finished += [s for s in V.STEPS if s not in finished]
-                for grain in GRAINS:
-                    name = f"stock_{grain}_summary"
-                    report[grain] = read_table(spark, root, name)
+        report = run_report(tables)
+        if known is not None:
+            report = report.select(F.lit(read.get["n"]).alias("messages"), "*")
     state.advance(*finished, RUN, moment=started)
-    return run_report(report)
+    return report

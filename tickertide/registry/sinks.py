@@ -14,7 +14,6 @@ from tickertide.plans import run as R
 from tickertide.plans.state import RunState, current_watermarks
 from tickertide.registry import derived, scans
 from tickertide.registry.base import (
-    clean,
     deduped,
     listing_frame,
     mentions,
@@ -377,7 +376,7 @@ def _new_thread_comments(spark, sf):
     )
 
 
-_LIMIT, _PER_FORUM, _PER_POST = 400, 60, 3
+_LIMIT, _PER_FORUM, _PER_POST = 5000, 1000, 3
 _FORUM_ORDER = "list_position(['wallstreetbets', 'stocks', 'investing', 'stockmarket', 'options'], subreddit)"
 
 
@@ -471,12 +470,13 @@ def _run_report(spark, sf):
 # -- streams --
 
 
-def message_stream(spark, sf, df=None):
-    """The messages as a file stream."""
+def file_stream(df, files_per_batch=1000):
+    """The rows written to files and read back as a stream."""
+    spark = df.sparkSession
     path = scratch_path(spark, "stream")
-    rows = raw(spark, sf) if df is None else df
-    rows.write.parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    df.write.parquet(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return reader.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def _drain(writer):
@@ -487,7 +487,7 @@ def _drain(writer):
 @query("stateful_dedup", select("select distinct message_id from clean", "clean"))
 def _stateful_dedup(spark, sf):
     out = scratch_path(spark, "out")
-    unique = dedup_stream(message_stream(spark, sf), "40 days").select("message_id", "document_id")
+    unique = dedup_stream(file_stream(raw(spark, sf)), "40 days").select("message_id", "document_id")
     _drain(
         unique.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(spark, "progress")).outputMode("append")
@@ -519,7 +519,7 @@ def _add_windows(grain):
     def _tumbling_stream(spark, sf):
         """The same windows over a stream, in update mode."""
         out = scratch_path(spark, "totals")
-        stream = message_stream(spark, sf, mentions(spark, sf))
+        stream = file_stream(mentions(spark, sf))
         totals = window_totals(stream, grain, "40 days")
         _drain(
             totals.writeStream.foreachBatch(write_updates(out)).outputMode("update")
@@ -535,15 +535,12 @@ for _grain in G.GRAINS.values():
 
 @query("incremental_stream", select(summary_sql(G.WEEKLY), "mentions"))
 def _incremental_stream(spark, sf):
-    """Messages as a stream in two files; the weekly table at the end equals one full run.
-
-    Copies of a message are dropped first, so that which copy comes first does not matter.
-    """
+    """Messages as a stream of two batches; the weekly table at the end equals a full run."""
     root = scratch_path(spark, "tables")
     tables.create_tables(spark, root)
-    stream = message_stream(spark, sf, clean(spark, sf).repartition(2, "message_id"))
+    stream = file_stream(raw(spark, sf).repartitionByRange(2, "message_id"), files_per_batch=1)
     _drain(incremental(
-        stream, root, universe(spark, sf), scratch_path(spark, "progress"), delay="40 days"
+        stream, root, universe(spark, sf), scratch_path(spark, "progress")
     ))
     return tables.read_table(spark, root, "stock_weekly_summary").select(*metric_columns(G.WEEKLY))
 

@@ -14,9 +14,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split skewed join partitions even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cut ranked groups to their first rows before the exchange, for any number of rows.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Bytes a shuffle task should read; well below what an executor core can hold in memory.
+TASK_BYTES = 128 * 1024 * 1024
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session made elsewhere."""
@@ -25,6 +30,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for an input of this size.
+
+    Adaptive execution joins the small ones again, so too many cost little.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-input_bytes // TASK_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def local_session(cores: str | int = "*", app: str = "tickertide", **conf: str) -> SparkSession:
     """One-JVM session for tests and the benchmark."""
     builder = (

@@ -6,7 +6,7 @@ partitions, cut with a reliable checkpoint, and then written over those partitio
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -22,6 +22,7 @@ from tickertide.operators.merge import (
     staging_ack,
     with_etl_timestamp,
 )
+from tickertide.operators.summaries import Grain, accumulate, summarize
 from tickertide.operators.universe import listing_symbols, require_rows
 from tickertide.session import cut_lineage
 from tickertide.sources.listing import listing_scan
@@ -36,6 +37,7 @@ PARTITION_TIME = {
 }
 PARTITION = "event_date"
 CLUSTER = ("source", "subreddit", "message_type")
+LISTED_DAYS = 1000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -117,25 +119,80 @@ def overwrite(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
-def mentions_append_new(spark: SparkSession, root: str, mentions: DataFrame) -> DataFrame:
-    """Append the mentions whose message and ticker are not stored; returns what was added.
+def same_periods(
+    stored: DataFrame, batch: DataFrame, period: Callable[[Column], Column] = F.to_date
+) -> DataFrame:
+    """Rows of the stored table in the day folders of the periods that the batch touches.
 
-    The stored side is read for the days of the batch only: a message keeps its date.
+    Up to ``LISTED_DAYS`` periods are named one by one, so that only their folders are
+    read; beyond that the span from the first to the last one is.
+    """
+    touched = period(F.col(PARTITION)).cast("date")
+    periods = batch.select(touched.alias("period")).distinct()
+    listed = [r.period for r in periods.limit(LISTED_DAYS + 1).collect()]
+    if len(listed) <= LISTED_DAYS:
+        return stored.where(touched.isin(listed))
+    first, last = periods.agg(F.min("period"), F.max("period")).head()
+    return stored.where(touched.between(first, last))
+
+
+def mentions_append_new(
+    spark: SparkSession, root: str, mentions: DataFrame, keep_added: bool = False
+) -> DataFrame | None:
+    """Append the mentions whose message and ticker are not stored.
+
+    ``mentions`` is read more than once, so it should be a table or a checkpoint. The
+    stored side is read for the days of the batch only: a message keeps its date. With
+    ``keep_added`` the added rows are returned.
     """
     batch = with_event_date(with_etl_timestamp(mentions), "created_at")
-    days = batch.select(PARTITION).distinct()
-    stored = read_table(spark, root, "stock_mentions").join(days, PARTITION, "left_semi")
-    added = cut_lineage(new_rows(batch, stored, ["message_id", "ticker"]))
-    partition_and_cluster(added.drop(PARTITION), f"{root}/stock_mentions", "created_at")
-    return added.drop(PARTITION)
+    stored = same_periods(read_table(spark, root, "stock_mentions"), batch)
+    added = new_rows(batch, stored, ["message_id", "ticker"]).drop(PARTITION)
+    if keep_added:
+        added = cut_lineage(added)
+    partition_and_cluster(added, f"{root}/stock_mentions", "created_at")
+    return added if keep_added else None
+
+
+def refresh_summary(spark: SparkSession, root: str, mentions: DataFrame, grain: Grain) -> None:
+    """Recompute the summary of every period that ``mentions`` touches, all tickers of it.
+
+    Only the touched folders are read and written, nothing stored is merged, and running
+    it again gives the same table.
+    """
+    batch = with_event_date(mentions, "created_at")
+    period = grain.start if grain.name == "weekly" else F.to_date
+    rows = same_periods(read_table(spark, root, "stock_mentions"), batch, period)
+    partition_and_cluster(
+        summarize(rows, grain), f"{root}/stock_{grain.name}_summary", grain.period, mode="overwrite"
+    )
+
+
+def accumulate_summary(spark: SparkSession, root: str, added: DataFrame, grain: Grain) -> None:
+    """Add new mentions to the stored sums of their periods; the means follow.
+
+    The sums are a table of their own beside the summary. No old mention is read. The
+    same mentions must not be added twice.
+    """
+    table = f"stock_{grain.name}_summary"
+    path = f"{root}/{table}_sums"
+    batch = cut_lineage(
+        with_event_date(summarize(added, grain, keep_sums=True), grain.period)
+    )
+    total = batch.drop(PARTITION)
+    if table_exists(spark, path):
+        stored = same_periods(spark.read.parquet(path), batch).drop(PARTITION)
+        total = cut_lineage(accumulate(stored, total, grain))
+    partition_and_cluster(total, path, grain.period, mode="overwrite")
+    summary = total.select(*schemas.columns(table))
+    partition_and_cluster(summary, f"{root}/{table}", grain.period, mode="overwrite")
 
 
 def summary_upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, keys: list[str]) -> int:
     """Replace or add summary rows, rewriting the touched days only."""
     time = PARTITION_TIME[name]
     fresh = cut_lineage(with_event_date(with_etl_timestamp(batch), time))
-    days = fresh.select(PARTITION).distinct()
-    stored = read_table(spark, root, name).join(days, PARTITION, "left_semi")
+    stored = same_periods(read_table(spark, root, name), fresh)
     merged = cut_lineage(replace_upsert(stored, fresh, keys))
     partition_and_cluster(merged.drop(PARTITION), f"{root}/{name}", time, mode="overwrite")
     return fresh.count()
