@@ -163,7 +163,8 @@ def top_contexts(mentions: DataFrame, keys: list[str], n: int = V.TOP_CONTEXTS)
         keys, order, n,
     )
     item = F.struct(
-        (-F.col("confidence")).alias("rank"), "message_id", "context", "confidence",
+        F.isnull("confidence").alias("unsure"), (-F.col("confidence")).alias("rank"),
+        "message_id", "context", "confidence",
         F.col("sentiment_compound").alias("sentiment"),
     )
     return best.groupBy(*keys).agg(
@@ -222,11 +223,13 @@ def accumulate(stored: DataFrame, new: DataFrame, grain: Grain) -> DataFrame:
     def best(old: Column, fresh: Column) -> Column:
         none = F.array().cast("array<struct<context:string,confidence:double,sentiment:double>>")
         joined = F.concat(F.coalesce(old, none), F.coalesce(fresh, none))
+
+        def sure(item: Column) -> Column:
+            return F.coalesce(item["confidence"], F.lit(float("-inf")))
+
         by_confidence = F.array_sort(
             joined,
-            lambda x, y: F.when(x["confidence"] > y["confidence"], -1)
-            .when(x["confidence"] < y["confidence"], 1)
-            .otherwise(0),
+            lambda x, y: F.when(sure(x) > sure(y), -1).when(sure(x) < sure(y), 1).otherwise(0),
         )
         return F.slice(by_confidence, 1, V.TOP_CONTEXTS)
 
