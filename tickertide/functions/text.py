@@ -15,6 +15,7 @@ from tickertide import vocab as V
 
 _NOT_AFTER_WORD = f"(?<!{V.WORD_CHAR})"
 _NOT_BEFORE_WORD = f"(?!{V.WORD_CHAR})"
+_BETWEEN_WORDS = V.WORD_CHAR.replace("[", "[^", 1) + "+"
 _TICKER_WORD = f"{_NOT_AFTER_WORD}([A-Za-z]{{2,5}}+)(?![A-Za-z])"
 _PERCENT = rf"([+-]?[0-9]+(?:\.[0-9]+)?){V.SPACE_CHAR}?%"
 _PRICE = r"\$?[0-9]+(?:\.[0-9]+)?\$?"
@@ -28,24 +29,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def fold_case(text: Column) -> Column:
     """Lower case, with the four non-ASCII letters that equal i, k or s in any-case search."""
-    return F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
+    letters = "\u0130\u0131\u017f\u212a"
+    special = F.lit(False)
+    for letter in letters:
+        special = special | text.contains(letter)
+    # translate reads letter by letter, so it is kept to the few texts that need it.
+    return F.lower(F.when(special, F.translate(text, letters, "iisk")).otherwise(text))
+
+
+def _single(terms: Iterable[str]) -> Column:
+    return F.array(*[F.lit(t.lower()) for t in terms if t.isalpha()])
 
 
 def words_and_text(text: Column) -> Column:
-    """Struct of the folded text and its distinct whole words."""
+    """Struct of the folded text and the trading terms among its whole words."""
+    terms = [t for group in V.TERM_GROUPS for t in group]
     return let(
         fold_case(text),
         lambda t: F.struct(
             t.alias("text"),
-            F.array_distinct(F.split(t, F.lit(V.WORD_CHAR.replace("[", "[^", 1) + "+"))).alias("words"),
+            F.array_intersect(F.split(t, F.lit(_BETWEEN_WORDS)), _single(terms)).alias("words"),
         ),
     )
 
 
-def _single(terms: Iterable[str]) -> Column:
-    return F.array(*[F.lit(t.lower()) for t in terms if t.isalpha()])
-
-
 def _phrase_found(folded: Column, phrase: str) -> Column:
     # The regex runs only where the plain substring occurs.
     phrase = phrase.lower()
@@ -63,7 +70,7 @@ def _rare_terms(folded: Column, terms: Iterable[str], emoji: Iterable[str] = ())
 
 
 def has_term(parts: Column, terms: Iterable[str], emoji: Iterable[str] = ()) -> Column:
-    """True if ``words_and_text`` holds one of the terms as whole words."""
+    """True if one of the terms, all from ``vocab``, is in ``words_and_text``."""
     terms = tuple(terms)
     found = F.arrays_overlap(parts["words"], _single(terms))
     for rare in _rare_terms(parts["text"], terms, emoji):
@@ -210,19 +217,22 @@ def price_target(text: Column) -> Column:
 
 def float_text(value: Column) -> Column:
     """Shortest decimal text: plain digits from 1e-4 up to 1e16, exponent form outside."""
-    text = value.cast("string")
-    size = F.abs(value)
-    plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    mantissa = F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
-    power = F.regexp_extract(text, r"E-?([0-9]+)$", 1)
-    sign = F.when(text.contains("E-"), "e-").otherwise("e+")
-    exponent = F.concat(mantissa, sign, F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power))
-    return (
-        F.when(~text.contains("E"), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
+
+    def spelled(text: Column) -> Column:
+        size = F.abs(text.cast("double"))
+        plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+        plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+        mantissa = F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+        power = F.regexp_extract(text, r"E-?([0-9]+)$", 1)
+        power = F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power)
+        sign = F.when(text.contains("E-"), "e-").otherwise("e+")
+        return (
+            F.when(~text.contains("E"), text)
+            .when((size >= 1e-4) & (size < 1e16), plain)
+            .otherwise(F.concat(mantissa, sign, power))
+        )
+
+    return let(value.cast("string"), spelled)
 
 
 def extract_signals(text: Column) -> Column:
@@ -265,10 +275,9 @@ def lexicon_hits(text: Column) -> Column:
 
 
 def keyword_sentiment(text: Column) -> Column:
-    """+1, -1 or 0 by substring; positive parts win."""
-    lowered = F.lower(text)
+    """+1, -1 or 0 by substring in any case; positive parts win."""
 
     def any_of(parts: Iterable[str]) -> Column:
-        return lowered.rlike("|".join(parts))
+        return text.rlike("(?i)" + "|".join(parts))
 
     return F.when(any_of(V.POSITIVE_PARTS), 1).when(any_of(V.NEGATIVE_PARTS), -1).otherwise(0)

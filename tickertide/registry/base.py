@@ -11,7 +11,7 @@ from tickertide.operators.dedup import dedup_by_ingestion
 from tickertide.operators.mentions import find_mentions, small_universe
 from tickertide.operators.universe import volume_universe
 from tickertide.registry import derived
-from tickertide.session import scratch_path
+from tickertide.session import prepare, scratch_path
 from tickertide.sources.messages import scan_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +39,27 @@ def as_text_times(df: DataFrame) -> DataFrame:
     )
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """A derived table, written by the first query of a session that reads it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, name)
+        build(spark, sf_dir).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.raw_messages(spark, sf_dir)
+    """The raw_messages table: every event, the whole text of every document."""
+
+    def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # The given events are one file; without this the table would be one file too.
+        return derived.raw_messages(spark, sf_dir).repartition("document_id")
+
+    return written_once(prepare(spark), sf_dir, "raw_messages", spread)
 
 
 def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +80,8 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions written once, for queries that read them several times."""
-    path = scratch_path(spark, "mentions")
-    mentions(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    """The stock_mentions table, the input of the summaries."""
+    return written_once(spark, sf_dir, "stock_mentions", mentions)
 
 
 def listing_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,8 +167,7 @@ def metric_columns(grain: G.Grain) -> list[str]:
 def _add_summary(grain: G.Grain) -> None:
     @query(f"{grain.name}_summary", select(summary_sql(grain), "mentions"))
     def _summary(spark, sf):
-        rows = stored_mentions(spark, sf) if grain.contexts else mentions(spark, sf)
-        return G.summarize(rows, grain).select(*metric_columns(grain))
+        return G.summarize(stored_mentions(spark, sf), grain).select(*metric_columns(grain))
 
 
 for _grain in G.GRAINS.values():
@@ -180,7 +179,7 @@ for _grain in G.GRAINS.values():
     {_SUM['c']} / count(*) as avg_confidence, cast(date_trunc('hour', created_at) as varchar) as hour_start
     from mentions group by ticker, hour_start""", "mentions"))
 def _mention_metrics(spark, sf):
-    return G.hourly_summary(mentions(spark, sf)).select(
+    return G.hourly_summary(stored_mentions(spark, sf)).select(
         "ticker", "mention_count", "avg_sentiment", "avg_confidence", "hour_start"
     )
 
@@ -193,7 +192,7 @@ def _mention_metrics(spark, sf):
 def _weighted_sentiment(spark, sf):
     """One ticker gets weights of 0 and so its plain mean."""
     weight = F.when(F.col("ticker") == "AMD", 0.0).otherwise(F.col("confidence"))
-    rows = mentions(spark, sf).withColumn("confidence", weight)
+    rows = stored_mentions(spark, sf).withColumn("confidence", weight)
     return G.weekly_summary(rows).select("ticker", "weighted_sentiment", "week_start")
 
 
@@ -201,14 +200,14 @@ def _weighted_sentiment(spark, sf):
     f"select ticker, strftime(created_at, '%Y-%m-%d') as date, {tags_sql(G.DAILY.tags)} from mentions group by 1, 2",
     "mentions"))
 def _signal_counts(spark, sf):
-    sums = G.mention_sums(mentions(spark, sf), G.DAILY)
+    sums = G.mention_sums(stored_mentions(spark, sf), G.DAILY)
     return sums.select("ticker", "date", *G.DAILY.counts[1:])
 
 
 @query("high_conf_sentiment", select(
     f"select ticker, strftime(created_at, '%Y-%m-%d') as date, {HIGH_SQL} from mentions group by 1, 2", "mentions"))
 def _high_conf_sentiment(spark, sf):
-    sums = G.mention_sums(mentions(spark, sf), G.DAILY)
+    sums = G.mention_sums(stored_mentions(spark, sf), G.DAILY)
     return G.means(sums, G.DAILY).select("ticker", "date", "high_conf_sentiment")
 
 
@@ -217,7 +216,7 @@ def _high_conf_sentiment(spark, sf):
       count(*) as n from (select ticker, created_at, unnest(string_split(signals, ',')) as tag from mentions)
     where starts_with(tag, 'PT:') group by 1, 2, 3""", "mentions"))
 def _price_target_histogram(spark, sf):
-    sums = G.mention_sums(mentions(spark, sf), G.DAILY)
+    sums = G.mention_sums(stored_mentions(spark, sf), G.DAILY)
     return G.count_map_rows(sums, G.DAILY.keys, "price_targets")
 
 
@@ -225,7 +224,7 @@ def _price_target_histogram(spark, sf):
     f"""select ticker, {PERIODS['hourly']} as hour_start, subreddit as key, count(*) as n from mentions
     where subreddit is not null group by 1, 2, 3""", "mentions"))
 def _subreddit_histogram(spark, sf):
-    sums = G.mention_sums(mentions(spark, sf), G.HOURLY)
+    sums = G.mention_sums(stored_mentions(spark, sf), G.HOURLY)
     return G.count_map_rows(sums, G.HOURLY.keys, "subreddits")
 
 
@@ -233,7 +232,7 @@ def _subreddit_histogram(spark, sf):
     f"""select ticker, {PERIODS['weekly']} as week_start, strftime(created_at, '%Y-%m-%d') as key, count(*) as n
     from mentions group by 1, 2, 3""", "mentions"))
 def _daily_breakdown(spark, sf):
-    sums = G.mention_sums(mentions(spark, sf), G.WEEKLY)
+    sums = G.mention_sums(stored_mentions(spark, sf), G.WEEKLY)
     return G.count_map_rows(sums, G.WEEKLY.keys, "daily_breakdown")
 
 
@@ -245,7 +244,7 @@ TOP_SQL = """select ticker, strftime(created_at, '%Y-%m-%d') as date, rn as plac
 
 @query("top_contexts", select(TOP_SQL, "mentions"))
 def _top_contexts(spark, sf):
-    dated = mentions(spark, sf).withColumn("date", F.to_date("created_at"))
+    dated = stored_mentions(spark, sf).withColumn("date", F.to_date("created_at"))
     best = G.top_contexts(dated, ["ticker", "date"])
     rows = best.select("ticker", "date", F.posexplode("top_contexts").alias("pos", "c"))
     return rows.select(
@@ -306,7 +305,7 @@ def _daily_delete_insert(spark, sf):
       cast(count(distinct subreddit) as bigint) as forums from mentions group by 1, 2""", "mentions"))
 def _summary_json(spark, sf):
     """Summaries with their maps as JSON text, as a sink without nested types takes them."""
-    flat = as_json_columns(G.hourly_summary(mentions(spark, sf)))
+    flat = as_json_columns(G.hourly_summary(stored_mentions(spark, sf)))
     forums = F.json_object_keys("subreddits")
     return flat.select("ticker", "hour_start", "mention_count", F.size(forums).cast("bigint").alias("forums"))
 

@@ -303,7 +303,7 @@ def _mention_exists(spark, sf):
     f"select * from ({summary_sql(G.HOURLY)}) where ticker = 'AAPL' and hour_start = '2024-01-15 12:00:00'",
     "mentions"))
 def _point_lookup(spark, sf):
-    hourly = G.hourly_summary(mentions(spark, sf)).select(*metric_columns(G.HOURLY))
+    hourly = G.hourly_summary(stored_mentions(spark, sf)).select(*metric_columns(G.HOURLY))
     key = {"ticker": "AAPL", "hour_start": datetime(2024, 1, 15, 12)}
     return merge.point_lookup(hourly, **key)
 
@@ -513,13 +513,13 @@ def _period_text(df, grain):
 def _add_windows(grain):
     @query(f"tumbling_{grain.name}", select(_window_sql(grain), "mentions"))
     def _tumbling(spark, sf):
-        return _period_text(_plain_totals(window_totals(mentions(spark, sf), grain), grain), grain)
+        return _period_text(_plain_totals(window_totals(stored_mentions(spark, sf), grain), grain), grain)
 
     @query(f"tumbling_{grain.name}_stream", select(_window_sql(grain), "mentions"))
     def _tumbling_stream(spark, sf):
         """The same windows over a stream, in update mode."""
         out = scratch_path(spark, "totals")
-        stream = file_stream(mentions(spark, sf))
+        stream = file_stream(stored_mentions(spark, sf))
         totals = window_totals(stream, grain, "40 days")
         _drain(
             totals.writeStream.foreachBatch(write_updates(out)).outputMode("update")

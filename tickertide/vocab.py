@@ -43,6 +43,9 @@ OPTIONS_TERMS = (
     "option", "call", "put", "strike", "expiry", "contracts", "leaps", "covered", "naked",
     "straddle", "strangle", "iron condor", "spread",
 )
+TERM_GROUPS = (
+    BUY_TERMS, SELL_TERMS, HOLD_TERMS, EARNINGS_TERMS, NEWS_TERMS, TECHNICAL_TERMS, OPTIONS_TERMS,
+)
 
 # -- fixed values: substring sentiment, positive is tested first --
 POSITIVE_PARTS = ("bullish", "buy", "up")
