@@ -19,6 +19,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -67,8 +69,12 @@ def check(spark, con, sf_dir: str, name: str, query, sql: str | None) -> tuple[s
     begin = time.time()
     result = con.execute(sql)
     sql_columns = [d[0] for d in result.description]
+    sql_types = {d[0]: SPARK_TYPE.get(str(d[1]), str(d[1])) for d in result.description}
     sql_rows = result.fetchall()
-    return compare(df.columns, rows, sql_columns, sql_rows), len(rows), spent, time.time() - begin
+    problem = compare(df.columns, rows, sql_columns, sql_rows)
+    if problem is None and dict(df.dtypes) != sql_types:
+        problem = f"types {[(n, t, sql_types[n]) for n, t in df.dtypes if t != sql_types[n]]}"
+    return problem, len(rows), spent, time.time() - begin
 
 
 if __name__ == "__main__":

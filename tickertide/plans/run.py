@@ -121,6 +121,6 @@ def run(
             finished.append("stock_persistence")
         report = run_report(tables)
         if known is not None:
-            report = report.select(F.lit(read.get["n"]).alias("messages"), "*")
+            report = report.select(F.lit(read.get["n"]).cast("bigint").alias("messages"), "*")
     state.advance(*finished, RUN, moment=started)
     return report

@@ -92,7 +92,7 @@ def _content_contains(spark, sf):
 
 
 @query("created_hour", select(
-    "select hour(created_at) as created_hour, count(*) as n from raw group by 1", "raw"))
+    "select cast(hour(created_at) as int) as created_hour, count(*) as n from raw group by 1", "raw"))
 def _created_hour(spark, sf):
     return C.created_hour(raw(spark, sf)).groupBy("created_hour").agg(F.count("*").alias("n"))
 
@@ -180,7 +180,7 @@ def _dedup_by_event_time(spark, sf):
 
 
 @query("dedup_join", select(
-    """select n.message_id, n.n_words from (select message_id, length(title) as n_words from deduped
+    """select n.message_id, n.n_words from (select message_id, cast(length(title) as int) as n_words from deduped
         where title is not null) n join (select * from (select *, row_number() over (partition by message_id
           order by ingestion_timestamp desc, event_id desc) as rn from raw) where rn = 1) d
       on n.message_id = d.message_id where d.score > 10""", "raw", "deduped"))
@@ -222,6 +222,12 @@ def _week_start(spark, sf):
     )
 
 
+@query("day", select(
+    "select strftime(created_at, '%Y-%m-%d') as day, count(*) as n from raw group by 1", "raw"))
+def _day(spark, sf):
+    return raw(spark, sf).groupBy(F.to_date("created_at").alias("day")).agg(F.count("*").alias("n"))
+
+
 @query("format_times", select(
     """select document_id, strftime(created_at, '%Y-%m-%d') as day_text,
       strftime(created_at, '%Y-%m-%d %H:%M:%S') as ts_text,

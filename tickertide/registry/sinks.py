@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickertide import schemas
 from tickertide import vocab as V
 from tickertide.operators import analysis as A
 from tickertide.operators import merge, summaries as G, threads
@@ -60,6 +63,22 @@ def _mentions_append_new(spark, sf):
     )
 
 
+@query("create_tables", select(
+    """select 'stock_mentions' as name, count(*) as n from mentions union all select unnest([
+      'stock_daily_summary', 'stock_hourly_summary', 'stock_weekly_summary']), 0""", "mentions"))
+def _create_tables(spark, sf):
+    """New tables are readable at once; creating them again keeps what they hold."""
+    root = scratch_path(spark, "tables")
+    tables.create_tables(spark, root)
+    tables.mentions_append_new(spark, root, stored_mentions(spark, sf))
+    tables.create_tables(spark, root)
+    sizes = [
+        tables.read_table(spark, root, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name in sorted(schemas.TABLES)
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 @query("summary_upsert", select(summary_sql(G.DAILY), "mentions"))
 def _summary_upsert(spark, sf):
     """Two batches, the touched days recomputed and upserted, equal one full run."""
@@ -446,6 +465,20 @@ def _advance_watermark(spark, sf):
     return state.all_watermarks().select("step", "last_run")
 
 
+@query("reset_state", select(
+    "select count(distinct step) as steps, 0 as after_reset from log", "raw", more=_LOG_SQL))
+def _reset_state(spark, sf):
+    path = scratch_path(spark, "state")
+    run_log(spark, sf).write.parquet(path)
+    state = RunState(spark, path)
+    steps = state.all_watermarks().agg(F.count("*").alias("steps"))
+    before = steps.head().steps
+    state.reset()
+    return state.all_watermarks().agg(
+        F.lit(before).cast("bigint").alias("steps"), F.count("*").cast("int").alias("after_reset")
+    )
+
+
 @query("stage_switches", select(
     """select count(*) as messages, (select count(*) from mentions) as mentions, 'success' as status
     from clean where created_at > timestamp '2024-01-31' - interval 720 hour""", "clean", "mentions"))

@@ -155,7 +155,7 @@ CTES = {
       else substr(text, 1, {V.CONTEXT_FALLBACK}) end as context from contexts""",
     "scored": f"""select *, case when b + s > 0 then b / (b + s) else 0.0 end as pos,
         case when b + s > 0 then s / (b + s) else 0.0 end as neg,
-        case when b + s > 0 then 0.0 else 1.0 end as neu from (
+        cast(case when b + s > 0 then 0 else 1 end as double) as neu from (
       select *, cast({_BUYS} as double) as b, cast({_SELLS} as double) as s from (
         select *, {FOLD.format(f'substr(context, 1, {V.SCORER_CHARS})')} as f512 from chosen))""",
     "mentions": f"""select s.message_id, s.ticker, t.author, t.created_at, t.subreddit, t.url,
