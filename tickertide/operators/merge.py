@@ -6,6 +6,8 @@ key can be split between tasks; the batch side has one row per key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +21,15 @@ RAW_UPDATED = (
 )
 
 
-def latest_per_key(batch: DataFrame, keys: list[str], latest: list[str]) -> DataFrame:
-    """One row per key, so that a batch with repeated keys can be merged.
-
-    Rows with a null key match nothing and therefore all stay.
-    """
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(key).isNotNull()
+def latest_per_key(
+    batch: DataFrame, keys: list[str], latest: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """One row per key, so that a batch with repeated keys can be merged, and the rows
+    with a null key, which match nothing."""
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     order = [F.desc_nulls_last(c) for c in latest if c in batch.columns] + tie_break(batch)
     single = first_rows(batch.where(known), keys, order or [F.asc(keys[0])])
-    return single.unionByName(batch.where(~known))
+    return single, batch.where(~known)
 
 
 def existing_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,8 +39,9 @@ def existing_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataF
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Batch rows whose key is not stored yet, once each."""
-    single = latest_per_key(batch, keys, ["etl_timestamp"])
-    return single.join(stored.select(*keys).distinct(), keys, "left_anti")
+    single, keyless = latest_per_key(batch, keys, ["etl_timestamp"])
+    added = single.join(stored.select(*keys).distinct(), keys, "left_anti")
+    return added.select(*batch.columns).unionByName(keyless)
 
 
 def key_exists(stored: DataFrame, **key: object) -> bool:
@@ -58,9 +59,10 @@ def point_lookup(stored: DataFrame, **key: object) -> DataFrame:
 
 def replace_upsert(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Matching rows are replaced as a whole, others are added."""
-    single = latest_per_key(batch, keys, ["etl_timestamp"])
+    single, keyless = latest_per_key(batch, keys, ["etl_timestamp"])
     kept = stored.join(single.select(*keys), keys, "left_anti")
-    return kept.select(*stored.columns).unionByName(single.select(*stored.columns))
+    parts = [df.select(*stored.columns) for df in (kept, single, keyless)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def raw_upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -68,10 +70,8 @@ def raw_upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
     Every stored copy of a message is updated; document_id and submission_id stay.
     """
-    single = latest_per_key(batch, ["message_id"], ["ingestion_timestamp", "created_at"])
-    fresh = single.select(
-        "message_id", F.struct(*RAW_UPDATED).alias("new")
-    ).where(F.col("message_id").isNotNull())
+    single, keyless = latest_per_key(batch, ["message_id"], ["ingestion_timestamp", "created_at"])
+    fresh = single.select("message_id", F.struct(*RAW_UPDATED).alias("new"))
     joined = stored.join(fresh, "message_id", "left")
 
     def updated(name: str) -> Column:
@@ -81,15 +81,16 @@ def raw_upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
     matched = joined.select(*[updated(c).alias(c) for c in stored.columns])
     ids = stored.select("message_id").distinct()
-    added = single.join(ids, "message_id", "left_anti").select(*stored.columns)
-    return matched.unionByName(added)
+    added = single.join(ids, "message_id", "left_anti")
+    parts = [df.select(*stored.columns) for df in (matched, added, keyless)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def affected_rows(stored: DataFrame, batch: DataFrame, key: str = "message_id") -> DataFrame:
     """One row: how many stored rows a merge updates and how many it adds."""
-    single = latest_per_key(batch, [key], ["ingestion_timestamp", "created_at"])
+    single, keyless = latest_per_key(batch, [key], ["ingestion_timestamp", "created_at"])
     copies = stored.groupBy(key).agg(F.count("*").alias("copies"))
-    return single.join(copies, key, "left").agg(
+    return single.unionByName(keyless).join(copies, key, "left").agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("updated"),
         F.count_if(F.col("copies").isNull()).alias("inserted"),
     )

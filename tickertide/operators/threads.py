@@ -13,8 +13,11 @@ from tickertide.operators.skew import skew_join
 from tickertide.session import cut_lineage
 
 
-def comment_depth(messages: DataFrame) -> DataFrame:
-    """Comments with ``depth``, ``thread_id`` (the post) and ``path`` from the top comment.
+def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
+    """Comments with ``depth`` and ``thread_id`` (the post).
+
+    ``with_path`` adds ``path``, the comments from the top one down; ordering by it goes
+    through a thread depth first.
 
     ``message_id`` is unique. A comment whose parent is no comment has depth 0. Each round
     doubles the distance every comment has looked up the tree, so the number of joins
@@ -36,7 +39,7 @@ def comment_depth(messages: DataFrame) -> DataFrame:
             F.when(nested, F.col("parent_id")).alias("at"),
             F.when(nested, 1).otherwise(0).alias("depth"),
             F.when(~nested, F.col("parent_id")).alias("thread_id"),
-            F.array(F.struct("created_at", "message_id")).alias("path"),
+            *([F.array(F.struct("created_at", "message_id")).alias("path")] if with_path else []),
         )
     )
     while not (waiting := state.where(F.col("at").isNotNull())).isEmpty():
@@ -45,14 +48,14 @@ def comment_depth(messages: DataFrame) -> DataFrame:
             F.col("at").alias("next_at"),
             F.col("depth").alias("more"),
             F.col("thread_id").alias("next_thread"),
-            F.col("path").alias("above"),
+            *([F.col("path").alias("above")] if with_path else []),
         )
         moved = skew_join(waiting, above, "at", "message_id").select(
             "message_id", "parent_id", "created_at",
             F.col("next_at").alias("at"),
             (F.col("depth") + F.col("more")).alias("depth"),
             F.col("next_thread").alias("thread_id"),
-            F.concat("above", "path").alias("path"),
+            *([F.concat("above", "path").alias("path")] if with_path else []),
         )
         state = cut_lineage(state.where(F.col("at").isNull()).unionByName(moved))
     return state.drop("at")
@@ -64,7 +67,7 @@ def flatten_threads(messages: DataFrame, limit: int | None = None) -> DataFrame:
     With a limit they have ``place``, their number in the thread. Without one ``path`` is
     the order: numbering would bring a whole thread, however long, to one task.
     """
-    threaded = comment_depth(messages)
+    threaded = comment_depth(messages, with_path=True)
     if limit is None:
         return threaded
     order = F.asc("path")
@@ -119,7 +122,7 @@ def thread_limit(
     )
     ids = posts.select(F.col("message_id").alias("thread_id"))
     # At most len(forums) * posts_per_forum rows, so this side is small by construction.
-    replies = comment_depth(messages).join(F.broadcast(ids), "thread_id", "left_semi")
+    replies = comment_depth(messages, with_path=True).join(F.broadcast(ids), "thread_id", "left_semi")
     order = Window.partitionBy("thread_id").orderBy("path")
     taken = (
         first_rows(replies, ["thread_id"], [F.asc("path")], comments_per_post)

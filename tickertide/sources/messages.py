@@ -47,12 +47,15 @@ def recent_valid_messages(messages: DataFrame, n: int) -> DataFrame:
 
 
 def scan_staging(
-    spark: SparkSession, path: str, schema: str | None = None, limit: int | None = V.STAGED_PER_RUN
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    limit: int | None = V.STAGED_PER_RUN,
+    key: str = "document_id",
 ) -> DataFrame:
-    """Staged JSON documents, so many per run."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    staged = reader.json(path)
-    return staged.limit(limit) if limit else staged
+    """Staged JSON documents, the first by document id up to so many per run."""
+    staged = spark.read.schema(schema).json(path)
+    return staged.orderBy(key).limit(limit) if limit else staged
 
 
 def staging_with_key(spark: SparkSession, path: str, schema: str, key: str = "document_id") -> DataFrame:
