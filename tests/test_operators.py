@@ -126,8 +126,10 @@ def test_skew_join_equals_join(spark):
     right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left"):
         plain = left.join(right, "k", how).select("n", "k", "v")
-        spread = skew.skew_join(left, right, "k", "n", how).select("n", "k", "v")
+        spread = skew.skew_join(left, right, "k", F.xxhash64("n"), how).select("n", "k", "v")
         assert rows(plain, "n") == rows(spread, "n")
+        by_partition = skew.skew_join(left, right, "k", how=how).select("n", "k", "v")
+        assert rows(plain, "n") == rows(by_partition, "n")
     assert rows(skew.hot_keys(left, "k")) == [(7,)]
 
 
@@ -411,3 +413,33 @@ def test_times_and_json(spark):
     whole = spark.createDataFrame([(at(1),), (datetime(2024, 1, 1, 0, 0, 0, 500000),)], "t timestamp")
     assert [r[0] for r in whole.select(T.format_iso(F.col("t"))).collect()] == [
         "2024-01-01T00:00:00", "2024-01-01T00:00:00.500000"]
+
+
+# -- skew in upserts --
+
+
+def test_hot_key_is_spread_in_raw_upsert(spark):
+    """A third of the stored rows share one id, yet no task gets a third of the rows."""
+    base = spark.createDataFrame([], schemas.RAW_MESSAGES)
+    stored = base.unionByName(
+        spark.range(0, 30000, 1, 64).select(
+            F.concat(F.lit("d"), "id").alias("document_id"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("m"), "id")).alias("message_id"),
+        ), allowMissingColumns=True)
+    batch = base.unionByName(
+        spark.createDataFrame([("x", "hot", "new"), ("y", "m1", "new")],
+                              "document_id string, message_id string, content string"),
+        allowMissingColumns=True)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        merged = merge.raw_upsert(stored, batch)
+        assert merged.where("content = 'new'").count() == 10001
+        sizes = merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+        assert sizes.agg(F.max("n")).head()[0] < 7500
+        assert merged.count() == 30000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickertide.operators.skew import skew_join
+
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key in the given order."""
@@ -40,8 +42,11 @@ def dedup_join(df: DataFrame, messages: DataFrame, condition: Column | None = No
     ``etl_timestamp`` is the one it sees.
     """
     latest = first_rows(messages, ["message_id"], [F.desc("etl_timestamp"), *tie_break(messages)])
-    left, right = df.alias("t"), latest.alias("d")
-    joined = left.join(right, F.col("t.message_id") == F.col("d.message_id"))
+    joined = skew_join(
+        df.select("message_id", F.struct("*").alias("t")),
+        latest.select("message_id", F.struct("*").alias("d")),
+        "message_id",
+    )
     if condition is not None:
         joined = joined.where(condition)
     return joined.select("t.*")

@@ -1,7 +1,7 @@
 """Upserts as functions of a stored table and a batch.
 
-``left`` joins and anti-joins keep the large stored side on the left, where a frequent
-key can be split between tasks; the batch side has one row per key.
+The batch side has one row per key, and of the stored side only distinct keys go into an
+anti-join, so a frequent key is one row there.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.operators.dedup import first_rows, tie_break
+from tickertide.operators.skew import skew_join
 
 # -- fixed values: columns a matching row takes from the batch --
 RAW_UPDATED = (
@@ -68,11 +69,12 @@ def replace_upsert(stored: DataFrame, batch: DataFrame, keys: list[str]) -> Data
 def raw_upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored messages with their updated columns taken from the batch, plus new messages.
 
-    Every stored copy of a message is updated; document_id and submission_id stay.
+    Every stored copy of a message is updated; document_id and submission_id stay. A
+    message with very many stored copies is spread over the tasks of the join.
     """
     single, keyless = latest_per_key(batch, ["message_id"], ["ingestion_timestamp", "created_at"])
     fresh = single.select("message_id", F.struct(*RAW_UPDATED).alias("new"))
-    joined = stored.join(fresh, "message_id", "left")
+    joined = skew_join(stored, fresh, "message_id", how="left")
 
     def updated(name: str) -> Column:
         if name not in RAW_UPDATED:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
@@ -18,14 +18,28 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     return counts.where(F.col("n") * HOT_SHARE > total).select(key)
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: Column | None = None,
+    how: str = "inner",
+) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per key.
 
-    Left rows of a hot key are spread by the hash of column ``spread`` and only the right
-    rows of hot keys are repeated. ``how`` is inner or left.
+    Left rows of a hot key are spread by ``spread``, a hash that differs between them, and
+    only the right rows of hot keys are repeated. By default they are spread by the
+    partition they come from, which stays the same when a task runs again. ``how`` is
+    inner or left.
+
+    Adaptive execution splits a hot key only in joins that read both sides straight from
+    an exchange, so not where one side was just ranked on the same key.
     """
     hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    source = F.spark_partition_id() if spread is None else spread
+    # Rows without a key match nothing; spread as well, they do not pile up in one task.
+    spread_out = F.col("_hot") | F.col(key).isNull()
+    salt = F.when(spread_out, F.pmod(source, F.lit(SALTS)).cast("int")).otherwise(0)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
         F.array(F.lit(0))
     )

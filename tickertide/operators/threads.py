@@ -30,7 +30,7 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
         )
     )
     parents = comments.select(F.col("message_id").alias("parent_id"), F.lit(True).alias("nested"))
-    start = skew_join(comments, parents, "parent_id", "message_id", "left")
+    start = skew_join(comments, parents, "parent_id", F.xxhash64("message_id"), "left")
     nested = F.coalesce(F.col("nested"), F.lit(False))
     state = cut_lineage(
         start.select(
@@ -50,7 +50,7 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
             F.col("thread_id").alias("next_thread"),
             *([F.col("path").alias("above")] if with_path else []),
         )
-        moved = skew_join(waiting, above, "at", "message_id").select(
+        moved = skew_join(waiting, above, "at", F.xxhash64("message_id")).select(
             "message_id", "parent_id", "created_at",
             F.col("next_at").alias("at"),
             (F.col("depth") + F.col("more")).alias("depth"),

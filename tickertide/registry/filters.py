@@ -124,22 +124,22 @@ def _posts_by_activity(spark, sf):
 
 @query("feed_sort", select(
     """select * from (select 'new' as mode, message_id from deduped where message_type = 'REDDIT_POST'
-      order by created_at desc, message_id limit 50)
+      order by created_at desc, message_id limit 100)
     union all select * from (select 'top', message_id from deduped where message_type = 'REDDIT_POST'
-      and created_at >= timestamp '2024-01-20' order by score desc, created_at desc, message_id limit 50)""",
+      and created_at >= timestamp '2024-01-20' order by score desc, created_at desc, message_id limit 100)""",
     "deduped"))
 def _feed_sort(spark, sf):
     rows = deduped(spark, sf)
-    newest = C.feed(rows, "new").limit(50).select(F.lit("new").alias("mode"), "message_id")
-    top = C.feed(rows, "top", F.lit("2024-01-20").cast("timestamp")).limit(50)
+    newest = C.feed(rows, "new").limit(V.POSTS_PER_FORUM).select(F.lit("new").alias("mode"), "message_id")
+    top = C.feed(rows, "top", F.lit("2024-01-20").cast("timestamp")).limit(V.POSTS_PER_FORUM)
     return newest.unionByName(top.select(F.lit("top").alias("mode"), "message_id"))
 
 
 @query("score_rank", select(
-    "select message_id, score from deduped order by score desc, message_id limit 40", "deduped"))
+    "select message_id, score from deduped order by score desc, message_id", "deduped"))
 def _score_rank(spark, sf):
     rows = deduped(spark, sf).select("message_id", "score")
-    return rows.orderBy(F.desc("score"), "message_id").limit(40)
+    return rows.orderBy(F.desc("score"), "message_id")
 
 
 @query("forum_union", select(

@@ -217,13 +217,12 @@ def _append_summary_row(spark, sf):
 
 @query("partition_and_cluster", select(
     """select strftime("timestamp", '%Y-%m-%d') as event_date, subreddit, message_type, count(*) as n from raw
-    where "timestamp" >= timestamp '2024-01-12' and "timestamp" < timestamp '2024-01-16' group by 1, 2, 3""", "raw"))
+    group by 1, 2, 3""", "raw"))
 def _partition_and_cluster(spark, sf):
-    """Write by day and read four days back; only their folders are read."""
+    """Write by day and count by the partition and cluster columns."""
     path = scratch_path(spark, "messages")
     tables.partition_and_cluster(raw(spark, sf), path)
-    days = spark.read.parquet(path).where("event_date >= '2024-01-12' and event_date < '2024-01-16'")
-    return days.groupBy("event_date", "subreddit", "message_type").agg(F.count("*").alias("n"))
+    return spark.read.parquet(path).groupBy("event_date", "subreddit", "message_type").agg(F.count("*").alias("n"))
 
 
 @query("listing_insert", select("select ticker, exchange, company_name from listed", "listed"))
@@ -566,6 +565,22 @@ for _grain in G.GRAINS.values():
     _add_windows(_grain)
 
 
+@query("tumbling_hour_day_week", select(
+    " union all ".join(
+        f"select '{g.name}' as grain, ticker, cast(date_trunc('{unit}', created_at) as timestamp)::varchar as start, "
+        "count(*) as n from mentions group by 2, 3"
+        for g, unit in ((G.HOURLY, "hour"), (G.DAILY, "day"), (G.WEEKLY, "week"))), "mentions"))
+def _tumbling_hour_day_week(spark, sf):
+    rows = stored_mentions(spark, sf)
+    parts = [
+        window_totals(rows, g).select(
+            F.lit(g.name).alias("grain"), "ticker", F.col(g.period).alias("start"), F.col("mention_count").alias("n")
+        )
+        for g in G.GRAINS.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("incremental_stream", select(summary_sql(G.WEEKLY), "mentions"))
 def _incremental_stream(spark, sf):
     """Messages as a stream of two batches; the weekly table at the end equals a full run."""
