@@ -131,6 +131,8 @@ def test_skew_join_equals_join(spark):
         by_partition = skew.skew_join(left, right, "k", how=how).select("n", "k", "v")
         assert rows(plain, "n") == rows(by_partition, "n")
     assert rows(skew.hot_keys(left, "k")) == [(7,)]
+    semi = skew.skew_semi_join(left, right, ["k"])
+    assert rows(semi.select("n"), "n") == rows(left.join(right, "k", "left_semi").select("n"), "n")
 
 
 def test_large_universe_join_equals_inline(spark):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.operators.dedup import first_rows, tie_break
-from tickertide.operators.skew import skew_join
+from tickertide.operators.skew import skew_join, skew_semi_join
 
 # -- fixed values: columns a matching row takes from the batch --
 RAW_UPDATED = (
@@ -35,7 +35,7 @@ def latest_per_key(
 
 def existing_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Batch rows whose key is stored."""
-    return batch.join(stored.select(*keys).distinct(), keys, "left_semi")
+    return skew_semi_join(batch, stored, keys)
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

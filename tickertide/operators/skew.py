@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +48,11 @@ def skew_join(
     salted = left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
     repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def skew_semi_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` whose keys occur in ``right``; a null key occurs nowhere."""
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    packed = F.struct(*keys)
+    wanted = right.select(packed.alias("_key")).distinct()
+    return skew_join(left.where(known).withColumn("_key", packed), wanted, "_key").drop("_key")

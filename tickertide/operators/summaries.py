@@ -18,6 +18,7 @@ from tickertide import vocab as V
 from tickertide.functions.text import float_text, signal_price
 from tickertide.functions.values import format_date, hour_start, merge_counts, week_start
 from tickertide.operators.dedup import first_rows
+from tickertide.operators.skew import skew_semi_join
 
 EXACT = "decimal(18,6)"
 BASE_TAGS = ("BUY", "SELL", "HOLD")
@@ -256,10 +257,6 @@ def touched_periods(mentions: DataFrame, new: DataFrame, grain: Grain) -> DataFr
     wanted = (created >= first) & (created < after)
     if "event_date" in mentions.columns:
         wanted = wanted & F.col("event_date").between(F.to_date(first), F.to_date(after))
-    return (
-        mentions.where(wanted)
-        .withColumn(grain.period, start)
-        .join(touched, grain.keys, "left_semi")
-        .drop(grain.period)
-    )
+    stored = mentions.where(wanted).withColumn(grain.period, start)
+    return skew_semi_join(stored, touched, grain.keys).drop(grain.period)
 
