@@ -235,8 +235,9 @@ def test_raw_upsert_keeps_ids(spark):
         ("d4", None, "no id", 5, None, at(3)), ("d5", None, "no id", 6, None, at(3)),
     ]
     assert rows(merge.affected_rows(stored, batch)) == [(2, 3)]
-    merged, left, counts = tables.merge_staged(stored, batch)
-    assert merged.count() == 6 and left.count() == 0 and rows(counts) == [(2, 3)]
+    merged, counts = tables.merge_staged(stored, batch)
+    assert merged.count() == 6 and rows(counts) == [(2, 3)]
+    assert [r.document_id for r in merge.staging_ack(batch, batch.where("score > 4")).collect()] == ["d3"]
 
 
 def test_field_merge(spark):
@@ -257,7 +258,7 @@ def test_save_records(spark):
     with pytest.raises(TypeError):
         tables.save_records(spark, [3], schemas.RUN_STATE)
     stamped = spark.createDataFrame([("a", at(1)), ("b", None)], "k string, etl_timestamp timestamp")
-    assert rows(tables.save_records(spark, stamped, "").where("k = 'a'")) == [("a", at(1))]
+    assert rows(tables.save_records(spark, stamped).where("k = 'a'")) == [("a", at(1))]
 
 
 def test_create_tables(spark, tmp_path):

@@ -96,7 +96,7 @@ def _summary_upsert(spark, sf):
 
 @query("save_records", select("select document_id, score, 1 as stamped from raw", "raw"))
 def _save_records(spark, sf):
-    saved = tables.save_records(spark, raw(spark, sf).select("document_id", "score"), "")
+    saved = tables.save_records(spark, raw(spark, sf).select("document_id", "score"))
     return saved.select(
         "document_id", "score", F.col("etl_timestamp").isNotNull().cast("int").alias("stamped")
     )
@@ -279,7 +279,7 @@ def _create_like(spark, sf):
         f"from raw where {_BATCH}", f"from raw where {_BATCH} and content is distinct from '[deleted]'")))
 def _merge_staged(spark, sf):
     """Staged documents without the deleted ones, merged into the messages."""
-    merged, _, _ = tables.merge_staged(*_stored_and_batch(spark, sf))
+    merged, _ = tables.merge_staged(*_stored_and_batch(spark, sf))
     return merged.groupBy("message_id").agg(F.count("*").alias("n"), F.max("score").alias("score"))
 
 

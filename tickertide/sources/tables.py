@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from tickertide import schemas
 from tickertide.functions.values import json_text
+from tickertide.operators.clean import drop_deleted
 from tickertide.operators.merge import (
     affected_rows,
     new_rows,
     raw_upsert,
     replace_upsert,
-    staging_ack,
     with_etl_timestamp,
 )
 from tickertide.operators.summaries import Grain, accumulate, summarize
@@ -94,8 +94,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
-def save_records(spark: SparkSession, records: DataFrame | Iterable, schema: str) -> DataFrame:
-    """Rows of a DataFrame or of dicts and objects with attributes, with ``etl_timestamp``."""
+def save_records(
+    spark: SparkSession, records: DataFrame | Iterable, schema: str | None = None
+) -> DataFrame:
+    """Rows of a DataFrame or of dicts and objects with attributes, with ``etl_timestamp``.
+
+    The latter are a handful of records a program holds; tables come as DataFrames.
+    """
     if isinstance(records, DataFrame):
         return with_etl_timestamp(records)
     rows = []
@@ -213,19 +218,14 @@ def temp_result_table(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
-def merge_staged(stored: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Merged messages, the staged documents that remain, and the counts of the merge.
+def merge_staged(stored: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages merged with the staged documents, and the counts of the merge.
 
-    Deleted rows are not merged; every document that was read is acknowledged.
+    Deleted rows are not merged. Once the result is written, ``staging_ack`` gives the
+    documents that still wait.
     """
-    from tickertide.operators.clean import drop_deleted
-
     wanted = drop_deleted(staged)
-    return (
-        raw_upsert(stored, wanted),
-        staging_ack(staged, staged),
-        affected_rows(stored, wanted),
-    )
+    return raw_upsert(stored, wanted), affected_rows(stored, wanted)
 
 
 def ensure_listing_table(spark: SparkSession, path: str, sources: dict[str, str]) -> bool:
