@@ -4,9 +4,7 @@ import pytest
 from compare import check, connect
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from tickertide.registry.base import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -29,3 +27,5 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
