@@ -19,7 +19,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
