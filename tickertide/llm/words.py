@@ -33,9 +33,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def join_hashes(*columns: np.ndarray) -> np.ndarray:
     """One hash for each row of hashes; the order of the columns matters."""
-    out = np.zeros(len(columns[0]), U64)
-    for column in columns:
-        out = mix(out * U64(3) + column)
+    out = columns[0]
+    with np.errstate(over="ignore"):
+        for column in columns[1:]:
+            out = mix(out * U64(3) + column)
     return out
 
 
