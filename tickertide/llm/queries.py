@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from tickertide.llm import q01  # noqa: F401
+from tickertide.llm import q01, q02, q03, q05, q07, q10  # noqa: F401
 from tickertide.llm.registry import ORACLES, QUERIES  # noqa: F401
