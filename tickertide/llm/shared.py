@@ -108,10 +108,14 @@ def write_sorted(rows: DataFrame, folder: str, bits: int) -> None:
     written.applyInArrow(write, "n bigint").agg(F.sum("n")).collect()
 
 
-def find(folder: str, bits: int, keys: np.ndarray, names: list[str], group: np.ndarray | None = None) -> dict[str, np.ndarray]:
+def find(
+    folder: str, bits: int, keys: np.ndarray, names: list[str],
+    group: np.ndarray | None = None, also: dict[str, np.ndarray] | None = None,
+) -> dict[str, np.ndarray]:
     """For each key whether it is stored (``found``) and its columns, 0 where it is not.
 
-    ``group`` names the shard of each key where that is not its leading bits.
+    ``group`` names the shard of each key where that is not its leading bits. ``also`` has
+    further columns that must be equal, where a key may stand there more than once.
     """
     where = shards(keys, bits) if group is None else group
     order = np.lexsort((keys, where)) if group is not None else np.argsort(keys)
@@ -125,9 +129,22 @@ def find(folder: str, bits: int, keys: np.ndarray, names: list[str], group: np.n
             continue
         stored = read_arrays(f"{folder}/{name}")
         asked = sorted_keys[begin:end]
+        if not len(stored["key"]):
+            continue
         at = np.searchsorted(stored["key"], asked)
         at[at == len(stored["key"])] = 0
-        hit = stored["key"][at] == asked if len(stored["key"]) else np.zeros(len(asked), bool)
+        hit = stored["key"][at] == asked
+        rest = np.flatnonzero(hit) if also else []
+        while len(rest):  # step over entries of the same key that differ
+            rows = order[begin:end][rest]
+            odd = np.logical_or.reduce([stored[n][at[rest]] != c[rows] for n, c in also.items()])
+            rest = rest[odd]
+            at[rest] += 1
+            gone = at[rest] >= len(stored["key"])
+            at[rest[gone]] = 0
+            gone |= stored["key"][at[rest]] != asked[rest]
+            hit[rest[gone]] = False
+            rest = rest[~gone]
         rows = order[begin:end][hit]
         out["found"][rows] = True
         for n in names:
