@@ -24,19 +24,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.llm.shared import (
-    U64, find, listed, read_arrays, shard_bits, shard_of, shards, shared_path, write_arrays, write_sorted,
+    U64, find, listed, read_arrays, shard_bits, shards, shared_path, write_arrays, write_sorted,
 )
-from tickertide.llm.words import hashed_words, join_hashes, mix, pieces, plain, runs
+from tickertide.llm.words import hashed_words, join_hashes, pieces, plain, runs
+from tickertide.session import cut_lineage
 
 # Tokens besides words: where a text begins (a context only) and its end.
 START, END = U64(0x5354415254), U64(0x454E44)
 # A word with more than 1/HOT_SHARE of all tokens is frequent, so there are fewer than that.
 HOT_SHARE = 1000
+SAMPLE = 64  # frequent words are taken from one text in so many
 COUNT_BYTES = 12 << 20  # text bytes counted at once
 SCORE_BYTES = 8 << 20  # text bytes scored at once
 
@@ -64,41 +65,58 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    """Columns of numbers as one block: sorted first column as differences, bytes by place."""
-    parts = []
-    for i, column in enumerate(columns):
-        column = np.ascontiguousarray(column, U64)
-        if i == 0:
-            column = np.diff(column, prepend=U64(0))
-        parts.append(column.view(np.uint8).reshape(-1, 8).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
+def pack(words: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
+    """Rows as one block: the first words as runs, numbers in as few bytes as they need."""
+    at = runs(words[0])
+    parts = [words[0][at], np.diff(np.append(at, len(words[0]))).astype(np.uint32), *words[1:]]
+    kinds = []
+    for n in numbers:
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(n) or n.max() <= np.iinfo(k).max)
+        kinds.append(kind().itemsize)
+        parts.append(n.astype(kind))
+    head = np.array([len(words[0]), len(at), len(words), len(kinds), *kinds], np.uint64)
+    return b"".join([head.tobytes(), *[x.tobytes() for x in parts]])
+
+
+def unpack(block: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    n, n_runs, n_words, n_numbers = np.frombuffer(block, U64, 4).astype(int)
+    kinds = np.frombuffer(block, U64, n_numbers, 32).astype(int)
+    place = 32 + 8 * n_numbers
+
+    def take(kind: type, count: int) -> np.ndarray:
+        nonlocal place
+        out = np.frombuffer(block, kind, count, place)
+        place += out.nbytes
+        return out
 
-def unpack(block: bytes, width: int) -> list[np.ndarray]:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(width, 8, -1)
-    columns = [np.ascontiguousarray(c.T).view(U64).ravel() for c in data]
-    columns[0] = np.cumsum(columns[0], dtype=U64)
-    return columns
+    values, lengths = take(U64, n_runs), take(np.uint32, n_runs)
+    words = [np.repeat(values, lengths), *[take(U64, n) for _ in range(n_words - 1)]]
+    return words, [take(np.dtype(f"u{k}"), n).astype(np.int64) for k in kinds]
 
 
-def blocks(shard: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """A row for each shard with the rows of it; rows are sorted by shard."""
-    at = runs(shard)
-    ends = [*at[1:], len(shard)]
-    packed = [pack([c[a:b] for c in columns]) for a, b in zip(at, ends)]
+def deal(words: list[np.ndarray], numbers: list[np.ndarray], hot: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Blocks of n-grams for the tasks that own them, one per shard."""
+    shard = shards(words[0], bits) if len(words) == 1 else gram_shards(words, hot, bits)
+    order = np.argsort(shard.astype(np.uint16 if bits <= 16 else np.uint32), kind="stable")
+    shard = shard[order]
+    words, numbers = [w[order] for w in words], [n[order] for n in numbers]
+    at = runs(shard).tolist()
+    packed = [pack([w[a:b] for w in words], [n[a:b] for n in numbers]) for a, b in zip(at, [*at[1:], len(shard)])]
     return pa.record_batch([pa.array(shard[at], pa.int32()), pa.array(packed, pa.binary())], names=["shard", "block"])
 
 
-def merged(table: pa.Table, width: int) -> tuple[int, list[np.ndarray], np.ndarray]:
-    """Shard, distinct rows of its blocks and the sum of their last column, by hash."""
-    parts = [unpack(b.as_py(), width) for b in table["block"]]
-    columns = [np.concatenate([p[i] for p in parts]) for i in range(width)]
-    key = columns[0] if width == 2 else join_hashes(*columns[:-1])
+def merged(table: pa.Table) -> tuple[int, list[np.ndarray], list[np.ndarray]]:
+    """Shard, distinct rows of its blocks by hash, and the sums of their numbers."""
+    parts = [unpack(b.as_py()) for b in table["block"]]
+    words, numbers = ([np.concatenate(c) for c in zip(*[p[i] for p in parts])] for i in (0, 1))
+    return table["shard"][0].as_py(), *added_up(words, numbers)
+
+
+def added_up(words: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    key = join_hashes(*words)
     order = np.argsort(key)
     at = runs(key[order])
-    sums = np.add.reduceat(columns[-1][order], at)
-    return table["shard"][0].as_py(), [c[order[at]] for c in columns[:-1]], sums
+    return [w[order[at]] for w in words], [np.add.reduceat(n[order], at) for n in numbers]
 
 
 def is_hot(words: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
@@ -118,17 +136,6 @@ def context_key(words: list[np.ndarray]) -> np.ndarray:
     return words[0] if len(words) == 1 else join_hashes(*words)
 
 
-def deal(words: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Blocks of n-grams for the tasks that own them."""
-    if len(words) == 1:
-        shard = shards(words[0], bits)
-        order = np.argsort(words[0])
-    else:
-        shard = gram_shards(words, hot, bits)
-        order = np.lexsort((words[0], shard))
-    return blocks(shard[order], [*[w[order] for w in words], counts[order]])
-
-
 def count_grams(order: int, hot: np.ndarray, bits: int):
     """Counts the n-grams of texts, a piece of them at a time."""
 
@@ -149,7 +156,7 @@ def count_grams(order: int, hot: np.ndarray, bits: int):
                 spot = np.delete(np.arange(len(codes)), begins)
                 columns = [codes[np.maximum(spot - k, first[spot])] for k in range(order - 1, -1, -1)]
                 columns, counts = distinct(columns, len(words))
-                yield deal([words[c] for c in columns], counts, hot, bits)
+                yield deal([words[c] for c in columns], [counts], hot, bits)
 
     return run
 
@@ -180,23 +187,17 @@ def count_of_counts(counts: np.ndarray) -> np.ndarray:
     return np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
 
 
-def merge_words(folder: str):
-    """Writes the distinct words of a shard with their counts."""
-
-    def run(table: pa.Table) -> pa.Table:
-        shard, (words,), counts = merged(table, 2)
-        write_arrays(f"{folder}/words/{shard}", {"key": words, "count": counts.astype(np.int64)})
-        return pa.table({"key": words.view(np.int64), "n": counts.astype(np.int64)})
-
-    return run
-
-
 def merge_grams(folder: str, order: int, hot: np.ndarray, bits: int):
     """Writes the n-grams of a shard and the sums of their contexts; hands the distinct
-    n-grams without their first word on to the next lower order."""
+    n-grams without their first word on to the next lower order.
+
+    Numbers of an n-gram are how many different words stand before it and how often it
+    occurs; in the highest order, only the latter.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        shard, words, counts = merged(table, order + 1)
+        shard, words, numbers = merged(table)
+        counts, often = numbers[0], numbers[-1]
         key = join_hashes(*words)  # sorted
         many = counts > 1
         write_arrays(f"{folder}/once{order}/{shard}", {"key": key[~many]})
@@ -204,50 +205,37 @@ def merge_grams(folder: str, order: int, hot: np.ndarray, bits: int):
         context = context_key(words[:-1])
         by = np.argsort(context)
         at = runs(context[by])
-        sums = {"total": np.add.reduceat(counts[by].astype(np.int64), at)}
+        sums = {"total": np.add.reduceat(counts[by], at)}
         for k in (1, 2, 3):
             seen = counts == k if k < 3 else counts >= 3
             sums[f"n{k}"] = np.add.reduceat(seen[by].astype(np.int32), at)
         shared = is_hot([w[by[at]] for w in words[:-1]], hot)
         write_arrays(f"{folder}/context{order}/{shard}", {"key": context[by[at]], **sums, "shared": shared.astype(np.int8)})
         write_arrays(f"{folder}/seen{order}/{shard}", {"n": count_of_counts(counts)})
-        rest = words[1:]
-        if order == 2:
-            w = np.sort(rest[0])
-            at = runs(w)
-            out = deal([w[at]], np.diff(np.append(at, len(w))), hot, bits)
-        else:
-            out = deal(*unique_words(rest), hot, bits)
-        return pa.Table.from_batches([out])
+        return pa.Table.from_batches([deal(*added_up(words[1:], [np.ones(len(key), np.int64), often]), hot, bits)])
 
     return run
 
 
-def unique_words(words: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    key = join_hashes(*words)
-    order = np.argsort(key)
-    at = runs(key[order])
-    return [w[order[at]] for w in words], np.diff(np.append(at, len(order)))
-
-
-def merge_endings(folder: str):
-    """Writes for the words of a shard how many different words stand before each."""
+def merge_words(folder: str):
+    """Writes how often each word of a shard occurs and how many different words stand
+    before it."""
 
     def run(table: pa.Table) -> pa.Table:
-        shard, (words,), counts = merged(table, 2)
-        write_arrays(f"{folder}/ends/{shard}", {"key": words, "count": counts.astype(np.int64)})
-        write_arrays(f"{folder}/seen1/{shard}", {"n": np.append(count_of_counts(counts), [counts.sum(), (counts > 2).sum()]).astype(np.int64)})
-        return pa.table({"n": pa.array([len(words)], pa.int64())})
+        shard, (words,), (before, often) = merged(table)
+        write_arrays(f"{folder}/words/{shard}", {"key": words, "count": often, "before": before})
+        write_arrays(f"{folder}/seen1/{shard}", {"n": np.append(count_of_counts(before), [before.sum(), (before > 2).sum()])})
+        return pa.table({"n": often})
 
     return run
 
 
-def read_rows(files: list[str], names: list[str], only_shared: bool):
+def read_shared(files: list[str], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in batch.column(0).to_pylist():
                 arrays = read_arrays(files[i])
-                keep = arrays["shared"] > 0 if only_shared else slice(None)
+                keep = arrays["shared"] > 0
                 yield pa.record_batch([pa.array(arrays[n][keep].astype(np.int64 if n != "key" else U64).view(np.int64)) for n in names], names=names)
 
     return run
@@ -282,7 +270,7 @@ class Model:
         lowest = 1 / (self.words + 1)
         if not total:
             return np.full(len(words), lowest)
-        c = find(f"{self.folder}/ends", self.bits, words, ["count"])["count"].astype(np.int64)
+        c = find(f"{self.folder}/words", self.bits, words, ["before"])["before"]
         d = np.array([0.0, *self.discounts[1]])
         left = sum(a * b for a, b in zip(self.discounts[1], n)) / total
         return (c - d[np.minimum(c, 3)]) / total + left * lowest
@@ -376,22 +364,14 @@ def fit(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
     spark = texts.sparkSession
     bits = shard_bits(spark)
     folder = shared_path(spark, "ngrams")
-    texts = texts.select(text)
-    none = np.zeros(0, U64)
-
-    found = texts.mapInArrow(count_words(bits), BLOCK).groupBy("shard").applyInArrow(merge_words(folder), "key bigint, n bigint")
-    # Words are collected only if they are frequent: at most HOT_SHARE rows.
-    total, n_words, most = found.agg(F.sum("n"), F.count("*"), F.max("n")).first()
-    total, n_words = total or 0, n_words or 0
-    hot = none
-    if total:
-        stored = spark.range(1 << bits).mapInArrow(frequent(f"{folder}/words", total / HOT_SHARE), "key bigint")
-        hot = np.sort(np.array([r.key for r in stored.collect()] + [int(START)], np.int64).view(U64))
+    texts = texts.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    hot = frequent_words(texts)
 
     step = texts.mapInArrow(count_grams(order, hot, bits), BLOCK)
     for k in range(order, 1, -1):
         step = step.groupBy("shard").applyInArrow(merge_grams(folder, k, hot, bits), BLOCK)
-    step.groupBy("shard").applyInArrow(merge_endings(folder), "n bigint").agg(F.sum("n")).collect()
+    words = step.groupBy("shard").applyInArrow(merge_words(folder), "n bigint")
+    total, n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
 
     rates, endings = {}, [0, 0, 0, 0]
     for k in range(1, order + 1):
@@ -407,33 +387,30 @@ def fit(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
             names = ["key", "total", "n1", "n2", "n3"]
             files = sorted(f"{folder}/context{k}/{x}" for x in listed(f"{folder}/context{k}"))
             rows = spark.range(0, len(files), 1, max(1, min(len(files), 1 << bits))).mapInArrow(
-                read_rows(files, names, True), ", ".join(f"{n} bigint" for n in names)
+                read_shared(files, names), ", ".join(f"{n} bigint" for n in names)
             )
             write_sorted(rows.groupBy("key").agg(*[F.sum(n).alias(n) for n in names[1:]]), f"{folder}/shared{k}", 1)
     return Model(folder, bits, order, hot, total, n_words, rates, endings)
 
 
-def count_words(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, piece in pieces(plain(batch.column(0)), COUNT_BYTES):
-                hashes = tokens(piece)[0]
-                words = np.sort(hashes[hashes != START])
-                at = runs(words)
-                yield deal([words[at]], np.diff(np.append(at, len(words))), np.zeros(0, U64), bits)
-
-    return run
+def frequent_words(texts: DataFrame) -> np.ndarray:
+    """Words with more than 1/HOT_SHARE of the tokens of a sample of the texts, sorted.
 
+    They say only which contexts are dealt over all shards, not what is counted.
+    """
 
-def frequent(folder: str, least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                if str(shard) in listed(folder):
-                    words = read_arrays(f"{folder}/{shard}")
-                    yield pa.record_batch([pa.array(words["key"][words["count"] > least].view(np.int64))], names=["key"])
-
-    return run
+            for _, piece in pieces(plain(batch.column(0))):
+                words, counts = np.unique(tokens(piece)[0], return_counts=True)
+                yield pa.record_batch([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    counts = sample.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") * HOT_SHARE > total).select("word").collect()  # fewer than HOT_SHARE
+    return np.sort(np.array([r.word for r in rows], np.int64).view(U64))
 
 
 def score_column(model: Model, text: Column) -> Column:
