@@ -29,6 +29,7 @@ from tickertide.llm.shared import (
 from tickertide.llm.words import plain
 
 BUCKET = 32  # classes in a bucket
+DEEPEST = 18  # bits of a directory; keys that agree in more of them share a bucket as a chain
 RECORD = "owner int, key bigint, digest string, text string, top bigint, n bigint, n_top bigint"
 FOUND = "keep_id bigint, group_size bigint, kept_rows bigint"
 
@@ -52,7 +53,7 @@ class ExtendibleIndex:
             number = self.directory[self.slot(key)]
             bucket = self.buckets[number]
             one_key = all(e[0] == key for e in bucket)
-            if len(bucket) < self.capacity or one_key or self.depths[number] >= 64 - self.used:
+            if len(bucket) < self.capacity or one_key or self.depths[number] >= min(DEEPEST, 64 - self.used):
                 bucket.append(entry)
                 return
             self.split(number)
