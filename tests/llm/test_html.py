@@ -25,7 +25,7 @@ def page(i, body):
 
 def test_templates_and_odd_pages(spark):
     rows = [
-        (i, f"http://site.example/{i}", page(i, f"<div id=top><p>Site of all things</p></div><div class=c{i}><p>Page {i} says &amp;lt; &eacute;&#233;&#x41;\n  <b>bold</b> things<br>here</p><p>second</p></div><div><span>All rights reserved</span></div>"))
+        (i, f"http://site.example/{i}", page(i, f"<div id=top><p>Site of all things</p></div><div class=c{i}><p>Page {i} says &amp;lt; &eacute;&#233;&#x41;\n  <b>bold</b> things<br>here</p><p>second {i}</p></div><div><span>All rights reserved</span></div>"))
         for i in range(8)
     ]
     article = "<div class='Share-Bar'>share</div><article><header><h1>Title {0}</h1></header><div><p>Our newsletter is great</p></div><p>Repeated words</p><p>Own words {0}</p><div class=comments><p>first!</p></div><footer>by me</footer></article>"
@@ -39,7 +39,7 @@ def test_templates_and_odd_pages(spark):
     out = extract_text(docs).collect()
     assert len(out) == len(rows)
     got = {r.page_id: r.text for r in out}
-    assert all(got[i] == f"Page {i} says &lt; ééA bold things here\nsecond" for i in range(8))
+    assert all(got[i] == f"Page {i} says &lt; ééA bold things here\nsecond {i}" for i in range(8))
     assert all(got[100 + i] == f"Title {i}\nRepeated words\nOwn words {i}" for i in range(6))
     assert all(got[200 + i] == "Copied text\nof one page" for i in range(9))
     assert got[300] == got[301] == got[306] == "" and got[302] == "no markup & a < b" and got[303] == "unclosed all\ntwo"

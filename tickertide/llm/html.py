@@ -54,7 +54,9 @@ ASIDE_WORDS = set(
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 MAIN = {"article", "main"}
-PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption b i em strong a span u code q cite sub sup small mark abbr".split())
+# Parts of a paragraph, which are no template by themselves.
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -205,7 +207,8 @@ def candidates(roots: list[Element]) -> list[Element]:
             e = waiting.pop()
             if e.aside:
                 continue
-            if e.tag not in VOID and not (root.tag in MAIN and e.tag in PARAGRAPHS) and e.tag not in ("html", "body", "main", "article"):
+            part = e.tag in VOID or e.tag in INLINE or e.tag in ("html", "body", "main", "article")
+            if not part and not (root.tag in MAIN and e.tag in PARAGRAPHS):
                 found.append(e)
             waiting.extend(c for c in e.children if isinstance(c, Element))
     return found
