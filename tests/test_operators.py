@@ -16,6 +16,7 @@ from tickertide.operators import skew
 from tickertide.operators import summaries as G
 from tickertide.operators import threads
 from tickertide.operators import universe as U
+from tickertide.registry import derived
 from tickertide.sources import messages as S
 from tickertide.sources import prices as P
 from tickertide.sources import tables
@@ -141,11 +142,68 @@ def test_large_universe_join_equals_inline(spark):
         "message_id string, text string",
     )
     universe = spark.createDataFrame([("AAPL",), ("TSLA",), ("GME",), ("THE",), ("AAPL",)], "ticker string")
-    inline = M.with_tickers(texts.where("message_id is not null"), universe)
-    joined = M.with_tickers(texts.where("message_id is not null"), universe, inline=1)
-    assert rows(inline, "message_id") == rows(joined.select(*inline.columns), "message_id")
-    assert rows(M.with_tickers(texts.where("message_id is not null"), universe, inline=1, max_tickers=2)
-                .select("tickers"), "tickers") == [([],), (["AAPL", "TSLA"],), (["GME"],)]
+    inline = M.with_tickers(texts, universe)
+    large = M.with_tickers(texts, universe, inline=1)
+    assert rows(inline, "text") == rows(large.select(*inline.columns), "text")
+    assert rows(M.with_tickers(texts, universe, inline=1, max_tickers=2)
+                .select("tickers"), "tickers") == [([],), (["AAPL", "TSLA"],), (["GME"],), (["TSLA"],)]
+
+
+def test_whole_texts(spark):
+    """Neither length nor number of tickers cuts a message, for a universe of any size."""
+    names = [f"{a}{b}Q" for a in "ABC" for b in "WXYZ"][:11]
+    text = "lower case words " * 300 + " ".join(names)
+    message = spark.createDataFrame(
+        [(None, text), ("m", text)], "message_id string, content string"
+    ).select(
+        "message_id", "content", F.lit(None).cast("string").alias("title"), F.lit(0).alias("score"),
+        *[F.lit("x").alias(c) for c in ("author", "subreddit", "url", "message_type")],
+        F.current_timestamp().alias("created_at"),
+    )
+    universe = spark.createDataFrame([(n,) for n in names], "ticker string")
+    for given in (universe, names):
+        found = M.find_mentions(message, given).collect()
+        assert sorted(r.ticker for r in found if r.message_id is None) == sorted(names)
+        assert len(found) == 22
+    large = M.with_tickers(C.with_full_text(message), universe, inline=1).select("message_id", "tickers")
+    assert all(r.tickers == names for r in large.collect())
+    short = M.find_mentions(message, names, limits=V.SHORT_TEXT)
+    assert short.count() == 0
+
+
+def test_every_document_is_read(spark):
+    """No document is deleted or repeated in all of its messages."""
+    for sf in ("sf0.001", "sf0.01"):
+        folder = f"/root/testdata/{sf}"
+        documents = derived.table(spark, folder, "documents").select("doc_id")
+        raw = derived.raw_messages(spark, folder)
+        n = documents.count()
+        for table in (raw, S.scan_messages(raw).join(raw.select("message_id", "event_id"), "message_id")):
+            # A message of a document carries its text, which is longer than a phrase.
+            whole = table.where("length(content) > 200").select((F.col("event_id") % n).alias("doc_id"))
+            shortest = derived.table(spark, folder, "documents").where("length(text) > 200").select("doc_id")
+            assert shortest.join(whole, "doc_id", "left_anti").count() == 0
+
+
+def test_rows_without_key_are_known_by_contents(spark):
+    stored = spark.createDataFrame([("a", "X", 1), (None, "X", 2)], "message_id string, ticker string, n int")
+    batch = spark.createDataFrame(
+        [("a", "X", 9), (None, "X", 2), (None, "X", 3), (None, "X", 3), ("b", "X", 4)], "message_id string, ticker string, n int"
+    )
+    added = merge.new_rows(batch, stored, ["message_id", "ticker"])
+    assert sorted(r.n for r in added.collect()) == [3, 4]
+
+
+def test_field_merge_of_repeated_keys(spark):
+    stored = spark.createDataFrame([("a", "t"), ("a", "s"), (None, "n")], "id string, title string")
+    batch = spark.createDataFrame(
+        [("a", "new", 1, None), ("a", None, 3, "f"), ("a", "older", 0, "g"), (None, "k", 5, "h")],
+        "id string, title string, created_at int, forum string",
+    )
+    got = merge.field_merge_upsert(stored, batch, "id").select("id", "title", "forum")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("a", "new", "f"), ("a", "new", "f"), (None, "n", None), (None, "k", "h")], key=str
+    )
 
 
 # -- universe, listing, prices --
@@ -370,6 +428,14 @@ def test_thread_limit_counts(spark):
     assert taken(2, 2) == ["p1", "p2"]
 
 
+def test_circles_of_parents_end(spark):
+    data = [("x", "y"), ("y", "x"), ("z", "x"), ("a", "p"), ("b", "a"), ("self", "self")]
+    df = spark.createDataFrame([(m, p, V.COMMENT, at(1)) for m, p in data],
+                               "message_id string, parent_id string, message_type string, created_at timestamp")
+    got = {r.message_id: (r.depth, r.thread_id) for r in threads.comment_depth(df).collect()}
+    assert got == {"x": (None, None), "y": (None, None), "z": (None, None), "self": (None, None), "a": (0, "p"), "b": (1, "p")}
+
+
 def test_thread_pick_and_new_comments(spark):
     df = spark.createDataFrame(
         [("d", "Daily Discussion Thread 1", at(5)), ("e", "your DAILY discussion thread", at(6)),
@@ -438,11 +504,13 @@ def test_hot_key_is_spread_in_raw_upsert(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        merged = merge.raw_upsert(stored, batch)
-        assert merged.where("content = 'new'").count() == 10001
-        sizes = merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
-        assert sizes.agg(F.max("n")).head()[0] < 7500
-        assert merged.count() == 30000
+        # Also where the stored rows lie together by the key.
+        for rows_ in (stored, stored.repartition(16, "message_id")):
+            merged = merge.raw_upsert(rows_, batch)
+            assert merged.where("content = 'new'").count() == 10001
+            sizes = merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+            assert sizes.agg(F.max("n")).head()[0] < 7500
+            assert merged.count() == 30000
     finally:
         for key in settings:
             spark.conf.unset(key)

@@ -52,10 +52,10 @@ def test_ticker_limits(spark):
     many = " ".join(names)
     late = "x " * 1000 + "AAPL"
     edge = "x " * 998 + "AAPLE"  # the cut leaves AAPL
-    assert column(spark, [many], lambda t: X.extract_tickers(t, names)) == [names[:10]]
-    assert column(spark, [many], lambda t: X.extract_tickers(t, names, None)) == [names]
-    assert column(spark, [late, edge], lambda t: X.extract_tickers(t, UNIVERSE)) == [[], ["AAPL"]]
-    assert column(spark, [late], lambda t: X.extract_tickers(t, UNIVERSE, None, None)) == [["AAPL"]]
+    assert column(spark, [many], lambda t: X.extract_tickers(t, names, 10)) == [names[:10]]
+    assert column(spark, [many], lambda t: X.extract_tickers(t, names)) == [names]
+    assert column(spark, [late, edge], lambda t: X.extract_tickers(t, UNIVERSE, 10, 2000)) == [[], ["AAPL"]]
+    assert column(spark, [late], lambda t: X.extract_tickers(t, UNIVERSE)) == [["AAPL"]]
 
 
 def test_tickers_property(spark):
@@ -120,13 +120,13 @@ def test_float_text(spark):
     assert got == [repr(v) for v in values]
 
 
-def expected_context(text, ticker, window):
+def expected_context(text, ticker, window, matches, head):
     if len(text) <= 3 * window:
         return text
-    spots = list(re.finditer(rf"\b(?:{ticker}|\${ticker})\b", text))[:3]
+    spots = list(re.finditer(rf"\b(?:{ticker}|\${ticker})\b", text))[:matches]
     if spots:
         return " ".join(text[max(0, m.start() - window):m.end() + window] for m in spots)
-    return text[:2 * window] if ticker in text else ""
+    return text[:head] if ticker in text else ""
 
 
 @pytest.mark.parametrize("window", [3, 10])
@@ -134,14 +134,16 @@ def test_context_property(spark, window):
     rng = random.Random(window)
     parts = ["GG", "GG", "g", "$", "x$GG", "GGG", " ", "é", "🚀", "_", "-", "GG2", "\n"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(5, 40))) for _ in range(3000)]
-    got = column(spark, texts, lambda t: X.ticker_context(t, F.lit("GG"), window))
-    for text, context in zip(texts, got):
-        assert context == expected_context(text, "GG", window), text
+    for matches, head in ((None, None), (3, 2 * window)):
+        got = column(spark, texts, lambda t: X.ticker_context(t, F.lit("GG"), window, matches, head))
+        for text, context in zip(texts, got):
+            assert context == expected_context(text, "GG", window, matches, head), text
 
 
 def test_mention_context_fallback(spark):
     text = "aapl " + "word " * 200
-    assert column(spark, [text], lambda t: X.mention_context(t, F.lit("AAPL"))) == [text[:500]]
+    assert column(spark, [text], lambda t: X.mention_context(t, F.lit("AAPL"))) == [text]
+    assert column(spark, [text], lambda t: X.mention_context(t, F.lit("AAPL"), V.SHORT_TEXT)) == [text[:500]]
 
 
 def test_keyword_sentiment(spark):

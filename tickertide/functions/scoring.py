@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tickertide import vocab as V
 from tickertide.functions.text import let, lexicon_hits
 
 LABELS = ("positive", "negative", "neutral")
@@ -69,12 +68,12 @@ def lexicon_scores(text: Column) -> Column:
     return let(lexicon_hits(text), shares)
 
 
-def text_scores(text: Column, scorer: TextScorer | None = None) -> Column:
-    """Label scores of the first 512 characters, by ``scorer`` or by the lexicon.
+def text_scores(text: Column, scorer: TextScorer | None = None, max_chars: int | None = None) -> Column:
+    """Label scores of a text or its beginning, by ``scorer`` or by the lexicon.
 
     ``scorer`` runs as an iterator UDF, so whatever it loads is loaded once per task.
     """
-    head = F.substring(text, 1, V.SCORER_CHARS)
+    head = F.substring(text, 1, max_chars) if max_chars else text
     if scorer is None:
         return lexicon_scores(head)
 
@@ -85,9 +84,11 @@ def text_scores(text: Column, scorer: TextScorer | None = None) -> Column:
     return F.pandas_udf(batches, SCORE_TYPE)(head)
 
 
-def add_sentiment(df: DataFrame, text: str, score: str, scorer: TextScorer | None = None) -> DataFrame:
+def add_sentiment(
+    df: DataFrame, text: str, score: str, scorer: TextScorer | None = None, max_chars: int | None = None
+) -> DataFrame:
     """Add the four sentiment columns and confidence to rows with ``text`` and ``score``."""
-    scored = df.withColumn("scores", text_scores(F.col(text), scorer)).withColumn(
+    scored = df.withColumn("scores", text_scores(F.col(text), scorer, max_chars)).withColumn(
         "sentiment_compound", compound(F.col("scores.positive"), F.col("scores.negative"))
     )
     return scored.withColumns(

@@ -97,8 +97,8 @@ def full_text(title: Column, content: Column) -> Column:
     return F.when(F.length(title) > 0, F.concat(title, F.lit(" "), content)).otherwise(content)
 
 
-def candidate_words(text: Column, max_chars: int | None = V.TICKER_SCAN_CHARS) -> Column:
-    """Upper-cased words of 2-5 letters in text order. ``max_chars=None`` reads everything."""
+def candidate_words(text: Column, max_chars: int | None = None) -> Column:
+    """Upper-cased words of 2-5 letters in text order, of the whole text or its beginning."""
     searched = F.substring(text, 1, max_chars) if max_chars else text
     words = F.regexp_extract_all(searched, F.lit(_TICKER_WORD), F.lit(1))
     return F.transform(words, F.upper)
@@ -112,8 +112,8 @@ def excluded_words() -> list[str]:
 def extract_tickers(
     text: Column,
     universe: Iterable[str],
-    max_tickers: int | None = V.MAX_TICKERS,
-    max_chars: int | None = V.TICKER_SCAN_CHARS,
+    max_tickers: int | None = None,
+    max_chars: int | None = None,
 ) -> Column:
     """Distinct tickers of ``universe`` in first-occurrence order.
 
@@ -128,54 +128,73 @@ def extract_tickers(
 
 
 def ticker_context(
-    text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW, otherwise: Column | None = None
+    text: Column,
+    ticker: Column,
+    window: int = V.CONTEXT_WINDOW,
+    matches: int | None = None,
+    head: int | None = None,
+    otherwise: Column | None = None,
 ) -> Column:
-    """Text around the first three exact mentions of ``ticker``.
+    """Text around the exact mentions of ``ticker``, of all or of the first ``matches``.
 
     Short texts are their own context. A text that holds the ticker only inside other
-    words gives its head, one that does not hold it gives ``otherwise`` or nothing.
+    words gives itself or its first ``head`` characters, one that does not hold it gives
+    ``otherwise`` or nothing.
 
-    ``split`` with a limit gives the gaps before those mentions and stops reading there;
-    the running length of the gaps is the position of each mention. The pattern starts
-    with the ticker itself, which lets the regex engine skip through the text.
+    The text is cut at the plain ticker; a cut is a mention if no word character touches
+    it. The running length of the gaps is the position of each.
     """
-    mention = F.concat(
-        ticker, F.lit(f"(?<!{V.WORD_CHAR}"), ticker, F.lit(")"), F.lit(_NOT_BEFORE_WORD)
-    )
     width = F.length(ticker)
-
-    def add(state: Column, gap: Column) -> Column:
-        start = state["at"] + F.length(gap)
-        # "x$ABC": a dollar sign after a word character belongs to the mention.
-        dollar = gap.rlike(rf"{V.WORD_CHAR}\$\z") | ((gap == "$") & (state["at"] > 0))
-        first = start - F.when(dollar, 1).otherwise(0)
-        left = F.greatest(first - window, F.lit(0))
-        # Spark's substring clips at the end of the text.
-        part = F.substring(text, left + 1, start + width + window - left)
-        return F.struct(
-            (start + width).alias("at"), F.concat(state["parts"], F.array(part)).alias("parts")
-        )
+    word, inner = rf"{V.WORD_CHAR}\z", rf"\A{V.WORD_CHAR}"
 
     def around(gaps: Column) -> Column:
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-        before = F.slice(gaps, 1, F.size(gaps) - 1)
-        return F.when(
-            F.size(gaps) > 1, F.aggregate(before, empty, add, lambda s: F.concat_ws(" ", s["parts"]))
+        # Each gap but the last with what stands behind the ticker after it.
+        pairs = F.zip_with(
+            F.slice(gaps, 1, F.size(gaps) - 1), F.slice(gaps, 2, F.size(gaps) - 1),
+            lambda a, b: F.struct(a.alias("gap"), b.alias("next")),
+        )
+        last = F.size(gaps) - 1
+
+        def add(state: Column, pair: Column) -> Column:
+            gap, start = pair["gap"], state["at"] + F.length(pair["gap"])
+            # An empty gap inside the text stands between two tickers, so it is a word's.
+            first, final = state["n"] == 0, state["n"] + 1 == last
+            left = F.when(gap == "", ~first).otherwise(gap.rlike(word))
+            right = F.when(pair["next"] == "", ~final).otherwise(pair["next"].rlike(inner))
+            # "x$ABC": a dollar sign after a word character belongs to the mention.
+            dollar = gap.rlike(rf"{V.WORD_CHAR}\$\z") | ((gap == "$") & ~first)
+            begin = F.greatest(start - F.when(dollar, 1).otherwise(0) - window, F.lit(0))
+            # Spark's substring clips at the end of the text.
+            part = F.substring(text, begin + 1, start + width + window - begin)
+            found = ~left & ~right
+            if matches:
+                found = found & (F.size(state["parts"]) < matches)
+            return F.struct(
+                (start + width).alias("at"), (state["n"] + 1).alias("n"),
+                F.when(found, F.array_append(state["parts"], part)).otherwise(state["parts"]).alias("parts"),
+            )
+
+        empty = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("parts"))
+        return F.aggregate(
+            pairs, empty, add, lambda s: F.when(F.size(s["parts"]) > 0, F.concat_ws(" ", s["parts"]))
         )
 
-    windows = let(F.split(text, mention, V.CONTEXT_MATCHES + 1), around)
+    windows = let(F.split(text, F.concat(F.lit(r"\Q"), ticker, F.lit(r"\E"))), around)
     return F.when(F.length(text) <= 3 * window, text).otherwise(
         F.coalesce(
             windows,
-            F.when(text.contains(ticker), F.substring(text, 1, 2 * window)),
+            F.when(text.contains(ticker), F.substring(text, 1, head) if head else text),
             F.lit("") if otherwise is None else otherwise,
         )
     )
 
 
-def mention_context(text: Column, ticker: Column, window: int = V.CONTEXT_WINDOW) -> Column:
-    """``ticker_context``, or the head of the text where that is empty."""
-    return ticker_context(text, ticker, window, F.substring(text, 1, V.CONTEXT_FALLBACK))
+def mention_context(
+    text: Column, ticker: Column, limits: V.TextLimits = V.WHOLE_TEXT, window: int = V.CONTEXT_WINDOW
+) -> Column:
+    """``ticker_context``, or the text or its beginning where that is empty."""
+    otherwise = F.substring(text, 1, limits.fallback) if limits.fallback else text
+    return ticker_context(text, ticker, window, limits.matches, limits.head, otherwise)
 
 
 def percent_change(text: Column) -> Column:
@@ -257,10 +276,9 @@ def extract_signals(text: Column) -> Column:
     return F.array_compact(let(words_and_text(text), tags))
 
 
-def signal_price(signals: Column) -> Column:
-    """Text of the price in a ``PT:`` tag, null if there is none. A message has at most one."""
-    tagged = F.get(F.filter(signals, lambda s: s.startswith("PT:")), 0)
-    return F.substring(tagged, 4, 400)
+def signal_prices(signals: Column) -> Column:
+    """Texts of the prices in all ``PT:`` tags."""
+    return F.transform(F.filter(signals, lambda s: s.startswith("PT:")), lambda s: F.substr(s, F.lit(4)))
 
 
 def lexicon_hits(text: Column) -> Column:

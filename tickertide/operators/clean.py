@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +47,20 @@ def hours_back(df: DataFrame, hours: int, now: datetime | Column | None = None)
     return since_watermark(df, moment - F.make_dt_interval(hours=F.lit(hours)))
 
 
-def last_24h(hourly: DataFrame) -> DataFrame:
-    """Hourly rows from 24 hours before the newest one on."""
-    newest = hourly.select(F.max("hour_start")).scalar()
-    return hourly.where(F.col("hour_start") >= newest - F.expr("interval 24 hours"))
+def last_24h(mentions: DataFrame) -> DataFrame:
+    """Mentions from 24 hours before the hour of the newest one on, to be summed by hour.
+
+    Only the time column is read for the newest one; where the table is laid out by day, the
+    filter reaches its folders.
+    """
+    newest = mentions.select(F.date_trunc("hour", F.max("created_at"))).head()[0]
+    if newest is None:
+        return mentions.limit(0)
+    first = F.lit(newest - timedelta(hours=24))
+    recent = F.col("created_at") >= first
+    if "event_date" in mentions.columns:
+        recent = recent & (F.col("event_date") >= F.to_date(first))
+    return mentions.where(recent)
 
 
 def normalize_message(df: DataFrame, source: str | None = V.DEFAULT_SOURCE) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide import vocab as V
@@ -17,7 +17,8 @@ from tickertide.functions.text import (
 from tickertide.operators.clean import with_full_text
 from tickertide.operators.skew import SALTS
 
-# A universe of at most this many tickers is put into the plan as a constant set.
+# A universe of at most this many tickers is put into the plan as a constant set; the result
+# is the same for any size.
 INLINE_TICKERS = 5000
 
 
@@ -30,39 +31,60 @@ def small_universe(universe: DataFrame, limit: int = INLINE_TICKERS) -> list[str
 def with_tickers(
     messages: DataFrame,
     universe: DataFrame | list[str],
-    max_tickers: int | None = V.MAX_TICKERS,
-    max_chars: int | None = V.TICKER_SCAN_CHARS,
+    max_tickers: int | None = None,
+    max_chars: int | None = None,
     inline: int = INLINE_TICKERS,
 ) -> DataFrame:
     """Add ``tickers``, the distinct universe tickers in ``text``, first occurrence first.
 
-    A small universe is tested row by row without any exchange. A larger one is joined;
-    then ``message_id`` must be unique.
+    A small universe is tested row by row as a constant, a larger one as bitmaps: only words
+    of two to five letters can be found, and there are 12 million of them, so the bitmaps of
+    any universe have 8 MB at most and are broadcast. Neither rows nor text are shuffled.
     """
     known = universe if isinstance(universe, list) else small_universe(universe, inline)
     if known is not None:
         found = extract_tickers(F.col("text"), known, max_tickers, max_chars)
         return messages.withColumn("tickers", found)
-    found = ticker_positions(messages, universe, max_chars).groupBy("message_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "ticker"))).alias("hits")
+    marked = messages.crossJoin(F.broadcast(word_bitmaps(universe)))  # with one row
+    found = F.array_distinct(
+        F.filter(candidate_words(F.col("text"), max_chars), lambda w: in_bitmaps(F.col("_bitmaps"), w))
     )
-    tickers = F.coalesce(F.col("hits.ticker"), F.array().cast("array<string>"))
-    if max_tickers:
-        tickers = F.slice(tickers, 1, max_tickers)
-    return messages.join(found, "message_id", "left").withColumn("tickers", tickers).drop("hits")
+    found = F.slice(found, 1, max_tickers) if max_tickers else found
+    return marked.withColumn("tickers", found).drop("_bitmaps")
 
 
-def ticker_positions(
-    messages: DataFrame, universe: DataFrame, max_chars: int | None = V.TICKER_SCAN_CHARS
-) -> DataFrame:
-    """(message_id, pos, ticker): candidate words that are in the universe.
+def word_code(word: Column) -> Column:
+    """A word of up to five capital letters as a number to base 36."""
+    return F.conv(word, 36, 10).cast("bigint")
+
+
+def word_bitmaps(universe: DataFrame) -> DataFrame:
+    """One row: the tickers that a word can be, as a map of bitmaps."""
+    words = universe.select("ticker").where(F.col("ticker").rlike("^[A-Z]{2,5}$") & ~F.col("ticker").isin(excluded_words()))
+    code = word_code(F.col("ticker"))
+    parts = words.groupBy(F.bitmap_bucket_number(code).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("bits")
+    )
+    return parts.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("_bitmaps"))
+
+
+def in_bitmaps(bitmaps: Column, word: Column) -> Column:
+    code = word_code(word)
+    place = F.bitmap_bit_position(code)
+    byte = F.substr(F.try_element_at(bitmaps, F.bitmap_bucket_number(code)), (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), (place % 8).cast("int"))
+    return F.coalesce(bit == 1, F.lit(False))
+
+
+def ticker_positions(messages: DataFrame, universe: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """(message_id, pos, ticker): candidate words that are in the universe, by a join.
 
     Some words are in most messages, so the join is salted by message; the universe is
     repeated once per salt. Only ids and words travel, never the text.
     """
     words = F.array_distinct(candidate_words(F.col("text"), max_chars))
     pairs = messages.select("message_id", F.posexplode(words).alias("pos", "ticker")).withColumn(
-        "salt", F.pmod(F.xxhash64("message_id"), F.lit(SALTS)).cast("int")
+        "salt", F.pmod(F.xxhash64("message_id", "pos"), F.lit(SALTS)).cast("int")
     )
     tickers = (
         universe.select("ticker")
@@ -74,16 +96,16 @@ def ticker_positions(
 
 
 def explode_mentions(
-    messages: DataFrame, universe: DataFrame | list[str], **limits: int | None
+    messages: DataFrame, universe: DataFrame | list[str], limits: V.TextLimits = V.WHOLE_TEXT
 ) -> DataFrame:
     """One row per message and ticker with ``context``; the message columns stay."""
-    tagged = with_tickers(with_full_text(messages), universe, **limits)
+    tagged = with_tickers(with_full_text(messages), universe, limits.max_tickers, limits.max_chars)
     # explode_outer plus a filter: plain explode would add a size filter below it and so
     # compute the tickers twice.
     rows = tagged.withColumn("ticker", F.explode_outer("tickers")).where(
         F.col("ticker").isNotNull()
     )
-    return rows.withColumn("context", mention_context(F.col("text"), F.col("ticker"))).drop(
+    return rows.withColumn("context", mention_context(F.col("text"), F.col("ticker"), limits)).drop(
         "text", "tickers"
     )
 
@@ -92,22 +114,27 @@ def find_mentions(
     messages: DataFrame,
     universe: DataFrame | list[str],
     scorer: TextScorer | None = None,
-    **limits: int | None,
+    limits: V.TextLimits = V.WHOLE_TEXT,
 ) -> DataFrame:
     """Stock mentions of deduplicated messages, with sentiment, signals and confidence.
 
-    With a small universe the whole step is one pass without an exchange.
+    The whole step is one pass without an exchange. It reads whole texts, unless ``limits``
+    says otherwise.
     """
-    rows = explode_mentions(messages, universe, **limits).withColumn(
+    rows = explode_mentions(messages, universe, limits).withColumn(
         "score", F.coalesce("score", F.lit(0)).cast("bigint")
     )
-    scored = add_sentiment(rows, "context", "score", scorer)
+    if scorer is not None:
+        # Ends the projection, so that the scorer's input is a column and not an expression.
+        rows = rows.withColumn("context", F.explode(F.array("context")))
+    scored = add_sentiment(rows, "context", "score", scorer, limits.scorer_chars)
+    stored = F.substring("context", 1, limits.stored_chars) if limits.stored_chars else F.col("context")
     return scored.select(
         "message_id", "ticker", "author", "created_at", "subreddit", "url", "score",
         "message_type", "sentiment_compound", "sentiment_positive", "sentiment_negative",
         "sentiment_neutral",
         extract_signals(F.col("context")).alias("signals"),
-        F.substring("context", 1, V.STORED_CONTEXT).alias("context"),
+        stored.alias("context"),
         "confidence",
         F.current_timestamp().alias("etl_timestamp"),
     )

@@ -6,13 +6,14 @@ anti-join, so a frequent key is one row there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.operators.dedup import first_rows, tie_break
-from tickertide.operators.skew import skew_join, skew_semi_join
+from tickertide.operators.skew import row_hash, skew_join, skew_semi_join
 
 # -- fixed values: columns a matching row takes from the batch --
 RAW_UPDATED = (
@@ -38,11 +39,26 @@ def existing_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataF
     return skew_semi_join(batch, stored, keys)
 
 
+def contents(df: DataFrame, columns: list[str]) -> Column:
+    """A digest of what a row says, to know rows without a key by."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Batch rows whose key is not stored yet, once each."""
+    """Batch rows whose key is not stored yet, once each.
+
+    A row with a null in its key is known by its other columns, so that it is not added
+    again either. Of the stored side only keys that the batch has are kept, so a batch that
+    is small enough to be broadcast leaves the stored table where it is.
+    """
     single, keyless = latest_per_key(batch, keys, ["etl_timestamp"])
-    added = single.join(stored.select(*keys).distinct(), keys, "left_anti")
-    return added.select(*batch.columns).unionByName(keyless)
+    found = stored.select(*keys).join(single.select(*keys), keys, "left_semi").distinct()
+    added = single.join(found, keys, "left_anti").select(*batch.columns)
+    same = [c for c in batch.columns if c in stored.columns and c not in ("etl_timestamp", "event_date")]
+    unknown = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    seen = stored.where(unknown).select(contents(stored, same).alias("_print")).distinct()
+    fresh = keyless.withColumn("_print", contents(keyless, same)).dropDuplicates(["_print"])
+    return added.unionByName(fresh.join(seen, "_print", "left_anti").select(*batch.columns))
 
 
 def key_exists(stored: DataFrame, **key: object) -> bool:
@@ -66,6 +82,18 @@ def replace_upsert(stored: DataFrame, batch: DataFrame, keys: list[str]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def update_or_replace(stored: DataFrame, batch: DataFrame, id_column: str, keys: list[str]) -> DataFrame:
+    """Batch rows whose id is stored update that row; the others delete the stored rows of
+    their keys and are added. A null id is not stored."""
+    by_id, _ = latest_per_key(batch, [id_column], ["etl_timestamp"])
+    ids = stored.select(id_column).distinct()
+    updates = by_id.join(ids, id_column, "left_semi").select(*stored.columns)
+    updated = updates.select(id_column)
+    rest = batch.join(updated, id_column, "left_anti").select(*stored.columns)
+    kept = stored.join(updated, id_column, "left_anti").select(*stored.columns)
+    return replace_upsert(kept, rest, keys).unionByName(updates)
+
+
 def raw_upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored messages with their updated columns taken from the batch, plus new messages.
 
@@ -98,21 +126,49 @@ def affected_rows(stored: DataFrame, batch: DataFrame, key: str = "message_id")
     )
 
 
-def field_merge_upsert(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Field by field: the new value where there is one, else the old."""
-    old, new = stored.alias("old"), batch.alias("new")
+def latest_fields(batch: DataFrame, key: str, latest: list[str]) -> DataFrame:
+    """One row per key: of each field the latest value that is not null. Partial sums go
+    into the exchange, so a frequent key is no problem."""
+    order = [*[F.col(c) for c in latest if c in batch.columns], row_hash(batch, key)]
 
     def field(name: str) -> Column:
-        if name not in batch.columns:
-            return F.col(f"old.{name}")
-        if name not in stored.columns:
-            return F.col(f"new.{name}")
-        return F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}"))
+        when = F.when(F.col(name).isNotNull(), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+        return F.max_by(name, when).alias(name)
+
+    fields = [field(c) for c in batch.columns if c != key]
+    known = batch.where(F.col(key).isNotNull())
+    return known.groupBy(key).agg(*fields) if fields else known.distinct()
+
 
+def field_merge_upsert(
+    stored: DataFrame,
+    batch: DataFrame,
+    key: str,
+    latest: Sequence[str] = ("ingestion_timestamp", "created_at"),
+) -> DataFrame:
+    """Field by field: the latest new value where there is one, else the old.
+
+    Every stored row of a key is merged with what the batch says about the key, however
+    often it does; rows without a key match nothing, and those of the batch are added.
+    """
     names = [*stored.columns, *[c for c in batch.columns if c not in stored.columns]]
-    return old.join(new, key, "full").select(
-        *[F.col(key) if c == key else field(c).alias(c) for c in names]
-    )
+    kinds = dict(batch.dtypes) | dict(stored.dtypes)
+    single = latest_fields(batch, key, list(latest))
+    extra = [c for c in batch.columns if c != key]
+    joined = skew_join(stored, single.select(key, F.struct(F.lit(1).alias("_is"), *extra).alias("_new")), key, how="left")
+
+    def merged(name: str) -> Column:
+        if name == key or name not in extra:
+            return F.col(name)
+        new = F.col(f"_new.{name}")
+        return (F.coalesce(new, F.col(name)) if name in stored.columns else new).alias(name)
+
+    def plain(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names])
+
+    added = single.join(stored.select(key).distinct(), key, "left_anti")
+    keyless = batch.where(F.col(key).isNull())
+    return joined.select(*[merged(c) for c in names]).unionByName(plain(added)).unionByName(plain(keyless))
 
 
 def staging_ack(staged: DataFrame, processed: DataFrame, key: str = "document_id") -> DataFrame:

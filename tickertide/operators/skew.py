@@ -11,13 +11,26 @@ SALTS = 32
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are never more
 # than HOT_SHARE hot keys, whatever the size of the table.
 HOT_SHARE = 1000
+SAMPLE = 8
+LEAST = 10  # rows of the sample below which a key is never hot
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """At most ``HOT_SHARE`` keys, each with more than that share of the rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+def row_hash(df: DataFrame, *without: str) -> Column:
+    """A hash of the columns that can be hashed, which differs between different rows."""
+    plain = [c for c, kind in df.dtypes if c not in without and "map" not in kind and "variant" not in kind]
+    return F.xxhash64(*plain) if plain else F.spark_partition_id().cast("bigint")
+
+
+def hot_keys(df: DataFrame, key: str, sample: int = SAMPLE) -> DataFrame:
+    """At most ``HOT_SHARE`` keys, each with more than that share of the rows of a sample.
+
+    Which keys are hot says how rows are spread, not what a join gives, so one row in
+    ``sample``, chosen by hash, is enough.
+    """
+    some = df.where(F.col(key).isNotNull() & (F.pmod(row_hash(df), F.lit(sample)) == 0))
+    counts = some.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.select(F.sum("n")).scalar()
-    return counts.where(F.col("n") * HOT_SHARE > total).select(key)
+    return counts.where((F.col("n") * HOT_SHARE > total) & (F.col("n") >= LEAST)).select(key)
 
 
 def skew_join(
@@ -26,19 +39,20 @@ def skew_join(
     key: str,
     spread: Column | None = None,
     how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per key.
 
     Left rows of a hot key are spread by ``spread``, a hash that differs between them, and
-    only the right rows of hot keys are repeated. By default they are spread by the
-    partition they come from, which stays the same when a task runs again. ``how`` is
-    inner or left.
+    only the right rows of hot keys are repeated. By default they are spread by a hash of
+    their other columns, so wherever they lie and when a task runs again. ``how`` is inner
+    or left. ``hot`` may be given where it is known from an earlier join on the key.
 
     Adaptive execution splits a hot key only in joins that read both sides straight from
     an exchange, so not where one side was just ranked on the same key.
     """
-    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
-    source = F.spark_partition_id() if spread is None else spread
+    hot = F.broadcast((hot_keys(left, key) if hot is None else hot).withColumn("_hot", F.lit(True)))
+    source = row_hash(left, key) if spread is None else spread
     # Rows without a key match nothing; spread as well, they do not pile up in one task.
     spread_out = F.col("_hot") | F.col(key).isNull()
     salt = F.when(spread_out, F.pmod(source, F.lit(SALTS)).cast("int")).otherwise(0)

@@ -9,13 +9,14 @@ sums can be kept to add later batches.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide import vocab as V
-from tickertide.functions.text import float_text, signal_price
+from tickertide.functions.text import float_text, signal_prices
 from tickertide.functions.values import format_date, hour_start, merge_counts, week_start
 from tickertide.operators.dedup import first_rows
 from tickertide.operators.skew import skew_semi_join
@@ -77,51 +78,75 @@ def _map_key(name: str) -> Column:
         return F.col("subreddit")
     if name == "daily_breakdown":
         return format_date(F.col("created_at"))
-    return float_text(signal_price(F.col("signals")).try_cast("double"))
+    return float_text(F.col("_target").try_cast("double"))
 
 
-def _measures(grain: Grain) -> list[Column]:
+def measures(grain: Grain) -> list[Column]:
     sentiment = F.col("sentiment_compound").cast(EXACT)
     weight = F.when(F.col("sentiment_compound").isNotNull(), F.col("confidence")).cast(EXACT)
     weighted = (F.col("sentiment_compound") * F.col("confidence")).cast(EXACT)
     sure = F.col("confidence") > V.HIGH_CONFIDENCE
+
+    def once(value: Column) -> Column:
+        # A mention with several prices has further rows for these.
+        return F.when(F.col("_main"), value)
+
     return [
-        F.count("*").alias("mention_count"),
+        F.count_if("_main").alias("mention_count"),
         *[
-            F.count_if(F.array_contains("signals", t)).alias(tag_column(t))
+            F.count_if(once(F.array_contains("signals", t))).alias(tag_column(t))
             for t in grain.tags
         ],
-        F.sum(sentiment).alias("sentiment_sum"),
-        F.count("sentiment_compound").alias("sentiment_n"),
-        F.sum(weight).alias("weight_sum"),
-        F.sum(weighted).alias("weighted_sum"),
-        F.sum(F.col("confidence").cast(EXACT)).alias("confidence_sum"),
-        F.count("confidence").alias("confidence_n"),
-        F.sum(F.when(sure, sentiment)).alias("high_conf_sum"),
-        F.count(F.when(sure, F.col("sentiment_compound"))).alias("high_conf_n"),
+        F.sum(once(sentiment)).alias("sentiment_sum"),
+        F.count(once(F.col("sentiment_compound"))).alias("sentiment_n"),
+        F.sum(once(weight)).alias("weight_sum"),
+        F.sum(once(weighted)).alias("weighted_sum"),
+        F.sum(once(F.col("confidence").cast(EXACT))).alias("confidence_sum"),
+        F.count(once(F.col("confidence"))).alias("confidence_n"),
+        F.sum(once(F.when(sure, sentiment))).alias("high_conf_sum"),
+        F.count(once(F.when(sure, F.col("sentiment_compound")))).alias("high_conf_n"),
+        F.count("*").alias("_rows"),
     ]
 
 
+def _with_targets(mentions: DataFrame, grain: Grain) -> DataFrame:
+    """Add ``_main`` and ``_target``: a row for each price of a mention, one without any.
+
+    All but the first row of a mention count for the prices only.
+    """
+    if "price_targets" not in grain.maps:
+        return mentions.withColumn("_main", F.lit(True))
+    prices = signal_prices(F.col("signals"))
+    entry = F.transform(
+        F.when(F.size(prices) > 0, prices).otherwise(F.array(F.lit(None).cast("string"))),
+        lambda p, i: F.struct((i == 0).alias("main"), p.alias("price")),
+    )
+    rows = mentions.withColumn("_entry", F.explode(entry))
+    return rows.withColumns({"_main": F.col("_entry.main"), "_target": F.col("_entry.price")}).drop("_entry")
+
+
 def mention_sums(mentions: DataFrame, grain: Grain) -> DataFrame:
     """Counts, exact sums and count maps per ticker and period."""
     keys = grain.keys
-    keyed = mentions.withColumn(grain.period, grain.start(F.col("created_at"))).withColumns(
+    rows = _with_targets(mentions, grain)
+    keyed = rows.withColumn(grain.period, grain.start(F.col("created_at"))).withColumns(
         {f"_{m}": _map_key(m) for m in grain.maps}
     )
     facets = [f"_{m}" for m in grain.maps]
-    measures = _measures(grain)
+    sums = measures(grain)
     sets = [keys, *[[*keys, f] for f in facets]]
     # Bit k of the id, counted from the right, is 0 where facet k takes part.
     grouped = keyed.groupingSets(sets, *keys, *facets).agg(
-        *measures, F.grouping_id(*keys, *facets).alias("_set")
+        *sums, F.grouping_id(*keys, *facets).alias("_set")
     )
     whole = 2 ** len(facets) - 1
-    totals = [c for c in grouped.columns if c not in (*keys, *facets, "_set")]
+    totals = [c for c in grouped.columns if c not in (*keys, *facets, "_set", "_rows")]
 
     def count_map(index: int) -> Column:
         one = whole - 2 ** (len(facets) - 1 - index)
         mine = (F.col("_set") == one) & F.col(facets[index]).isNotNull()
-        entry = F.struct(F.col(facets[index]).alias("key"), F.col("mention_count").alias("value"))
+        number = "_rows" if facets[index] == "_price_targets" else "mention_count"
+        entry = F.struct(F.col(facets[index]).alias("key"), F.col(number).alias("value"))
         return F.map_from_entries(F.sort_array(F.collect_list(F.when(mine, entry))))
 
     return grouped.groupBy(*keys).agg(
@@ -151,13 +176,18 @@ def means(sums: DataFrame, grain: Grain, keep_sums: bool = False) -> DataFrame:
     table = sums.withColumns(derived)
     extra = ["confidence_sum", *SUMS] if keep_sums else []
     return table.select(
-        *grain.keys, *grain.counts, *derived, *grain.maps,
+        *grain.keys, *grain.counts, *derived, *[m for m in grain.maps if m in table.columns],
         *(["top_contexts"] if "top_contexts" in table.columns else []), *extra,
     )
 
 
-def top_contexts(mentions: DataFrame, keys: list[str], n: int = V.TOP_CONTEXTS) -> DataFrame:
-    """The most confident contexts per group. Ranked before they are collected."""
+def top_contexts(
+    mentions: DataFrame, keys: list[str], n: int = V.TOP_CONTEXTS, keep_ids: bool = False
+) -> DataFrame:
+    """The most confident contexts per group. Ranked before they are collected.
+
+    ``keep_ids`` keeps their message_id, by which ties are broken when groups are merged.
+    """
     order = [F.desc_nulls_last("confidence"), F.asc("message_id"), F.asc("context")]
     best = first_rows(
         mentions.select(*keys, "confidence", "message_id", "context", "sentiment_compound"),
@@ -168,21 +198,30 @@ def top_contexts(mentions: DataFrame, keys: list[str], n: int = V.TOP_CONTEXTS)
         "message_id", "context", "confidence",
         F.col("sentiment_compound").alias("sentiment"),
     )
+    ids = ["message_id"] if keep_ids else []
     return best.groupBy(*keys).agg(
-        F.transform(
-            F.sort_array(F.collect_list(item)),
-            lambda c: F.struct(c["context"].alias("context"), c["confidence"].alias("confidence"),
-                               c["sentiment"].alias("sentiment")),
-        ).alias("top_contexts")
+        _context_fields(F.sort_array(F.collect_list(item)), ids).alias("top_contexts")
     )
 
 
+def _context_fields(contexts: Column, more: Sequence[str] = ()) -> Column:
+    names = ["context", "confidence", "sentiment", *more]
+    return F.transform(contexts, lambda c: F.struct(*[c[n].alias(n) for n in names]))
+
+
+def without_ids(sums: DataFrame) -> DataFrame:
+    """Summary rows from rows with sums, whose contexts have ids."""
+    if "top_contexts" not in sums.columns:
+        return sums
+    return sums.withColumn("top_contexts", _context_fields(F.col("top_contexts")))
+
+
 def summarize(mentions: DataFrame, grain: Grain, keep_sums: bool = False) -> DataFrame:
     """Summary rows per ticker and period."""
     sums = mention_sums(mentions, grain)
     if grain.contexts:
         dated = mentions.withColumn(grain.period, grain.start(F.col("created_at")))
-        sums = sums.join(top_contexts(dated, grain.keys), grain.keys, "left")
+        sums = sums.join(top_contexts(dated, grain.keys, keep_ids=keep_sums), grain.keys, "left")
     return means(sums, grain, keep_sums).withColumn("etl_timestamp", F.current_timestamp())
 
 
@@ -222,17 +261,18 @@ def accumulate(stored: DataFrame, new: DataFrame, grain: Grain) -> DataFrame:
         return F.when(old.isNull() & fresh.isNull(), F.lit(None)).otherwise(total).cast(kind)
 
     def best(old: Column, fresh: Column) -> Column:
-        none = F.array().cast("array<struct<context:string,confidence:double,sentiment:double>>")
+        none = F.array().cast("array<struct<context:string,confidence:double,sentiment:double,message_id:string>>")
         joined = F.concat(F.coalesce(old, none), F.coalesce(fresh, none))
-
-        def sure(item: Column) -> Column:
-            return F.coalesce(item["confidence"], F.lit(float("-inf")))
-
-        by_confidence = F.array_sort(
+        # In the order of ``top_contexts``: sure ones first, then by message and text.
+        ranked = F.transform(
             joined,
-            lambda x, y: F.when(sure(x) > sure(y), -1).when(sure(x) < sure(y), 1).otherwise(0),
+            lambda c: F.struct(
+                F.isnull(c["confidence"]).alias("unsure"), (-c["confidence"]).alias("rank"),
+                c["message_id"].alias("message_id"), c["context"].alias("context"),
+                c["confidence"].alias("confidence"), c["sentiment"].alias("sentiment"),
+            ),
         )
-        return F.slice(by_confidence, 1, V.TOP_CONTEXTS)
+        return _context_fields(F.slice(F.sort_array(ranked), 1, V.TOP_CONTEXTS), ["message_id"])
 
     merged = stored.alias("a").join(new.alias("b"), keys, "full").select(
         *keys,

@@ -22,7 +22,8 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
     ``message_id`` is unique. A comment whose parent is no comment has depth 0. Each round
     doubles the distance every comment has looked up the tree, so the number of joins
     grows with the log of the depth. A comment with very many replies is a hot key of the
-    join, which ``skew_join`` spreads.
+    join, which ``skew_join`` spreads. Comments whose parents form a circle have neither
+    depth nor thread.
     """
     comments = cut_lineage(
         messages.where(F.col("message_type") == V.COMMENT).select(
@@ -42,7 +43,17 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
             *([F.array(F.struct("created_at", "message_id")).alias("path")] if with_path else []),
         )
     )
+    # Every path is walked once the steps are as long as there are comments.
+    rounds = comments.count().bit_length()
     while not (waiting := state.where(F.col("at").isNotNull())).isEmpty():
+        if rounds == 0:
+            circle = waiting.select(*[
+                F.lit(None).cast(kind).alias(c) if c in ("depth", "thread_id", "at", "path") else F.col(c)
+                for c, kind in waiting.dtypes
+            ])
+            state = state.where(F.col("at").isNull()).unionByName(circle)
+            break
+        rounds -= 1
         above = state.select(
             F.col("message_id").alias("at"),
             F.col("at").alias("next_at"),
@@ -99,57 +110,75 @@ def new_thread_comments(
     return comments.where(~F.coalesce(known, F.lit(False)) | (F.col("timestamp") > last_check))
 
 
+def in_threads(messages: DataFrame, threads: DataFrame) -> DataFrame:
+    """The comments below the posts of ``threads`` (thread_id), with ``path``.
+
+    Threads are found without paths; only the comments that stay get one.
+    """
+    found = comment_depth(messages).join(threads.select("thread_id").distinct(), "thread_id", "left_semi")
+    kept = messages.join(found.select("message_id"), "message_id", "left_semi")
+    return comment_depth(kept, with_path=True)
+
+
+def first_comments(replies: DataFrame, n: int | None) -> DataFrame:
+    """(thread_id, message_id, place) of the comments of each thread, depth first, the first
+    ``n`` or all."""
+    if n is not None:
+        replies = first_rows(replies, ["thread_id"], [F.asc("path")], n)
+    order = Window.partitionBy("thread_id").orderBy("path")
+    return replies.withColumn("place", F.row_number().over(order).cast("bigint")).select("thread_id", "message_id", "place")
+
+
 def thread_limit(
     messages: DataFrame,
     limit: int,
     forums: tuple[str, ...] = V.FORUMS,
-    posts_per_forum: int = V.POSTS_PER_FORUM,
-    comments_per_post: int = V.COMMENTS_PER_POST,
+    posts_per_forum: int | None = None,
+    comments_per_post: int | None = None,
+    discussion: DataFrame | None = None,
 ) -> DataFrame:
     """Posts of the forums first, then comments post by post, ``limit`` messages in all.
 
     A post gives at most ``comments_per_post`` comments. Posts count towards the limit but
-    are all kept, at most ``posts_per_forum`` of each forum.
+    are all kept, at most ``posts_per_forum`` of each forum. While the limit is not reached,
+    the thread of ``discussion`` (from ``daily_thread_pick``) follows, unless it is among
+    the posts. Returns thread_id, message_id and place, 0 for the post.
     """
     wanted = messages.where(
         (F.col("message_type") == V.POST) & F.col("subreddit").isin(list(forums))
     ).select("message_id", "subreddit", "created_at")
-    posts = cut_lineage(
-        first_rows(
-            wanted, ["subreddit"], [F.desc("created_at"), F.asc("message_id")],
-            min(posts_per_forum, limit),
-        )
-    )
-    ids = posts.select(F.col("message_id").alias("thread_id"))
-    # At most len(forums) * posts_per_forum rows, so this side is small by construction.
-    replies = comment_depth(messages, with_path=True).join(F.broadcast(ids), "thread_id", "left_semi")
-    order = Window.partitionBy("thread_id").orderBy("path")
-    taken = (
-        first_rows(replies, ["thread_id"], [F.asc("path")], comments_per_post)
-        .withColumn("place", F.row_number().over(order))
-        .select("thread_id", "message_id", "place")
-    )
+    newest = [F.desc("created_at"), F.asc("message_id")]
+    most = limit if posts_per_forum is None else min(posts_per_forum, limit)
+    posts = cut_lineage(first_rows(wanted, ["subreddit"], newest, most))
+    most = limit if comments_per_post is None else min(comments_per_post, limit)
+    replies = in_threads(messages, posts.select(F.col("message_id").alias("thread_id")))
+    taken = cut_lineage(first_comments(replies, most))
     given = taken.groupBy("thread_id").agg(F.count("*").alias("given"))
-    forum_order = F.array_position(F.array(*[F.lit(f) for f in forums]), F.col("subreddit"))
-    queue = Window.partitionBy(F.lit(0)).orderBy(
-        forum_order, F.desc("created_at"), F.asc("message_id")
-    )
-    before = queue.rowsBetween(Window.unboundedPreceding, -1)
-    quota = (
-        posts.join(given, posts["message_id"] == given["thread_id"], "left")
-        .select("message_id", "subreddit", "created_at", F.coalesce("given", F.lit(0)).alias("given"))
-        .select(
-            F.col("message_id").alias("thread_id"),
-            F.coalesce(F.sum("given").over(before), F.lit(0)).alias("before"),
-            F.count("*").over(Window.partitionBy(F.lit(0))).alias("posts"),
-        )
+    queue = posts.join(given, posts["message_id"] == given["thread_id"], "left").select(
+        "message_id", "subreddit", "created_at", F.coalesce("given", F.lit(0)).alias("given")
     )
-    comments = (
-        taken.join(F.broadcast(quota), "thread_id")
-        .where(F.col("before") + F.col("place") <= limit - F.col("posts"))
-        .select("thread_id", "message_id", F.col("place").cast("bigint").alias("place"))
+    # Forums are counted one by one, and what earlier forums give is added: one row each.
+    place = F.array_position(F.array(*[F.lit(f) for f in forums]), F.col("subreddit"))
+    totals = queue.groupBy(place.alias("forum")).agg(F.sum("given").alias("sum"), F.count("*").alias("n")).collect()
+    n_posts = sum(r.n for r in totals)
+    earlier = F.lit(0)
+    for r in totals:
+        earlier = earlier + F.when(place > r.forum, r["sum"]).otherwise(0)
+    inside = Window.partitionBy("subreddit").orderBy(*newest).rowsBetween(Window.unboundedPreceding, -1)
+    quota = queue.select(
+        F.col("message_id").alias("thread_id"),
+        (earlier + F.coalesce(F.sum("given").over(inside), F.lit(0))).alias("before"),
     )
-    heads = posts.select(
-        F.col("message_id").alias("thread_id"), "message_id", F.lit(0).cast("bigint").alias("place")
+    comments = taken.join(quota, "thread_id").where(F.col("before") + F.col("place") <= limit - n_posts)
+    heads = posts.select(F.col("message_id").alias("thread_id"), "message_id", F.lit(0).cast("bigint").alias("place"))
+    rows = heads.unionByName(comments.select("thread_id", "message_id", "place"))
+    if discussion is None:
+        return rows
+    rest = limit - n_posts - min(sum(r["sum"] for r in totals), max(0, limit - n_posts))
+    thread = discussion.select(F.col("message_id").alias("thread_id")).join(
+        posts.select(F.col("message_id").alias("thread_id")), "thread_id", "left_anti"
     )
-    return heads.unionByName(comments)
+    tail = thread.select("thread_id", F.col("thread_id").alias("message_id"), F.lit(0).cast("bigint").alias("place"))
+    if rest > 1:
+        tail = tail.unionByName(first_comments(in_threads(messages, thread), rest - 1))
+    return rows.unionByName(tail) if rest > 0 else rows

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tickertide import schemas
 from tickertide import vocab as V
 from tickertide.functions.scoring import TextScorer
-from tickertide.operators.mentions import find_mentions, small_universe
+from tickertide.operators.mentions import find_mentions
 from tickertide.operators.summaries import GRAINS
 from tickertide.plans.state import RUN, RunState
 from tickertide.session import cut_lineage
@@ -21,38 +23,52 @@ from tickertide.sources.tables import (
     mentions_append_new,
     read_table,
     refresh_summary,
+    table_exists,
+    with_event_date,
 )
 
 STAGES = ("extract", "analyze", "persist", "aggregate")
 
 
-def save_summaries(
-    spark: SparkSession, root: str, mentions: DataFrame, added: DataFrame | None = None
-) -> None:
-    """Bring the three summary tables up to date with a batch of stored mentions.
+def open_days(spark: SparkSession, root: str) -> DataFrame:
+    """Days of batches that began to be saved and did not end: batch, event_date."""
+    path = f"{root}/batches"
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], "batch string, event_date date")
+    log = spark.read.schema(schemas.BATCHES).parquet(path)
+    ended = log.where("done").select("batch")
+    return log.where("not done").join(ended, "batch", "left_anti").select("batch", "event_date")
 
-    Without ``added`` every period the batch touches is recomputed from the stored
-    mentions, which may run again after a failure. With ``added``, the mentions that were
-    new, these are added to stored sums and no old mentions are read; after a failure a
-    run without it puts the tables right.
-    """
-    for grain in GRAINS.values():
-        if added is None:
-            refresh_summary(spark, root, mentions, grain)
-        else:
-            accumulate_summary(spark, root, added, grain)
+
+def log_batch(days: DataFrame, root: str, done: bool) -> None:
+    days.select("batch", "event_date", F.lit(done).alias("done")).coalesce(1).write.mode("append").parquet(f"{root}/batches")
 
 
 def save_batch(spark: SparkSession, root: str, mentions: DataFrame, mode: str = "exact") -> None:
-    """Append new mentions and refresh the summaries. ``mentions`` is read several times."""
+    """Append new mentions and bring the summaries up to date. ``mentions`` is read several
+    times.
+
+    In mode ``exact`` every period the batch touches is recomputed from the stored
+    mentions. In mode ``accumulate`` the mentions that were new are added to stored sums,
+    and old mentions are read only where there are no sums. Both keep the sums, so modes may
+    alternate. A log says which days a batch touches before it does and when it is done:
+    days of a batch that failed in between are recomputed by the next one, whatever its
+    mode, so a repeated batch adds nothing.
+    """
     if mentions.isEmpty():
         return
-    if mode == "accumulate":
-        added = mentions_append_new(spark, root, mentions, keep_added=True)
-        save_summaries(spark, root, mentions, added)
-    else:
-        mentions_append_new(spark, root, mentions)
-        save_summaries(spark, root, mentions)
+    days = with_event_date(mentions, "created_at").select("event_date").distinct()
+    days = cut_lineage(days.withColumn("batch", F.lit(uuid.uuid4().hex)).select("batch", "event_date"))
+    unfinished = cut_lineage(open_days(spark, root))
+    log_batch(days, root, done=False)
+    added = mentions_append_new(spark, root, mentions, keep_added=mode == "accumulate")
+    touched = days.unionByName(unfinished)
+    for grain in GRAINS.values():
+        if mode == "accumulate" and unfinished.isEmpty():
+            accumulate_summary(spark, root, added, grain)
+        else:
+            refresh_summary(spark, root, touched, grain)
+    log_batch(touched, root, done=True)
 
 
 def run_report(tables: dict[str, DataFrame], status: str = "success") -> DataFrame:
@@ -81,13 +97,14 @@ def run(
     arrival: str = "created_at",
     scorer: TextScorer | None = None,
     now: datetime | None = None,
+    limits: V.TextLimits = V.WHOLE_TEXT,
 ) -> DataFrame:
     """Run the wanted stages and report the rows of each table.
 
     ``stages`` may leave out later ones. ``hours_back`` replaces the stored watermark.
     ``arrival='ingestion_timestamp'`` does not lose messages that arrive late.
     ``mode='accumulate'`` adds to the stored summaries instead of recomputing the touched
-    periods. Watermarks move to the start of the run, and only after it has succeeded.
+    periods. ``limits`` cuts texts, which are read whole otherwise. Watermarks move to the start of the run, and only after it has succeeded.
     """
     wanted = set(stages)
     state = RunState(spark, f"{root}/etl_state")
@@ -102,15 +119,11 @@ def run(
     if "analyze" not in wanted:
         report = run_report({"messages": messages})
     else:
-        known = universe if isinstance(universe, list) else small_universe(universe)
+        # One pass over the messages, so they can be counted on the way.
         read = Observation()
-        if known is not None:
-            # One pass over the messages, so they can be counted on the way.
-            messages = messages.observe(read, F.count("*").alias("n"))
-        mentions = cut_lineage(find_mentions(messages, universe if known is None else known, scorer))
+        messages = messages.observe(read, F.count("*").alias("n"))
+        mentions = cut_lineage(find_mentions(messages, universe, scorer, limits))
         tables = {"mentions": mentions}
-        if known is None:
-            tables = {"messages": messages, **tables}
         finished.append("analysis")
         if "persist" in wanted and "aggregate" in wanted:
             save_batch(spark, root, mentions, mode)
@@ -119,8 +132,6 @@ def run(
         elif "persist" in wanted:
             mentions_append_new(spark, root, mentions)
             finished.append("stock_persistence")
-        report = run_report(tables)
-        if known is not None:
-            report = report.select(F.lit(read.get["n"]).cast("bigint").alias("messages"), "*")
+        report = run_report(tables).select(F.lit(read.get["n"]).cast("bigint").alias("messages"), "*")
     state.advance(*finished, RUN, moment=started)
     return report

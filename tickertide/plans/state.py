@@ -61,3 +61,25 @@ def current_watermarks(log: DataFrame) -> DataFrame:
     """Newest entry per step."""
     newest = F.max(F.struct("updated_at", "last_run")).alias("e")
     return log.groupBy("step").agg(newest).select("step", "e.last_run", "e.updated_at")
+
+
+class ThreadState:
+    """The last discussion thread that was read, and when, for each source."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark = spark
+        self.path = path
+
+    def last(self, source: str = V.DEFAULT_SOURCE) -> tuple[str | None, datetime | None]:
+        """Id of the thread and time of the last check; (None, None) before the first."""
+        if not table_exists(self.spark, self.path):
+            return None, None
+        log = self.spark.read.schema(schemas.THREAD_STATE).parquet(self.path)
+        newest = F.max(F.struct("last_updated", "last_daily_discussion_id")).alias("e")
+        row = log.where(F.col("source") == source).agg(newest).head()
+        return (row.e.last_daily_discussion_id, row.e.last_updated) if row.e else (None, None)
+
+    def save(self, thread_id: str, moment: datetime | None = None, source: str = V.DEFAULT_SOURCE) -> None:
+        moment = moment or datetime.now(timezone.utc)
+        entry = self.spark.createDataFrame([(source, thread_id, moment)], schemas.THREAD_STATE)
+        entry.coalesce(1).write.mode("append").parquet(self.path)

@@ -37,15 +37,20 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, user = F.col("event_id"), F.col("user_id")
     is_post = F.col("event_type").isin("signup", "purchase")
 
+    def turn(event: Column) -> Column:
+        # Shifts by one from each pass over the documents to the next, so that no document
+        # is always the one that is deleted or repeated.
+        return event + F.floor(event / n_docs)
+
     def copied(event: Column) -> Column:
         # One event in ten repeats the message id of the one before it.
-        return F.when(event % 10 == 9, event - 1).otherwise(event)
+        return F.when(turn(event) % 10 == 9, F.greatest(event - 1, F.lit(0))).otherwise(event)
 
     symbol = _pick(SYMBOLS, (e * 7) % 16)
     content = (
-        F.when(e % 50 == 7, "[deleted]")
-        .when(e % 50 == 8, "")
-        .when(e % 50 == 17, F.lit(None))
+        F.when(turn(e) % 50 == 7, "[deleted]")
+        .when(turn(e) % 50 == 8, "")
+        .when(turn(e) % 50 == 17, F.lit(None))
         .otherwise(
             F.concat(
                 _pick(PHRASES, e % 16),
@@ -105,11 +110,20 @@ def _pick_sql(options: str, index: str) -> str:
     return f"split_part('{options}', '|', cast({index} as int) + 1)"
 
 
+def _turn_sql(event: str) -> str:
+    return f"({event} + {event} // (select count(*) from documents))"
+
+
+def _copied_sql(event: str) -> str:
+    return f"case when {_turn_sql(event)} % 10 = 9 then greatest({event} - 1, 0) else {event} end"
+
+
 RAW_MESSAGES_SQL = f"""
 select
   concat('d', cast(event_id as varchar)) as document_id,
-  concat('m', cast(case when event_id % 10 = 9 then event_id - 1 else event_id end as varchar)) as message_id,
-  case when event_id % 50 = 7 then '[deleted]' when event_id % 50 = 8 then '' when event_id % 50 = 17 then null
+  concat('m', cast({_copied_sql('event_id')} as varchar)) as message_id,
+  case when {_turn_sql('event_id')} % 50 = 7 then '[deleted]' when {_turn_sql('event_id')} % 50 = 8 then ''
+    when {_turn_sql('event_id')} % 50 = 17 then null
     else concat({_pick_sql(PHRASES, 'event_id % 16')}, ' ',
       case when event_id % 3 = 0 then '$' else '' end,
       case when event_id % 7 = 0 then lower({_pick_sql(SYMBOLS, '(event_id * 7) % 16')})
@@ -131,7 +145,7 @@ select
   event_id % 37 as num_comments,
   {_pick_sql(FORUM_NAMES, 'user_id % 5')} as subreddit,
   case when event_type in ('signup', 'purchase') or event_id = 0 then null
-    else concat('m', cast(event_id // 4 - case when (event_id // 4) % 10 = 9 then 1 else 0 end as varchar)) end as parent_id,
+    else concat('m', cast({_copied_sql('(event_id // 4)')} as varchar)) end as parent_id,
   cast(null as varchar) as submission_id,
   cast(null as int) as depth,
   ts + interval '1' hour as ingestion_timestamp,

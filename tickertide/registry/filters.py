@@ -130,8 +130,8 @@ def _posts_by_activity(spark, sf):
     "deduped"))
 def _feed_sort(spark, sf):
     rows = deduped(spark, sf)
-    newest = C.feed(rows, "new").limit(V.POSTS_PER_FORUM).select(F.lit("new").alias("mode"), "message_id")
-    top = C.feed(rows, "top", F.lit("2024-01-20").cast("timestamp")).limit(V.POSTS_PER_FORUM)
+    newest = C.feed(rows, "new").limit(100).select(F.lit("new").alias("mode"), "message_id")
+    top = C.feed(rows, "top", F.lit("2024-01-20").cast("timestamp")).limit(100)
     return newest.unionByName(top.select(F.lit("top").alias("mode"), "message_id"))
 
 
@@ -325,8 +325,8 @@ def _trim_texts(spark, sf):
     rows = C.with_full_text(clean(spark, sf))
     return rows.select(
         "message_id",
-        F.substring("text", 1, V.SCORER_CHARS).alias("scorer_text"),
-        F.substring("text", 1, V.STORED_CONTEXT).alias("stored_text"),
+        F.substring("text", 1, V.SHORT_TEXT.scorer_chars).alias("scorer_text"),
+        F.substring("text", 1, V.SHORT_TEXT.stored_chars).alias("stored_text"),
     )
 
 

@@ -14,7 +14,7 @@ from tickertide.operators import merge, summaries as G
 from tickertide.operators.universe import volume_universe
 from tickertide.registry import derived
 from tickertide.registry.base import clean, deduped, mentions, query, raw, stored_mentions, universe
-from tickertide.registry.sql import _list, context_parts, select
+from tickertide.registry.sql import context_parts, select
 from tickertide.sources.tables import as_json_columns
 
 MENTION_COLUMNS = (
@@ -25,6 +25,9 @@ MENTION_COLUMNS = (
 MENTIONS_SQL = select(
     f"select {', '.join(MENTION_COLUMNS).replace('created_at', 'cast(created_at as varchar) as created_at')} "
     "from mentions", "mentions")
+MENTIONS_SHORT_SQL = select(
+    f"select {', '.join(MENTION_COLUMNS).replace('created_at', 'cast(created_at as varchar) as created_at')} "
+    "from mentions_short", "mentions_short")
 
 
 def flat_mentions(rows):
@@ -36,34 +39,47 @@ def _find_mentions(spark, sf):
     return flat_mentions(mentions(spark, sf))
 
 
+@query("find_mentions_short", MENTIONS_SHORT_SQL)
+def _find_mentions_short(spark, sf):
+    """With the limits on tickers, searched text, contexts and scored text."""
+    rows = M.find_mentions(clean(spark, sf), universe(spark, sf), limits=V.SHORT_TEXT)
+    return flat_mentions(rows)
+
+
 @query("extract_tickers", select(
     """select message_id, string_agg(ticker, ',' order by pos) as tickers from (
-      select h.*, row_number() over (partition by message_id order by pos) as rn from hits h)
-    where rn <= 10 group by 1""", "hits"))
+      select h.*, row_number() over (partition by message_id order by pos) as rn from hits_short h)
+    where rn <= 10 group by 1""", "hits_short"))
 def _extract_tickers(spark, sf):
-    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), universe(spark, sf))
+    """The first ten of the first 2000 characters."""
+    short = V.SHORT_TEXT
+    rows = M.with_tickers(
+        C.with_full_text(clean(spark, sf)), universe(spark, sf), short.max_tickers, short.max_chars
+    )
     return rows.select("message_id", F.concat_ws(",", "tickers").alias("tickers")).where("tickers <> ''")
 
 
-_ALL_HITS = f"""all_hits as (select message_id, w as ticker, min(pos) as pos from all_words
-  where w <> '' and lower(w) not in ({_list(V.STOPWORDS)}) and w not in ({_list(V.NON_TICKER_WORDS)})
-    and w in (select ticker from universe) group by 1, 2)"""
+_ALL_TICKERS = select(
+    "select message_id, string_agg(ticker, ',' order by pos) as tickers from hits group by 1", "hits")
 
 
-@query("extract_tickers_whole_text", select(
-    "select message_id, string_agg(ticker, ',' order by pos) as tickers from all_hits group by 1",
-    "all_words", "universe", more=_ALL_HITS))
+@query("extract_tickers_whole_text", _ALL_TICKERS)
 def _extract_tickers_whole_text(spark, sf):
-    """Without the character and ticker limits."""
-    rows = M.with_tickers(
-        C.with_full_text(clean(spark, sf)), universe(spark, sf), max_tickers=None, max_chars=None
-    )
+    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), universe(spark, sf))
+    return rows.select("message_id", F.concat_ws(",", "tickers").alias("tickers")).where("tickers <> ''")
+
+
+@query("extract_tickers_large_universe", _ALL_TICKERS)
+def _extract_tickers_large_universe(spark, sf):
+    """The same by the way for a universe that is too large for a constant."""
+    tickers = volume_universe(derived.ohlcv(spark, sf)).select("ticker")
+    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), tickers, inline=1)
     return rows.select("message_id", F.concat_ws(",", "tickers").alias("tickers")).where("tickers <> ''")
 
 
 @query("universe_lookup", select("select message_id, ticker from hits", "hits"))
 def _universe_lookup(spark, sf):
-    """Candidate words joined with the universe: the way for a universe of any size."""
+    """Candidate words joined with the universe."""
     rows = C.with_full_text(clean(spark, sf)).select("message_id", "text")
     tickers = volume_universe(derived.ohlcv(spark, sf)).select("ticker")
     return M.ticker_positions(rows, tickers).select("message_id", "ticker")
@@ -72,18 +88,21 @@ def _universe_lookup(spark, sf):
 @query("distinct_mentions", select(
     "select message_id, count(*) as tickers from hits group by 1", "hits"))
 def _distinct_mentions(spark, sf):
-    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), universe(spark, sf), max_tickers=None)
+    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), universe(spark, sf))
     return rows.select("message_id", F.size("tickers").cast("bigint").alias("tickers")).where("tickers > 0")
 
 
 @query("ticker_context", select(
-    "select message_id, ticker, found as context from contexts", "contexts"))
+    "select message_id, ticker, found as context from contexts_short", "contexts_short"))
 def _ticker_context(spark, sf):
-    rows = M.with_tickers(C.with_full_text(clean(spark, sf)), universe(spark, sf))
-    pairs = rows.select("message_id", "text", F.explode_outer("tickers").alias("ticker"))
-    return pairs.where(F.col("ticker").isNotNull()).select(
-        "message_id", "ticker", X.ticker_context(F.col("text"), F.col("ticker")).alias("context")
+    """Around the first three mentions of the first ten tickers."""
+    short = V.SHORT_TEXT
+    rows = M.with_tickers(
+        C.with_full_text(clean(spark, sf)), universe(spark, sf), short.max_tickers, short.max_chars
     )
+    pairs = rows.select("message_id", "text", F.explode_outer("tickers").alias("ticker"))
+    context = X.ticker_context(F.col("text"), F.col("ticker"), matches=short.matches, head=short.head)
+    return pairs.where(F.col("ticker").isNotNull()).select("message_id", "ticker", context.alias("context"))
 
 
 _WORD_PAIRS = f"""pairs as materialized (select message_id || '/' || ticker as key, message_id, ticker, text from (
@@ -93,10 +112,10 @@ _WORD_PAIRS = f"""pairs as materialized (select message_id || '/' || ticker as k
 
 @query("ticker_context_wide", select(
     """select p.message_id, p.ticker, case when length(text) <= 450 then text when windows is not null then windows
-      when strpos(text, p.ticker) > 0 then substr(text, 1, 300) else '' end as context
+      when strpos(text, p.ticker) > 0 then text else '' end as context
     from pairs p left join windows w on p.key = w.key""", "texts", more=_WORD_PAIRS))
 def _ticker_context_wide(spark, sf):
-    """The wider default window, with frequent words in the place of tickers."""
+    """Around all mentions in a wider window, with frequent words in the place of tickers."""
     words = F.explode(F.array(*[F.lit(w) for w in ("AAPL", "MSFT", "the", "en")]))
     rows = C.with_full_text(clean(spark, sf)).select("message_id", "text", words.alias("ticker"))
     return rows.select(
@@ -117,7 +136,7 @@ def _vowel_scorer(batches):
       as sentiment_compound from (select message_id, ticker,
         cast(length(t) - length(replace(t, 'a', '')) as double) as a,
         cast(length(t) - length(replace(t, 'e', '')) as double) as e
-      from (select message_id, ticker, substr(context, 1, 512) as t from chosen))""", "chosen"))
+      from (select message_id, ticker, context as t from chosen))""", "chosen"))
 def _text_scorer(spark, sf):
     rows = M.find_mentions(clean(spark, sf), universe(spark, sf), scorer=_vowel_scorer)
     return rows.select("message_id", "ticker", "sentiment_compound")
@@ -293,10 +312,15 @@ def _summary_replace(spark, sf):
 @query("daily_delete_insert", select(
     f"select ticker, date, mention_count from ({summary_sql(G.DAILY)})", "mentions"))
 def _daily_delete_insert(spark, sf):
-    """Delete the days of a second run over everything, then insert them."""
+    """A second run over the days from the 15th on: rows with an id that is stored are
+    updated, others delete their ticker and day and are added; earlier days stay."""
     rows = stored_mentions(spark, sf)
     early, _ = _halves(rows)
-    merged = merge.replace_upsert(G.daily_summary(early), G.daily_summary(rows), G.DAILY.keys)
+    number = F.concat("ticker", F.date_format("date", "yyyyMMdd"))
+    stored = G.daily_summary(early).withColumn("id", number)
+    second = G.daily_summary(rows.where(F.to_date("created_at") >= "2024-01-15"))
+    batch = second.withColumn("id", F.when(F.col("ticker") < "M", number))
+    merged = merge.update_or_replace(stored, batch, "id", G.DAILY.keys)
     return merged.select("ticker", "date", "mention_count")
 
 
@@ -315,8 +339,7 @@ def _summary_json(spark, sf):
     where cast(hour_start as timestamp) >= (select max(date_trunc('hour', created_at)) from mentions)
       - interval 24 hour""", "mentions"))
 def _last_24h(spark, sf):
-    hourly = G.hourly_summary(stored_mentions(spark, sf))
-    return C.last_24h(hourly).select("ticker", "hour_start", "mention_count")
+    return G.hourly_summary(C.last_24h(stored_mentions(spark, sf))).select("ticker", "hour_start", "mention_count")
 
 
 # -- reports --

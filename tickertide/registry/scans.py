@@ -62,8 +62,7 @@ def staged_path(spark, sf) -> str:
 
 
 @query("scan_staging", select(
-    f"""select document_id, message_id as id, content, score, num_comments from raw
-    order by document_id limit {V.STAGED_PER_RUN}""", "raw"))
+    "select document_id, message_id as id, content, score, num_comments from raw", "raw"))
 def _scan_staging(spark, sf):
     return M.scan_staging(spark, staged_path(spark, sf), STAGED).select(
         "document_id", "id", "content", "score", "num_comments"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tickertide import schemas
 from tickertide import vocab as V
 from tickertide.operators import analysis as A
+from tickertide.operators import clean as C
 from tickertide.operators import merge, summaries as G, threads
-from tickertide.operators.dedup import dedup_by_ingestion
+from tickertide.operators.dedup import dedup_by_event_time, dedup_by_ingestion
 from tickertide.plans import run as R
-from tickertide.plans.state import RunState, current_watermarks
+from tickertide.plans.flow import scheduled
+from tickertide.plans.state import RunState, ThreadState, current_watermarks
 from tickertide.registry import derived, scans
 from tickertide.registry.base import (
     deduped,
@@ -39,7 +41,7 @@ from tickertide.sources import prices as P
 from tickertide.sources import tables
 from tickertide.streaming.dedup import dedup_stream
 from tickertide.streaming.incremental import incremental
-from tickertide.streaming.windows import latest_updates, window_totals, write_updates
+from tickertide.streaming.windows import compact_updates, window_totals, write_updates
 
 CUT = derived.BATCH_CUT
 
@@ -63,6 +65,109 @@ def _mentions_append_new(spark, sf):
     )
 
 
+@query("mentions_append_copies", select(
+    f"""select message_id, ticker, cast(case when created_at < timestamp '{CUT}' then created_at
+      when ticker = 'AMD' then null else created_at + interval 3 day end as varchar) as created_at from mentions""",
+    "mentions"))
+def _mentions_append_copies(spark, sf):
+    """Copies of messages on other days and without a time add nothing, however often."""
+    root = scratch_path(spark, "copies")
+    rows = stored_mentions(spark, sf)
+    tables.create_tables(spark, root)
+    tables.mentions_append_new(spark, root, rows.where(F.col("created_at") < CUT))
+    later = F.when(F.col("ticker") != "AMD", F.col("created_at") + F.expr("interval 3 days"))
+    copies = rows.withColumn("created_at", later)
+    tables.mentions_append_new(spark, root, copies)
+    tables.mentions_append_new(spark, root, copies)
+    return tables.read_table(spark, root, "stock_mentions").select("message_id", "ticker", "created_at")
+
+
+_PARTS_SQL = " union all ".join([
+    *[f"""select '{g.name}' as grain, ticker, {PERIODS[g.name]} as period, 'mentions' as part, null as key,
+        count(*) as n from mentions group by 2, 3""" for g in G.GRAINS.values()],
+    *[f"""select '{g.name}', ticker, {PERIODS[g.name]}, 'subreddits', subreddit, count(*) from mentions
+        where subreddit is not null group by 2, 3, 5""" for g in G.GRAINS.values()],
+    *[f"""select '{g.name}', ticker, {PERIODS[g.name]}, 'price_targets', cast(cast(substr(tag, 4) as double) as varchar), count(*)
+        from (select ticker, created_at, unnest(string_split(signals, ',')) as tag from mentions)
+        where starts_with(tag, 'PT:') group by 2, 3, 5""" for g in (G.DAILY, G.WEEKLY)],
+    f"""select 'weekly', ticker, {PERIODS['weekly']}, 'daily_breakdown', strftime(created_at, '%Y-%m-%d'), count(*)
+        from mentions group by 2, 3, 5""",
+    """select 'daily', ticker, strftime(created_at, '%Y-%m-%d'), 'context ' || rn, context, 1 from (
+        select *, row_number() over (partition by ticker, cast(created_at as date)
+          order by confidence desc, message_id, context) as rn from mentions) where rn <= 3""",
+])
+
+
+def summary_parts(spark, root):
+    """Counts, maps and contexts of the three stored summaries as rows."""
+    parts = []
+    for g in G.GRAINS.values():
+        rows = tables.read_table(spark, root, f"stock_{g.name}_summary").withColumn("period", F.col(g.period).cast("string"))
+        at = [F.lit(g.name).alias("grain"), F.col("ticker"), F.col("period")]
+        parts.append(rows.select(*at, F.lit("mentions").alias("part"), F.lit(None).cast("string").alias("key"), F.col("mention_count").alias("n")))
+        parts += [rows.select(*at, F.lit(m).alias("part"), F.explode(m).alias("key", "n")) for m in g.maps]
+        if g.contexts:
+            found = rows.select(*at, F.posexplode("top_contexts").alias("i", "c"))
+            parts.append(found.select("grain", "ticker", "period", F.concat(F.lit("context "), (F.col("i") + 1).cast("string")).alias("part"),
+                                      F.col("c.context").alias("key"), F.lit(1).cast("bigint").alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("accumulate_modes", select(_PARTS_SQL, "mentions"))
+def _accumulate_modes(spark, sf):
+    """Batches in alternating modes, one of them repeated, equal one run over everything."""
+    root = scratch_path(spark, "modes")
+    rows = stored_mentions(spark, sf)
+    tables.create_tables(spark, root)
+    day = F.dayofmonth("created_at")
+    early, late = rows.where(day < 10), rows.where(day >= 20)
+    R.save_batch(spark, root, early, "exact")
+    R.save_batch(spark, root, rows.where(day.between(9, 19)), "accumulate")
+    R.save_batch(spark, root, rows.where(day.between(9, 19)), "accumulate")
+    R.save_batch(spark, root, late, "exact")
+    R.save_batch(spark, root, rows, "accumulate")
+    return summary_parts(spark, root)
+
+
+@query("ingest_raw", select(
+    f"""select document_id, message_id, content, score, cast("timestamp" as varchar) as timestamp from (
+      select s.document_id, s.message_id, case when l.message_id is null then s.content else l.content end as content,
+        coalesce(l.score, s.score) as score, case when l.message_id is null then s."timestamp" else l."timestamp" end as "timestamp"
+      from first_batch s left join latest l on s.message_id = l.message_id
+      union all select document_id, message_id, content, score, "timestamp" from latest
+        where message_id not in (select message_id from first_batch))""", "raw",
+    more=f"""first_all as (select *, row_number() over (partition by message_id order by ingestion_timestamp desc,
+        created_at desc, event_id desc) as rn from raw where created_at < timestamp '2024-01-20' and content is distinct from '[deleted]'),
+      first_batch as (select * exclude (rn) from first_all where rn = 1),
+      batch as (select * replace (score + 100 as score, 'x' || document_id as document_id,
+        case when event_id % 3 = 0 then "timestamp" + interval 2 day else "timestamp" end as "timestamp") from raw
+        where created_at >= timestamp '2024-01-18' and content is distinct from '[deleted]'),
+      latest as (select * exclude (rn) from (select *, row_number() over (partition by message_id order by
+        ingestion_timestamp desc, created_at desc, event_id desc) as rn from batch) where rn = 1)"""))
+def _ingest_raw(spark, sf):
+    """Two staged batches, the second one twice; some messages move to another day."""
+    root = scratch_path(spark, "ingest")
+    rows = raw(spark, sf)
+    first = rows.where("created_at < timestamp '2024-01-20'")
+    later = F.when(F.col("event_id") % 3 == 0, F.col("timestamp") + F.expr("interval 2 days")).otherwise(F.col("timestamp"))
+    second = rows.where("created_at >= timestamp '2024-01-18'").withColumns({
+        "score": F.col("score") + 100, "document_id": F.concat(F.lit("x"), "document_id"), "timestamp": later,
+    })
+    for staged in (first, second, second):
+        tables.ingest_raw(spark, root, staged)
+    return spark.read.parquet(f"{root}/raw_messages").select("document_id", "message_id", "content", "score", "timestamp")
+
+
+@query("ingest_waiting", select(
+    "select document_id from raw where not created_at < timestamp '2024-01-20'", "raw"))
+def _ingest_waiting(spark, sf):
+    """What still waits after one batch of the staged documents was processed."""
+    root = scratch_path(spark, "ingest")
+    rows = raw(spark, sf)
+    tables.ingest_raw(spark, root, rows.where(_STORED))
+    return tables.waiting(spark, root, rows).select("document_id")
+
+
 @query("create_tables", select(
     """select 'stock_mentions' as name, count(*) as n from mentions union all select unnest([
       'stock_daily_summary', 'stock_hourly_summary', 'stock_weekly_summary']), 0""", "mentions"))
@@ -150,28 +255,37 @@ def _affected_rows(spark, sf):
 
 
 @query("raw_append", select(
-    "select message_id, score, 'reddit' as source, 1 as batch_rows from raw", "raw"))
+    """select document_id, message_id, score, coalesce(source, 'reddit') as source, cast(null as varchar) as title,
+      cast(null as int) as depth from raw""", "raw"))
 def _raw_append(spark, sf):
+    """Documents with a few fields; the others become null and the source its default."""
     path = scratch_path(spark, "raw")
-    rows = raw(spark, sf).withColumn("source", F.lit(V.DEFAULT_SOURCE))
+    rows = raw(spark, sf).select("document_id", F.col("message_id").alias("id"), "score", "source", "created_at")
     for part in (rows.where(F.col("created_at") < CUT), rows.where(F.col("created_at") >= CUT)):
-        tables.append(part, path)
-    return spark.read.parquet(path).select("message_id", "score", "source", F.lit(1).alias("batch_rows"))
+        tables.append(C.normalize_message(part), path)
+    stored = spark.read.schema(schemas.RAW_MESSAGES).parquet(path)
+    return stored.select("document_id", "message_id", "score", "source", "title", "depth")
 
 
 @query("field_merge_upsert", select(
     f"""select coalesce(n.message_id, o.message_id) as message_id, coalesce(n.title, o.title) as title,
-      coalesce(n.author, o.author) as author, o.url, n.score from
-      (select * from deduped where {_STORED}) o full join
-      (select message_id, score, case when score > 20 then upper(title) end as title, author from deduped
-        where {_BATCH}) n on o.message_id = n.message_id""", "deduped"))
+      coalesce(n.author, o.author) as author, o.url, n.score, o.event_id as event_id from
+      (select * from raw where {_STORED}) o full join
+      (select message_id, arg_max(score, event_id) as score, arg_max(author, event_id) filter (author is not null) as author,
+        arg_max(upper(title), event_id) filter (score > 20 and title is not null) as title
+        from raw where {_BATCH} and event_id % 11 <> 0 group by 1) n on o.message_id = n.message_id
+    union all select null, case when score > 20 then upper(title) end, author, null, score, null from raw
+      where {_BATCH} and event_id % 11 = 0""", "raw"))
 def _field_merge_upsert(spark, sf):
-    rows = deduped(spark, sf)
-    stored = rows.where(_STORED).select("message_id", "title", "author", "url")
+    """The batch repeats keys, and some of its rows have none."""
+    rows = raw(spark, sf)
+    stored = rows.where(_STORED).select("message_id", "title", "author", "url", F.col("event_id").alias("stored_id"))
     batch = rows.where(_BATCH).select(
-        "message_id", "score", F.when(F.col("score") > 20, F.upper("title")).alias("title"), "author"
+        F.when(F.col("event_id") % 11 != 0, F.col("message_id")).alias("message_id"), "score",
+        F.when(F.col("score") > 20, F.upper("title")).alias("title"), "author", "event_id",
     )
-    return merge.field_merge_upsert(stored, batch, "message_id")
+    merged = merge.field_merge_upsert(stored, batch, "message_id", latest=["event_id"])
+    return merged.select("message_id", "title", "author", "url", "score", F.col("stored_id").alias("event_id"))
 
 
 @query("staging_ack", select(
@@ -245,16 +359,16 @@ def _ensure_listing_table(spark, sf):
     """select 'messages' as name, message_id, count(*) as n from deduped group by 2
     union all select 'backup', message_id, count(*) from raw group by 2""", "raw", "deduped"))
 def _backup_truncate_reload(spark, sf):
-    path, backup = scratch_path(spark, "messages"), scratch_path(spark, "backup")
-    tables.append(raw(spark, sf), path)
-    reloaded = tables.backup_truncate_reload(dedup_by_ingestion(spark.read.parquet(path)), path, backup)
+    root = scratch_path(spark, "messages")
+    tables.write_version(raw(spark, sf), root)
+    reloaded, backup = tables.backup_truncate_reload(spark, root, dedup_by_ingestion)
 
     def counts(name, df):
         return df.groupBy("message_id").agg(F.count("*").alias("n")).select(
             F.lit(name).alias("name"), "message_id", "n"
         )
 
-    return counts("messages", reloaded).unionByName(counts("backup", spark.read.parquet(backup)))
+    return counts("messages", reloaded).unionByName(counts("backup", backup))
 
 
 @query("temp_result_table", select("select count(*) as n from mentions", "mentions"))
@@ -264,10 +378,15 @@ def _temp_result_table(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("n"))
 
 
-@query("create_like", select("select document_id, content, score from raw", "raw"))
+@query("create_like", select("select count(*) as rows_of_source, 0 as rows, 1 as same_schema from raw", "raw"))
 def _create_like(spark, sf):
+    """A frame without rows and with the columns of the messages."""
     rows = raw(spark, sf)
-    return tables.create_like(rows).unionByName(rows).select("document_id", "content", "score")
+    empty = tables.create_like(rows)
+    same = int(empty.schema == rows.schema)
+    return rows.agg(F.count("*").alias("rows_of_source")).select(
+        "rows_of_source", F.lit(empty.count()).cast("int").alias("rows"), F.lit(same).alias("same_schema")
+    )
 
 
 @query("merge_staged", select(
@@ -306,15 +425,14 @@ def _new_mentions(spark, sf):
 
 
 @query("mention_exists", select(
-    "select ticker, cast(bool_or(created_at < timestamp '2024-01-02') as int) as found from mentions group by 1",
-    "mentions"))
+    """select t as ticker, cast(exists (select 1 from mentions m where m.ticker = t and m.message_id = 'm' || k) as int) as found
+    from (select unnest(['AAPL', 'TSLA', 'AMD']) as t), (select unnest([7, 40]) as k)""", "mentions"))
 def _mention_exists(spark, sf):
-    """For every ticker whether it was mentioned on the first day: the bulk form."""
+    """Some keys, looked up one by one."""
     rows = stored_mentions(spark, sf)
-    first = rows.where(F.col("created_at") < "2024-01-02").select("ticker").distinct()
-    return rows.select("ticker").distinct().join(
-        first.withColumn("found", F.lit(1)), "ticker", "left"
-    ).select("ticker", F.coalesce("found", F.lit(0)).alias("found"))
+    keys = [(t, f"m{k}") for t in ("AAPL", "TSLA", "AMD") for k in (7, 40)]
+    found = [(t, int(merge.key_exists(rows, ticker=t, message_id=m))) for t, m in keys]
+    return spark.createDataFrame(found, "ticker string, found int")
 
 
 @query("point_lookup", select(
@@ -379,7 +497,7 @@ _CHECKED = """known as (select thread_id, max(created_at) - interval 3 day as la
     """select message_id, thread_id from threaded where thread_id is distinct from (select thread_id from known)
       or created_at > (select last_check from known)""", "deduped", more=f"{_COMMENTS}, {_CHECKED}"))
 def _new_thread_comments(spark, sf):
-    """The thread with the newest comment counts as checked three days before it."""
+    """The thread with the newest comment is stored as checked three days before it."""
     rows = threads.comment_depth(deduped(spark, sf)).withColumn("timestamp", F.col("created_at"))
     known = (
         rows.where(F.col("thread_id").isNotNull())
@@ -388,10 +506,12 @@ def _new_thread_comments(spark, sf):
         .orderBy(F.desc("newest"), "thread_id")
         .limit(1)
     )
-    last_check = known.select(F.col("newest") - F.expr("interval 3 days")).scalar()
-    return threads.new_thread_comments(rows, known.select("thread_id").scalar(), last_check).select(
-        "message_id", "thread_id"
-    )
+    state = ThreadState(spark, scratch_path(spark, "threads"))
+    state.save("an earlier one", datetime(2023, 12, 1, tzinfo=timezone.utc))
+    row = known.head()
+    state.save(row.thread_id, (row.newest - timedelta(days=3)).replace(tzinfo=timezone.utc))
+    last_id, last_check = state.last()
+    return threads.new_thread_comments(rows, F.lit(last_id), F.lit(last_check)).select("message_id", "thread_id")
 
 
 _LIMIT, _PER_FORUM, _PER_POST = 5000, 1000, 3
@@ -417,6 +537,25 @@ def _thread_limit(spark, sf):
     )
 
 
+@query("thread_limit_discussion", select(
+    """select thread_id, message_id, place from (select message_id as thread_id, message_id, 0 as place from newest union all
+      select message_id, message_id, 0 from daily union all
+      select thread_id, message_id, row_number() over (partition by thread_id order by path) from threaded
+        where thread_id in (select message_id from daily))""", "deduped",
+    more=f"""{_COMMENTS}, newest as materialized (select message_id from deduped where message_type = 'REDDIT_POST'
+        and subreddit = 'options' qualify row_number() over (order by created_at desc, message_id) = 1),
+      daily as materialized (select message_id from deduped where message_type = 'REDDIT_POST'
+        and subreddit = 'wallstreetbets' and contains(lower(title), 'daily discussion thread')
+        order by created_at desc, message_id limit 1)"""))
+def _thread_limit_discussion(spark, sf):
+    """One post without comments, then the whole discussion thread of a Friday."""
+    rows = deduped(spark, sf)
+    pick = threads.daily_thread_pick(rows, datetime(2024, 1, 5))
+    return threads.thread_limit(
+        rows, 1_000_000, forums=("options",), posts_per_forum=1, comments_per_post=0, discussion=pick
+    )
+
+
 # -- state and whole runs --
 
 _LOG_SQL = f"""log as (select case {' '.join(f"when event_id % 10 = {i} then '{s}'" for i, s in enumerate(V.STEPS))}
@@ -443,14 +582,26 @@ def _all_watermarks(spark, sf):
     return current_watermarks(run_log(spark, sf)).select("step", "last_run")
 
 
+def _stored_state(spark, sf):
+    path = scratch_path(spark, "state")
+    run_log(spark, sf).write.parquet(path)
+    return RunState(spark, path)
+
+
+def _moment(spark, step, moment):
+    rows = [(step, moment.strftime("%Y-%m-%d %H:%M:%S.%f").rstrip("0").rstrip("."))] if moment else []
+    return spark.createDataFrame(rows, "step string, last_run string")
+
+
 @query("step_watermark", select(f"select * from ({_WATERMARKS}) where step = 'daily_aggregation'", "raw", more=_LOG_SQL))
 def _step_watermark(spark, sf):
-    return current_watermarks(run_log(spark, sf)).where("step = 'daily_aggregation'").select("step", "last_run")
+    step = "daily_aggregation"
+    return _moment(spark, step, _stored_state(spark, sf).step_watermark(step))
 
 
 @query("run_watermark", select(f"select * from ({_WATERMARKS}) where step = 'run'", "raw", more=_LOG_SQL))
 def _run_watermark(spark, sf):
-    return current_watermarks(run_log(spark, sf)).where("step = 'run'").select("step", "last_run")
+    return _moment(spark, "run", _stored_state(spark, sf).run_watermark())
 
 
 @query("advance_watermark", select(
@@ -527,38 +678,28 @@ def _stateful_dedup(spark, sf):
     return spark.read.parquet(out).select("message_id")
 
 
-def _window_sql(grain):
-    return (
-        f"select ticker, {PERIODS[grain.name]} as {grain.period}, count(*) as mention_count, "
-        "cast(sum(cast(sentiment_compound as decimal(18,6))) as double) as sentiment_sum from mentions group by 1, 2"
-    )
-
-
-def _plain_totals(df, grain):
-    return df.select("ticker", grain.period, "mention_count", F.col("sentiment_sum").cast("double"))
-
-
-def _period_text(df, grain):
-    return df.withColumn(grain.period, F.to_date(grain.period)) if grain.name == "daily" else df
+def window_metrics(totals, grain):
+    return G.means(totals, grain).select(*metric_columns(grain))
 
 
 def _add_windows(grain):
-    @query(f"tumbling_{grain.name}", select(_window_sql(grain), "mentions"))
+    @query(f"tumbling_{grain.name}", select(summary_sql(grain), "mentions"))
     def _tumbling(spark, sf):
-        return _period_text(_plain_totals(window_totals(stored_mentions(spark, sf), grain), grain), grain)
+        return window_metrics(window_totals(stored_mentions(spark, sf), grain), grain)
 
-    @query(f"tumbling_{grain.name}_stream", select(_window_sql(grain), "mentions"))
+    @query(f"tumbling_{grain.name}_stream", select(summary_sql(grain), "mentions"))
     def _tumbling_stream(spark, sf):
-        """The same windows over a stream, in update mode."""
+        """The same windows over a stream of several batches, in update mode, with rows of
+        one window in different batches."""
         out = scratch_path(spark, "totals")
-        stream = file_stream(stored_mentions(spark, sf))
+        stream = file_stream(stored_mentions(spark, sf).repartition(6, "message_id"), files_per_batch=2)
         totals = window_totals(stream, grain, "40 days")
         _drain(
             totals.writeStream.foreachBatch(write_updates(out)).outputMode("update")
             .option("checkpointLocation", scratch_path(spark, "progress"))
         )
-        latest = latest_updates(spark.read.parquet(out), grain.keys)
-        return _period_text(_plain_totals(latest, grain), grain)
+        latest = compact_updates(spark, out, scratch_path(spark, "compact"), grain.keys)
+        return window_metrics(latest, grain)
 
 
 for _grain in G.GRAINS.values():
@@ -583,12 +724,32 @@ def _tumbling_hour_day_week(spark, sf):
 
 @query("incremental_stream", select(summary_sql(G.WEEKLY), "mentions"))
 def _incremental_stream(spark, sf):
-    """Messages as a stream of two batches; the weekly table at the end equals a full run."""
-    root = scratch_path(spark, "tables")
+    """Messages as a stream of two batches. The second one holds copies of all messages on
+    other days, which add nothing: the weekly table at the end equals a full run."""
+    root, path = scratch_path(spark, "tables"), scratch_path(spark, "stream")
     tables.create_tables(spark, root)
-    stream = file_stream(raw(spark, sf).repartitionByRange(2, "message_id"), files_per_batch=1)
-    _drain(incremental(
-        stream, root, universe(spark, sf), scratch_path(spark, "progress")
-    ))
+    single = dedup_by_event_time(C.valid_content(raw(spark, sf)))
+    copies = single.withColumn("created_at", F.col("created_at") + F.expr("interval 9 days"))
+    for part in (single, copies):
+        part.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", 1).schema(single.schema)
+    _drain(incremental(reader.parquet(path), root, universe(spark, sf), scratch_path(spark, "progress")))
     return tables.read_table(spark, root, "stock_weekly_summary").select(*metric_columns(G.WEEKLY))
 
+
+
+@query("scheduled_flow", select(
+    f"""select subreddit, message_count, avg_sentiment, (select count(*) from raw) as before, (select count(*) from deduped) as messages,
+      (select count(*) from mentions) as mentions from ({SENTIMENT_SQL})""", "raw", "deduped", "mentions"))
+def _scheduled_flow(spark, sf):
+    """All stages over the stored messages; what is exported, and the rows of the tables."""
+    root, out = scratch_path(spark, "flow"), scratch_path(spark, "export")
+    before = raw(spark, sf)
+    tables.write_version(before, f"{root}/messages")
+    scheduled(spark, root, universe(spark, sf), out)
+    current = spark.read.parquet(tables.current_path(spark, f"{root}/messages"))
+    counts = {
+        "before": before, "messages": current, "mentions": tables.read_table(spark, root, "stock_mentions"),
+    }
+    exported = spark.read.parquet(out).select("subreddit", "message_count", "avg_sentiment")
+    return exported.select("*", *[F.lit(df.count()).cast("bigint").alias(n) for n, df in counts.items()])

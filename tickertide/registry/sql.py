@@ -90,8 +90,9 @@ def confidence(compound: str, score: str) -> str:
     )
 
 
-def context_parts(window: int) -> str:
-    """For rows (key, text, ticker): text around the first three exact mentions."""
+def context_parts(window: int, matches: int | None = None, pairs: str = "pairs") -> str:
+    """For rows (key, text, ticker): text around the exact mentions, all or the first ones."""
+    first = f"where rn <= {matches} " if matches else ""
     return f"""
       select key, string_agg(part, ' ' order by i) as windows from (
         select key, i, substr(text, greatest(st - dollar - {window}, 0) + 1,
@@ -104,14 +105,58 @@ def context_parts(window: int) -> str:
             case when pieces[i + 1] = '' then case when i + 1 = len(pieces) then '' else 'a' end else left(pieces[i + 1], 1) end as nxt,
             case when right(pieces[i], 1) = '$' and ((length(pieces[i]) = 1 and i > 1)
               or regexp_matches(pieces[i], '{W}\\$$')) then 1 else 0 end as dollar
-          from (select key, text, ticker, string_split(text, ticker) as pieces from pairs),
+          from (select key, text, ticker, string_split(text, ticker) as pieces from {pairs}),
             unnest(range(1, len(pieces))) as u(i))
         where not regexp_matches(prev, '{W}') and not regexp_matches(nxt, '{W}'))
-      where rn <= 3 group by key"""
+      {first}group by key"""
 
 
-_BUYS = count_terms("f512", V.BUY_TERMS, V.BUY_EMOJI)
-_SELLS = count_terms("f512", V.SELL_TERMS)
+def text_ctes(limits: V.TextLimits, end: str = "") -> dict[str, str]:
+    """The expressions from texts to mentions under some limits; their names get ``end``."""
+
+    def head(text: str, n: int | None) -> str:
+        return f"substr({text}, 1, {n})" if n else text
+
+    f = FOLD.format(head("context", limits.scorer_chars))
+    picked = f"where rn <= {limits.max_tickers}" if limits.max_tickers else ""
+    return {
+        f"words{end}": rf"""select message_id, i as pos,
+        upper(regexp_extract(ws[i], '^([A-Za-z]{{2,5}})(?:[^A-Za-z]|$)', 1)) as w
+      from (select message_id, regexp_extract_all({head('text', limits.max_chars)}, '{W}+') as ws from texts),
+        unnest(range(1, len(ws) + 1)) as u(i)""",
+        f"hits{end}": f"""select message_id, w as ticker, min(pos) as pos from words{end}
+      where w <> '' and lower(w) not in ({_list(V.STOPWORDS)}) and w not in ({_list(V.NON_TICKER_WORDS)})
+        and w in (select ticker from universe) group by 1, 2""",
+        f"picked{end}": f"""select message_id, ticker from (select *, row_number() over (partition by message_id order by pos) as rn
+      from hits{end}) {picked}""",
+        f"pairs{end}": f"""select coalesce(p.message_id, '') || '/' || p.ticker as key, p.message_id, p.ticker, t.text from picked{end} p join texts t
+      on p.message_id is not distinct from t.message_id""",
+        f"windows{end}": context_parts(V.CONTEXT_WINDOW, limits.matches, f"pairs{end}"),
+        f"contexts{end}": f"""select p.message_id, p.ticker, p.text, w.windows,
+        case when length(text) <= {3 * V.CONTEXT_WINDOW} then text
+          when windows is not null then windows
+          when strpos(text, ticker) > 0 then {head('text', limits.head)}
+          else '' end as found
+      from pairs{end} p left join windows{end} w on p.key = w.key""",
+        f"chosen{end}": f"""select message_id, ticker, case when found <> '' then found
+      else {head('text', limits.fallback)} end as context from contexts{end}""",
+        f"scored{end}": f"""select *, case when b + s > 0 then b / (b + s) else 0.0 end as pos,
+        case when b + s > 0 then s / (b + s) else 0.0 end as neg,
+        cast(case when b + s > 0 then 0 else 1 end as double) as neu from (
+      select *, cast({_BUYS} as double) as b, cast({_SELLS} as double) as s from (
+        select *, {f} as folded from chosen{end}))""",
+        f"mentions{end}": f"""select s.message_id, s.ticker, t.author, t.created_at, t.subreddit, t.url,
+        coalesce(t.score, 0) as score, t.message_type, compound as sentiment_compound,
+        pos as sentiment_positive, neg as sentiment_negative, neu as sentiment_neutral,
+        {signals('s.context')} as signals, {head('s.context', limits.stored_chars)} as context,
+        {confidence('compound', 't.score')} as confidence
+      from (select *, cast(round(cast(pos - neg as decimal(18,6)), 3) as double) as compound from scored{end}) s
+      join texts t on s.message_id = t.message_id""",
+    }
+
+
+_BUYS = count_terms("folded", V.BUY_TERMS, V.BUY_EMOJI)
+_SELLS = count_terms("folded", V.SELL_TERMS)
 
 CTES = {
     "raw": derived.RAW_MESSAGES_SQL,
@@ -129,52 +174,22 @@ CTES = {
         else content end as text from clean) where regexp_matches(text, '[^\t-\r\x1c-\x1f \x{{85}}\p{{Z}}]')""",
     "universe": f"""select ticker from (select ticker, avg(volume) as v from ohlcv group by 1
         order by v desc, ticker limit {V.UNIVERSE_SIZE}) where regexp_full_match(ticker, '[A-Z]{{1,5}}')""",
-    "words": rf"""select message_id, i as pos,
-        upper(regexp_extract(ws[i], '^([A-Za-z]{{2,5}})(?:[^A-Za-z]|$)', 1)) as w
-      from (select message_id, regexp_extract_all(substr(text, 1, {V.TICKER_SCAN_CHARS}), '{W}+') as ws from texts),
-        unnest(range(1, len(ws) + 1)) as u(i)""",
-    "all_words": rf"""select message_id, i as pos,
-        upper(regexp_extract(ws[i], '^([A-Za-z]{{2,5}})(?:[^A-Za-z]|$)', 1)) as w
-      from (select message_id, regexp_extract_all(text, '{W}+') as ws from texts),
-        unnest(range(1, len(ws) + 1)) as u(i)""",
-    "hits": f"""select message_id, w as ticker, min(pos) as pos from words
-      where w <> '' and lower(w) not in ({_list(V.STOPWORDS)}) and w not in ({_list(V.NON_TICKER_WORDS)})
-        and w in (select ticker from universe) group by 1, 2""",
-    "picked": f"""select message_id, ticker from (select *, row_number() over (partition by message_id order by pos) as rn
-      from hits) where rn <= {V.MAX_TICKERS}""",
-    "pairs": """select p.message_id || '/' || p.ticker as key, p.message_id, p.ticker, t.text from picked p join texts t
-      on p.message_id = t.message_id""",
-    "windows": context_parts(V.CONTEXT_WINDOW),
-    "contexts": f"""select p.message_id, p.ticker, p.text, w.windows,
-        case when length(text) <= {3 * V.CONTEXT_WINDOW} then text
-          when windows is not null then windows
-          when strpos(text, ticker) > 0 then substr(text, 1, {2 * V.CONTEXT_WINDOW})
-          else '' end as found
-      from pairs p left join windows w on p.key = w.key""",
-    "chosen": f"""select message_id, ticker, case when found <> '' then found
-      else substr(text, 1, {V.CONTEXT_FALLBACK}) end as context from contexts""",
-    "scored": f"""select *, case when b + s > 0 then b / (b + s) else 0.0 end as pos,
-        case when b + s > 0 then s / (b + s) else 0.0 end as neg,
-        cast(case when b + s > 0 then 0 else 1 end as double) as neu from (
-      select *, cast({_BUYS} as double) as b, cast({_SELLS} as double) as s from (
-        select *, {FOLD.format(f'substr(context, 1, {V.SCORER_CHARS})')} as f512 from chosen))""",
-    "mentions": f"""select s.message_id, s.ticker, t.author, t.created_at, t.subreddit, t.url,
-        coalesce(t.score, 0) as score, t.message_type, compound as sentiment_compound,
-        pos as sentiment_positive, neg as sentiment_negative, neu as sentiment_neutral,
-        {signals('s.context')} as signals, substr(s.context, 1, {V.STORED_CONTEXT}) as context,
-        {confidence('compound', 't.score')} as confidence
-      from (select *, cast(round(cast(pos - neg as decimal(18,6)), 3) as double) as compound from scored) s
-      join texts t on s.message_id = t.message_id""",
+    **text_ctes(V.WHOLE_TEXT),
+    **text_ctes(V.SHORT_TEXT, "_short"),
 }
 _NEEDS = {
     "deduped": ["raw"], "clean": ["raw"], "texts": ["clean"], "universe": ["ohlcv"],
-    "listed": ["listing"], "words": ["texts"], "all_words": ["texts"],
-    "hits": ["words", "universe"], "picked": ["hits"], "pairs": ["picked", "texts"],
-    "windows": ["pairs"], "contexts": ["pairs", "windows"], "chosen": ["contexts"],
-    "scored": ["chosen"], "mentions": ["scored", "texts"],
+    "listed": ["listing"],
 }
+for _end in ("", "_short"):
+    _NEEDS |= {
+        f"words{_end}": ["texts"], f"hits{_end}": [f"words{_end}", "universe"], f"picked{_end}": [f"hits{_end}"],
+        f"pairs{_end}": [f"picked{_end}", "texts"], f"windows{_end}": [f"pairs{_end}"],
+        f"contexts{_end}": [f"pairs{_end}", f"windows{_end}"], f"chosen{_end}": [f"contexts{_end}"],
+        f"scored{_end}": [f"chosen{_end}"], f"mentions{_end}": [f"scored{_end}", "texts"],
+    }
 # Expressions read more than once.
-_KEPT = {"raw", "clean", "texts", "pairs", "mentions", "universe", "words"}
+_KEPT = {"raw", "clean", "texts", "universe", *(f"{n}{e}" for n in ("pairs", "mentions", "words") for e in ("", "_short"))}
 
 
 def _closure(names) -> set[str]:

@@ -69,6 +69,12 @@ RUN_STATE = (
     "step string, last_run timestamp, updated_at timestamp"
 )
 
+VERSIONS = "version bigint, path string"
+
+RAW_DAYS = "message_id string, event_date date"
+
+BATCHES = "batch string, event_date date, done boolean"
+
 THREAD_STATE = (
     "source string, last_daily_discussion_id string, last_updated timestamp"
 )

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide import vocab as V
 from tickertide.operators.clean import since_watermark, valid_content
 from tickertide.operators.dedup import dedup_by_event_time
 
@@ -50,10 +49,10 @@ def scan_staging(
     spark: SparkSession,
     path: str,
     schema: str,
-    limit: int | None = V.STAGED_PER_RUN,
+    limit: int | None = None,
     key: str = "document_id",
 ) -> DataFrame:
-    """Staged JSON documents, the first by document id up to so many per run."""
+    """Staged JSON documents; with a limit the first by document id."""
     staged = spark.read.schema(schema).json(path)
     return staged.orderBy(key).limit(limit) if limit else staged
 

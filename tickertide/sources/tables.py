@@ -20,9 +20,10 @@ from tickertide.operators.merge import (
     new_rows,
     raw_upsert,
     replace_upsert,
+    staging_ack,
     with_etl_timestamp,
 )
-from tickertide.operators.summaries import Grain, accumulate, summarize
+from tickertide.operators.summaries import Grain, accumulate, summarize, without_ids
 from tickertide.operators.universe import listing_symbols, require_rows
 from tickertide.session import cut_lineage
 from tickertide.sources.listing import listing_scan
@@ -37,7 +38,6 @@ PARTITION_TIME = {
 }
 PARTITION = "event_date"
 CLUSTER = ("source", "subreddit", "message_type")
-LISTED_DAYS = 1000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -129,16 +129,12 @@ def same_periods(
 ) -> DataFrame:
     """Rows of the stored table in the day folders of the periods that the batch touches.
 
-    Up to ``LISTED_DAYS`` periods are named one by one, so that only their folders are
-    read; beyond that the span from the first to the last one is.
+    The periods are named one by one, so that only their folders are read; there are no
+    more of them than days in the calendar. Rows without a time are in no period.
     """
     touched = period(F.col(PARTITION)).cast("date")
-    periods = batch.select(touched.alias("period")).distinct()
-    listed = [r.period for r in periods.limit(LISTED_DAYS + 1).collect()]
-    if len(listed) <= LISTED_DAYS:
-        return stored.where(touched.isin(listed))
-    first, last = periods.agg(F.min("period"), F.max("period")).head()
-    return stored.where(touched.between(first, last))
+    periods = batch.select(touched.alias("period")).where("period is not null").distinct()
+    return stored.where(touched.isin([r.period for r in periods.collect()]))
 
 
 def mentions_append_new(
@@ -146,51 +142,65 @@ def mentions_append_new(
 ) -> DataFrame | None:
     """Append the mentions whose message and ticker are not stored.
 
-    ``mentions`` is read more than once, so it should be a table or a checkpoint. The
-    stored side is read for the days of the batch only: a message keeps its date. With
-    ``keep_added`` the added rows are returned.
+    ``mentions`` is read more than once, so it should be a table or a checkpoint. Copies of
+    a message may have other dates, so the keys of the whole stored table are compared; of
+    the stored rows with a key no other column is read. With ``keep_added`` the added rows
+    are returned.
     """
-    batch = with_event_date(with_etl_timestamp(mentions), "created_at")
-    stored = same_periods(read_table(spark, root, "stock_mentions"), batch)
-    added = new_rows(batch, stored, ["message_id", "ticker"]).drop(PARTITION)
+    batch = with_etl_timestamp(mentions)
+    added = new_rows(batch, read_table(spark, root, "stock_mentions"), ["message_id", "ticker"])
     if keep_added:
         added = cut_lineage(added)
     partition_and_cluster(added, f"{root}/stock_mentions", "created_at")
     return added if keep_added else None
 
 
-def refresh_summary(spark: SparkSession, root: str, mentions: DataFrame, grain: Grain) -> None:
-    """Recompute the summary of every period that ``mentions`` touches, all tickers of it.
+def write_sums(sums: DataFrame, root: str, grain: Grain) -> None:
+    """Overwrite the touched day folders of a summary and of the sums it derives from."""
+    table = f"stock_{grain.name}_summary"
+    sums = cut_lineage(sums)
+    partition_and_cluster(sums, f"{root}/{table}_sums", grain.period, mode="overwrite")
+    summary = without_ids(sums.select(*schemas.columns(table)))
+    partition_and_cluster(summary, f"{root}/{table}", grain.period, mode="overwrite")
+
+
+def period_mentions(spark: SparkSession, root: str, days: DataFrame, grain: Grain) -> DataFrame:
+    """Stored mentions of the periods that ``days`` (event_date) lie in."""
+    period = grain.start if grain.name == "weekly" else F.to_date
+    return same_periods(read_table(spark, root, "stock_mentions"), days, period)
+
+
+def refresh_summary(spark: SparkSession, root: str, days: DataFrame, grain: Grain) -> None:
+    """Recompute the summary of every period that ``days`` touch, all tickers of it.
 
     Only the touched folders are read and written, nothing stored is merged, and running
-    it again gives the same table.
+    it again gives the same table. The sums are kept beside it, for batches to be added.
     """
-    batch = with_event_date(mentions, "created_at")
-    period = grain.start if grain.name == "weekly" else F.to_date
-    rows = same_periods(read_table(spark, root, "stock_mentions"), batch, period)
-    partition_and_cluster(
-        summarize(rows, grain), f"{root}/stock_{grain.name}_summary", grain.period, mode="overwrite"
-    )
+    rows = period_mentions(spark, root, days, grain)
+    write_sums(summarize(rows, grain, keep_sums=True), root, grain)
 
 
 def accumulate_summary(spark: SparkSession, root: str, added: DataFrame, grain: Grain) -> None:
-    """Add new mentions to the stored sums of their periods; the means follow.
+    """Add new mentions, which are stored already, to the sums of their periods.
 
-    The sums are a table of their own beside the summary. No old mention is read. The
-    same mentions must not be added twice.
+    Old mentions are read only in periods that have no sums yet. The same mentions must not
+    be added twice; see ``plans.run.save_batch``.
     """
-    table = f"stock_{grain.name}_summary"
-    path = f"{root}/{table}_sums"
-    batch = cut_lineage(
-        with_event_date(summarize(added, grain, keep_sums=True), grain.period)
-    )
-    total = batch.drop(PARTITION)
-    if table_exists(spark, path):
-        stored = same_periods(spark.read.parquet(path), batch).drop(PARTITION)
-        total = cut_lineage(accumulate(stored, total, grain))
-    partition_and_cluster(total, path, grain.period, mode="overwrite")
-    summary = total.select(*schemas.columns(table))
-    partition_and_cluster(summary, f"{root}/{table}", grain.period, mode="overwrite")
+    path = f"{root}/stock_{grain.name}_summary_sums"
+    batch = cut_lineage(with_event_date(summarize(added, grain, keep_sums=True), grain.period))
+    if not table_exists(spark, path):
+        write_sums(summarize(period_mentions(spark, root, batch, grain), grain, keep_sums=True), root, grain)
+        return
+    stored = same_periods(spark.read.parquet(path), batch)
+    summed = stored.select(PARTITION).distinct()
+    known = batch.join(summed, PARTITION, "left_semi").drop(PARTITION)
+    total = accumulate(stored.drop(PARTITION), known, grain)
+    # Periods that only have mentions.
+    missing = cut_lineage(batch.select(PARTITION).distinct().join(summed, PARTITION, "left_anti"))
+    if not missing.isEmpty():
+        rest = summarize(period_mentions(spark, root, missing, grain), grain, keep_sums=True)
+        total = total.unionByName(rest)
+    write_sums(total, root, grain)
 
 
 def summary_upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, keys: list[str]) -> int:
@@ -203,13 +213,41 @@ def summary_upsert(spark: SparkSession, root: str, name: str, batch: DataFrame,
     return fresh.count()
 
 
-def backup_truncate_reload(df: DataFrame, path: str, backup: str) -> DataFrame:
-    """Keep a copy of the table at ``path``, then replace it by ``df`` (a plan over it)."""
+def current_path(spark: SparkSession, root: str) -> str | None:
+    """Where the current version of a table lies; None if there is none."""
+    log = f"{root}/versions"
+    if not table_exists(spark, log):
+        return None
+    newest = spark.read.schema(schemas.VERSIONS).parquet(log).orderBy(F.desc("version")).head(1)
+    return newest[0].path if newest else None
+
+
+def write_version(df: DataFrame, root: str) -> str:
+    """Write ``df`` as the next version of the table at ``root`` and make it the current one.
+
+    ``df`` may read the current version, which stays as it is. The entry in the log of
+    versions comes last, so a write that fails changes nothing.
+    """
     spark = df.sparkSession
-    cleaned = cut_lineage(df)
-    spark.read.parquet(path).write.mode("overwrite").parquet(backup)
-    cleaned.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    log = f"{root}/versions"
+    last = spark.read.schema(schemas.VERSIONS).parquet(log).agg(F.max("version")).head()[0] if table_exists(spark, log) else None
+    number = (last or 0) + 1
+    path = f"{root}/version-{number}"
+    df.write.mode("overwrite").parquet(path)
+    entry = spark.createDataFrame([(number, path)], schemas.VERSIONS)
+    entry.coalesce(1).write.mode("append").parquet(log)
+    return path
+
+
+def backup_truncate_reload(
+    spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Replace a versioned table by a change of itself; returns it and the one before.
+
+    The data are written once; the old version is the backup.
+    """
+    before = spark.read.parquet(current_path(spark, root))
+    return spark.read.parquet(write_version(change(before), root)), before
 
 
 def temp_result_table(df: DataFrame, path: str) -> int:
@@ -228,6 +266,68 @@ def merge_staged(stored: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataF
     return raw_upsert(stored, wanted), affected_rows(stored, wanted)
 
 
+def ingest_raw(spark: SparkSession, root: str, staged: DataFrame) -> Row:
+    """Merge staged documents into the stored raw messages and acknowledge them.
+
+    ``staged`` has the columns of ``normalize_message``. Deleted rows are not merged. Only
+    the day folders that hold one of the messages, or will, are rewritten; which these are
+    says a table of the keys and days of all messages. Documents count as processed once the
+    merge is written. Running a batch again merges the same rows again, which changes
+    nothing, and documents processed earlier are left out. Returns the counts of updated and
+    inserted rows.
+    """
+    table, keys, done = f"{root}/raw_messages", f"{root}/raw_message_days", f"{root}/staging_done"
+    if not table_exists(spark, table):
+        spark.createDataFrame([], schemas.RAW_MESSAGES).write.mode("ignore").parquet(table)
+    if not table_exists(spark, keys):
+        spark.createDataFrame([], schemas.RAW_DAYS).write.mode("ignore").parquet(keys)
+    batch = cut_lineage(waiting(spark, root, staged))
+    wanted = drop_deleted(batch)
+    dated = with_event_date(wanted, PARTITION_TIME["raw_messages"])
+    ids = wanted.select("message_id").where("message_id is not null").distinct()
+    held = spark.read.schema(schemas.RAW_DAYS).parquet(keys).join(ids, "message_id", "left_semi").select(PARTITION)
+    days = cut_lineage(held.unionByName(dated.select(PARTITION)).distinct())
+    schema = f"{schemas.RAW_MESSAGES}, {PARTITION} date"
+    stored = spark.read.schema(schema).parquet(table)
+    # A null day is a folder like any other.
+    touched = [r[0] for r in days.collect()]
+    inside = F.col(PARTITION).isin([d for d in touched if d is not None])
+    inside = (inside | F.col(PARTITION).isNull()) if None in touched else inside
+    old = stored.where(inside).drop(PARTITION)
+    # Rows without message_id are added; those of a batch that runs again are known by document.
+    again = old.where("message_id is null").select("document_id").distinct()
+    wanted = wanted.where("message_id is not null").unionByName(
+        wanted.where("message_id is null").join(again, "document_id", "left_anti").select(*wanted.columns)
+    )
+    counts = cut_lineage(affected_rows(old, wanted))
+    merged = cut_lineage(raw_upsert(old, wanted))
+    moved = with_event_date(merged, PARTITION_TIME["raw_messages"])
+    partition_and_cluster(merged, table, PARTITION_TIME["raw_messages"], mode="overwrite")
+    # A message whose time changed leaves its old folder; that may be empty now.
+    left = days.join(moved.select(PARTITION).distinct(), PARTITION, "left_anti").where("event_date is not null")
+    for row in left.collect():
+        _drop_folder(spark, f"{table}/{PARTITION}={row[0]}")
+    fresh = moved.select("message_id", PARTITION).where("message_id is not null").distinct()
+    known = spark.read.schema(schemas.RAW_DAYS).parquet(keys)
+    fresh.join(known, ["message_id", PARTITION], "left_anti").write.mode("append").parquet(keys)
+    batch.select("document_id").where("document_id is not null").write.mode("append").parquet(done)
+    return counts.head()
+
+
+def waiting(spark: SparkSession, root: str, staged: DataFrame) -> DataFrame:
+    """Staged documents that no ingest has processed."""
+    done = f"{root}/staging_done"
+    if not table_exists(spark, done):
+        return staged
+    return staging_ack(staged, spark.read.schema("document_id string").parquet(done))
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    """Leave a folder of a table without rows."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(java, True)
+
+
 def ensure_listing_table(spark: SparkSession, path: str, sources: dict[str, str]) -> bool:
     """Fill the listing table if it is missing. True if it was there already."""
     if table_exists(spark, path):

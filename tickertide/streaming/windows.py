@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickertide.operators.dedup import first_rows
-from tickertide.operators.summaries import EXACT, Grain
+from tickertide.operators.summaries import Grain, measures
 
 
 def tumbling(grain: Grain, time: str = "created_at") -> Column:
@@ -21,19 +21,15 @@ def tumbling(grain: Grain, time: str = "created_at") -> Column:
 
 
 def window_totals(mentions: DataFrame, grain: Grain, delay: str | None = None) -> DataFrame:
-    """Mentions and exact sentiment sum per ticker and window, for streams and tables.
+    """Counts and exact sums per ticker and window, for streams and tables; ``means`` gives
+    the metrics of a summary from them. Count maps and contexts are not sums and left out.
 
     ``delay`` is how late a row of a stream may come.
     """
     rows = mentions.withWatermark("created_at", delay) if delay else mentions
-    return (
-        rows.groupBy("ticker", tumbling(grain).alias("w"))
-        .agg(
-            F.count("*").alias("mention_count"),
-            F.sum(F.col("sentiment_compound").cast(EXACT)).alias("sentiment_sum"),
-        )
-        .select("ticker", F.col("w.start").alias(grain.period), "mention_count", "sentiment_sum")
-    )
+    totals = rows.withColumn("_main", F.lit(True)).groupBy("ticker", tumbling(grain).alias("w")).agg(*measures(grain))
+    period = F.to_date("w.start") if grain.name == "daily" else F.col("w.start")
+    return totals.select("ticker", period.alias(grain.period), *[c for c in totals.columns if c not in ("ticker", "w", "_rows")])
 
 
 def write_updates(path: str) -> Callable[[DataFrame, int], None]:
@@ -48,3 +44,9 @@ def write_updates(path: str) -> Callable[[DataFrame, int], None]:
 def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
     """The last update of every key."""
     return first_rows(updates, keys, [F.desc("batch_id")]).drop("batch_id")
+
+
+def compact_updates(spark: SparkSession, path: str, target: str, keys: list[str]) -> DataFrame:
+    """Write the last updates so far as a table, so that readers need not rank all updates."""
+    latest_updates(spark.read.parquet(path), keys).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)

@@ -1,5 +1,7 @@
 """Word lists, patterns and names that decide the results."""
 
+from dataclasses import dataclass
+
 # -- fixed values: upper-case words that are never tickers --
 NON_TICKER_WORDS = (
     "CEO", "USA", "USD", "CFO", "SEC", "IRS", "IPO", "ETF", "GDP", "FDA", "AI",
@@ -65,21 +67,31 @@ STEPS = (
     "daily_persistence", "hourly_persistence", "weekly_persistence",
 )
 
-# -- fixed values: limits and thresholds --
-MAX_TICKERS = 10          # tickers kept per message
-TICKER_SCAN_CHARS = 2000  # characters searched for tickers
+
+
+@dataclass(frozen=True)
+class TextLimits:
+    """How much of a text the text rules use; None is all of it."""
+
+    max_tickers: int | None = None  # tickers kept per message, in order of occurrence
+    max_chars: int | None = None  # characters searched for tickers
+    matches: int | None = None  # matches shown in a context
+    fallback: int | None = None  # characters shown when the ticker has no exact match
+    head: int | None = None  # characters shown when the ticker is only inside other words
+    scorer_chars: int | None = None  # characters given to the sentiment scorer
+    stored_chars: int | None = None  # characters of context stored
+
+
+WHOLE_TEXT = TextLimits()
+# -- fixed values: limits that a run can ask for, and thresholds --
+SHORT_TEXT = TextLimits(
+    max_tickers=10, max_chars=2000, matches=3, fallback=500, head=200, scorer_chars=512, stored_chars=200
+)
 CONTEXT_WINDOW = 100      # characters kept on each side of a match
-CONTEXT_MATCHES = 3       # matches shown in a context
-CONTEXT_FALLBACK = 500    # characters shown when the ticker has no exact match
-SCORER_CHARS = 512        # characters given to the sentiment scorer
-STORED_CONTEXT = 200      # characters of context stored
 HIGH_CONFIDENCE = 0.7
 TOP_CONTEXTS = 3
 UNIVERSE_SIZE = 1000
 MIN_FORUM_MESSAGES = 10
-STAGED_PER_RUN = 10000
-COMMENTS_PER_POST = 1000
-POSTS_PER_FORUM = 100
 
 # -- fixed values: patterns --
 TICKER_PATTERN = "^[A-Z]{1,5}$"
