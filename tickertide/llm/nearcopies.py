@@ -11,13 +11,13 @@ Jaccard similarity.
   the first point that comes later than the first points of all registers, so a shingle of
   a long text costs little more than one point.
 * Banding: texts that agree in all ``ROWS`` registers of one of ``BANDS`` bands share a
-  bucket. Texts with the same shingles are one node beforehand. Each bucket links its
-  members to its smallest one, so a bucket gives as many candidates as it has members.
-* Where a member turns out not to be similar to the smallest one, other members may still be.
-  Such buckets are compared among all members outside of the same component, in blocks of
-  bounded size, by their signatures.
-* All candidates are verified on their whole weighted shingles; classes are the connected
-  components of the links.
+  bucket. Texts with the same shingles are one node beforehand. Each text is compared with
+  the smallest of the texts that come first in its buckets, which joins most groups.
+* Buckets that are not one component then are compared among all members with different
+  components, in blocks of bounded size; only links leave a block, at most one for each
+  member.
+* All comparisons are of whole weighted shingles; classes are the connected components of
+  the links.
 """
 
 from __future__ import annotations
@@ -32,17 +32,14 @@ from tickertide.llm.components import components
 from tickertide.llm.mixing import stored
 from tickertide.llm.shared import U64, find, shard_bits, shared_path, write_sorted
 from tickertide.llm.words import hashed_words, join_hashes, mix, pieces, plain, runs
-from tickertide.session import cut_lineage
 
 SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 7, 32
 REGISTERS = ROWS * BANDS
-# An estimate from 224 registers is off by 0.16 less than once in a million at 0.8.
-ESTIMATE = 0.64
 BLOCK = 512  # members compared at once
+PIECE = 2 << 20  # text bytes worked on at once
 SIGNED = "shingles bigint, print0 bigint, print1 bigint, bands array<bigint>"
-PAYLOAD = "shingles binary, signature binary"
 
 
 def weighted_shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,16 +48,17 @@ def weighted_shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray,
     A text of fewer than five words is one shingle; a text without words has none.
     """
     words, counts = hashed_words(texts)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    ends = np.cumsum(counts)
-    first = np.arange(len(words)) - np.repeat(ends - counts, counts)
-    whole = np.repeat(counts, counts)
-    columns = [words]
+    doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    # How many words of its text stand behind each word.
+    behind = np.repeat(np.cumsum(counts), counts) - np.arange(1, len(words) + 1)
+    start = behind >= size - 1
+    first = np.cumsum(counts) - counts
+    start[first[counts > 0]] = True
+    at = np.flatnonzero(start)
+    doc, behind, shingle = doc[at], behind[at], words[at]
     for k in range(1, size):
         # Beyond the end of a short text stands 0.
-        columns.append(np.where(first + k < whole, np.roll(words, -k), U64(0)))
-    start = (first + size <= whole) | (first == 0)
-    doc, shingle = doc[start], join_hashes(*[c[start] for c in columns])
+        shingle = join_hashes(shingle, np.where(behind >= k, words[np.minimum(at + k, len(words) - 1)], U64(0)))
     key = join_hashes(shingle, doc.astype(U64))
     order = np.argsort(key)
     at = runs(key[order])
@@ -115,7 +113,7 @@ def signed(text: Column) -> Column:
     @F.arrow_udf(SIGNED)
     def sign(texts: pa.Array) -> pa.Array:
         out = []
-        for _, piece in pieces(plain(texts)):
+        for _, piece in pieces(plain(texts), PIECE):
             doc, shingle, weight = weighted_shingles(piece)
             n = len(piece)
             keys = band_keys(signatures(n, doc, shingle, weight))
@@ -128,24 +126,25 @@ def signed(text: Column) -> Column:
     return sign(text)
 
 
-def payload(text: Column) -> Column:
-    """All shingles of a text, sorted, each as often as it occurs, and its signature."""
+def payload(ids: Column, text: Column, folder: str, bits: int) -> Column:
+    """For ids of a set, all shingles of the text, sorted, each as often as it occurs; null for
+    others. One function, so that a task needs one Python worker."""
 
-    @F.arrow_udf(PAYLOAD)
-    def pack(texts: pa.Array) -> pa.Array:
-        shingles, marks = [], []
-        for _, piece in pieces(plain(texts)):
+    @F.arrow_udf("binary")
+    def pack(values: pa.Array, texts: pa.Array) -> pa.Array:
+        wanted = np.flatnonzero(ids_in_set(values, folder, bits))
+        shingles = []
+        for _, piece in pieces(plain(texts.take(pa.array(wanted))), PIECE):
             doc, shingle, weight = weighted_shingles(piece)
-            signature = (signatures(len(piece), doc, shingle, weight) >> U64(32)).astype(np.uint32)
             order = np.lexsort((shingle, doc))
             repeated = np.repeat(shingle[order], weight[order])
             ends = np.cumsum(np.bincount(doc, weight, len(piece)).astype(np.int64))
-            for i, end in enumerate(ends):
-                shingles.append(repeated[(ends[i - 1] if i else 0) : end].tobytes())
-                marks.append(signature[i].tobytes())
-        return pa.StructArray.from_arrays([pa.array(shingles, pa.binary()), pa.array(marks, pa.binary())], ["shingles", "signature"])
+            shingles += [repeated[(ends[i - 1] if i else 0) : end].tobytes() for i, end in enumerate(ends)]
+        place = np.full(len(values), -1, np.int64)
+        place[wanted] = np.arange(len(wanted))
+        return pa.array(shingles, pa.binary()).take(pa.array(place, mask=place < 0))
 
-    return pack(text)
+    return pack(ids, text)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -157,10 +156,13 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """
     if not len(a) or not len(b):
         return 0.0
+    if not (a[1:] == a[:-1]).any() and not (b[1:] == b[:-1]).any():
+        both = np.concatenate((a, b))
+        both.sort()
+        n = np.count_nonzero(both[1:] == both[:-1])
+        return n / (len(both) - n)
     (ka, wa), (kb, wb) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
     common, at, bt = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-    if len(ka) == len(a) and len(kb) == len(b):
-        return len(common) / (len(ka) + len(kb) - len(common))
     if not len(common):
         return 0.0
     x, y = wa[at].astype(np.float64), wb[bt].astype(np.float64)
@@ -204,55 +206,110 @@ def in_set(ids: Column, folder: str, bits: int) -> Column:
 
     @F.arrow_udf("boolean")
     def known(values: pa.Array) -> pa.Array:
-        some = np.asarray(values.is_valid())
-        keys = mix(pa.compute.fill_null(values, 0).to_numpy(zero_copy_only=False).view(U64))
-        return pa.array(find(folder, bits, keys, [])["found"] & some)
+        return pa.array(ids_in_set(values, folder, bits))
 
     return known(ids)
 
 
-def compare_block(table: pa.Table) -> pa.Table:
-    """Pairs of members of two blocks of a bucket whose signatures agree enough."""
-    data = {n: table[n].combine_chunks() for n in ("rep", "label", "signature", "side")}
-    rep, label, side = (data[n].to_numpy(zero_copy_only=False) for n in ("rep", "label", "side"))
-    marks = np.frombuffer(b"".join(data["signature"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
-    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)  # 0: a block with itself
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in left:
-        agree = (marks[right] == marks[i]).mean(axis=1)
-        hit = right[(agree >= ESTIMATE) & (label[right] != label[i])]
-        a.append(np.minimum(rep[hit], rep[i]))
-        b.append(np.maximum(rep[hit], rep[i]))
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-
-def open_bucket_pairs(members: DataFrame, labels: DataFrame, marks: DataFrame) -> DataFrame:
-    """Candidates among members (key, rep) of buckets that are not one component yet.
-
-    A bucket's members are dealt to blocks; each pair of blocks is one task's group.
+def ids_in_set(values: pa.Array, folder: str, bits: int) -> np.ndarray:
+    some = np.asarray(values.is_valid())
+    keys = mix(pa.compute.fill_null(values, 0).to_numpy(zero_copy_only=False).view(U64))
+    return find(folder, bits, keys, [])["found"] & some
+
+
+class Block:
+    """Members of a bucket with their shingles as numbers of one list."""
+
+    def __init__(self, texts: list[bytes]):
+        shingles = [np.frombuffer(t, U64) for t in texts]
+        sizes = np.array([len(x) for x in shingles])
+        numbers = np.unique(np.concatenate(shingles), return_inverse=True)[1]
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        key, self.weight = np.unique(doc * (numbers.max() + 1) + numbers, return_counts=True)
+        self.doc, self.number = np.divmod(key, numbers.max() + 1)
+        self.begin = np.searchsorted(self.doc, np.arange(len(texts) + 1))
+        self.size, self.total = len(texts), sizes
+        self.repeats = np.diff(self.begin) < sizes
+        self.mark = np.zeros(numbers.max() + 1)
+        self.shingles = shingles
+
+    def similar_to(self, i: int, least: float) -> np.ndarray:
+        """Which members are at least so similar to member i.
+
+        The common part of either text bounds the similarity from above; without repeated
+        shingles it gives the similarity.
+        """
+        own = slice(self.begin[i], self.begin[i + 1])
+        self.mark[self.number[own]] = self.weight[own]
+        here = self.mark[self.number]
+        self.mark[self.number[own]] = 0
+        common = here > 0
+        mine = np.bincount(self.doc, here, self.size)
+        theirs = np.bincount(self.doc, self.weight * common, self.size)
+        out = (mine >= least * self.total[i] - 1e-9) & (theirs >= least * self.total - 1e-9)
+        out[i] = False
+        for j in np.flatnonzero(out):
+            if self.repeats[i] or self.repeats[j]:
+                out[j] = similarity(self.shingles[i], self.shingles[j]) >= least
+            else:
+                out[j] = mine[j] / (self.total[i] + self.total[j] - mine[j]) >= least
+        return out
+
+
+def compare_block(least: float):
+    """Links between members of two blocks of a bucket, as many as join their labels."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, label, side = (table[n].to_numpy() for n in ("rep", "label", "side"))
+        block = Block([x.as_py() for x in table["shingles"]])
+        _, group = np.unique(label, return_inverse=True)
+        links = []
+        for i in np.flatnonzero(side != 2):  # 0: a block with itself
+            apart = (group != group[i]) & (side != 1)
+            if not apart.any():
+                continue
+            for j in np.flatnonzero(apart & block.similar_to(i, least)):
+                if group[i] != group[j]:
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    group[group == group[j]] = group[i]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
+    found = members.join(labels, members["rep"] == labels["node"], "left")
+    return found.select(*members.columns, F.coalesce("label", "rep").alias("label"))
+
+
+def open_bucket_links(members: DataFrame, labels: DataFrame, payloads: DataFrame, least: float) -> DataFrame:
+    """Links between members (key, rep) of buckets that are not one component yet.
+
+    A bucket of two is a pair like any other. The members of a larger one are dealt to
+    blocks, and each pair of blocks is compared in one task, which returns links only.
     """
-    labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label")
-    )
-    labelled = cut_lineage(labelled)
-    state = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    wanted = state.where("lo != hi and n > 2").select("key", blocks.alias("blocks"))
-    rows = labelled.join(wanted, "key").join(marks, "rep")
+    labelled = stored(with_labels(members, labels), "near-open")
+    state = labelled.groupBy("key").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"),
+        F.min("rep").alias("a"), F.max("rep").alias("b"),
+    ).where("lo != hi")
+    pairs = verified(state.where("n = 2").select("a", "b").distinct(), payloads)
+    wanted = state.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = labelled.join(wanted, "key").join(payloads, "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "label", "signature")
-    return rows.groupBy("key", "i", "j").applyInArrow(compare_block, "a bigint, b bigint").distinct()
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "label", "shingles")
+    found = rows.groupBy("key", "i", "j").applyInArrow(compare_block(least), "a bigint, b bigint")
+    return found.unionByName(pairs.where(F.col("s") >= least).select("a", "b")).distinct()
 
 
 def verified(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their exact similarity."""
+    """Pairs (a, b) with their exact similarity ``s``."""
     one = payloads.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
     two = payloads.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", similar(F.col("x"), F.col("y")).alias("s"))
-    return rows
+    return pairs.join(one, "a").join(two, "b").select("a", "b", similar(F.col("x"), F.col("y")).alias("s"))
 
 
 def near_copies(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -272,25 +329,18 @@ def near_copies(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = nodes.select("rep", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead != last").select("key", "lead")
     members = stored(members.join(buckets, "key"), "near-members")
-    pairs = members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    # One candidate per text: the smallest of the texts that lead its buckets.
+    pairs = members.groupBy("rep").agg(F.min("lead").alias("a")).where("a != rep").select("a", F.col("rep").alias("b"))
 
     folder, bits = id_set(members.select(F.col("rep").alias("id")).distinct(), "near-ids")
-    wanted = rows.where(in_set(F.col("doc_id"), folder, bits))
-    payloads = stored(wanted.select(F.col("doc_id").alias("rep"), payload(F.col("text")).alias("p")).select("rep", "p.*").where("length(shingles) > 0"), "near-payloads")
+    packed = rows.select(F.col("doc_id").alias("rep"), payload(F.col("doc_id"), F.col("text"), folder, bits).alias("shingles"))
+    payloads = stored(packed.where("length(shingles) > 0"), "near-payloads")
 
-    checked = stored(verified(pairs, payloads), "near-checked")
-    good = checked.groupBy("a", "b").agg(F.max("s").alias("s"))
-    links = good.where(F.col("s") >= least).select("a", "b")
+    links = stored(verified(pairs, payloads).where(F.col("s") >= least).select("a", "b").distinct(), "near-links")
     labels = components(links)
-    # Buckets with a member that is not similar to the smallest one.
-    failed = good.where(F.col("s") < least).select(F.col("a").alias("lead"), F.col("b").alias("rep"))
-    unsure = members.join(failed, ["lead", "rep"], "left_semi").select("key").distinct()
-    rest = members.join(unsure, "key", "left_semi").select("key", "rep").distinct()
-    more = open_bucket_pairs(rest, labels, payloads.select("rep", "signature").dropDuplicates(["rep"]))
-    late = verified(more, payloads).where(F.col("s") >= least).select("a", "b").distinct()
-    late = stored(late, "near-late")
-    if not late.isEmpty():
-        labels = components(links.unionByName(late))
+    more = stored(open_bucket_links(members.select("key", "rep").distinct(), labels, payloads, least), "near-late")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     classes = nodes.join(labels, nodes["rep"] == labels["node"], "left").select(
         "print0", "print1", F.coalesce("label", "rep").alias("class_id")
     )
