@@ -256,24 +256,53 @@ class Block:
         return out
 
 
-def compare_block(least: float):
+def block_links(rep: np.ndarray, label: np.ndarray, side: np.ndarray, texts: list[bytes], least: float) -> list[tuple]:
     """Links between members of two blocks of a bucket, as many as join their labels."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rep, label, side = (table[n].to_numpy() for n in ("rep", "label", "side"))
-        block = Block([x.as_py() for x in table["shingles"]])
-        _, group = np.unique(label, return_inverse=True)
-        links = []
-        for i in np.flatnonzero(side != 2):  # 0: a block with itself
-            apart = (group != group[i]) & (side != 1)
-            if not apart.any():
+    block = Block(texts)
+    group = np.unique(label, return_inverse=True)[1]
+    links = []
+    for i in np.flatnonzero(side != 2):  # 0: a block with itself
+        apart = (group != group[i]) & (side != 1)
+        if not apart.any():
+            continue
+        for j in np.flatnonzero(apart & block.similar_to(i, least)):
+            if group[i] != group[j]:
+                links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                group[group == group[j]] = group[i]
+    return links
+
+
+def compare_blocks(least: float):
+    """Reads members sorted by bucket and pair of blocks; one pair of blocks is in memory at
+    a time, besides the batch."""
+    names = ("key", "i", "j", "rep", "label", "side", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def compared(table: pa.Table, at: list[int]) -> pa.RecordBatch:
+            columns = {n: table[n].combine_chunks() for n in names}
+            rep, label, side = (columns[n].to_numpy() for n in ("rep", "label", "side"))
+            links = []
+            for x, y in zip(at, at[1:]):
+                texts = columns["shingles"].slice(x, y - x).to_pylist()
+                links += block_links(rep[x:y], label[x:y], side[x:y], texts, least)
+            a, b = zip(*links) if links else ((), ())
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            for j in np.flatnonzero(apart & block.similar_to(i, least)):
-                if group[i] != group[j]:
-                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
-                    group[group == group[j]] = group[i]
-        a, b = zip(*links) if links else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            key, i, j = (table[n].to_numpy() for n in ("key", "i", "j"))
+            new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            at = [0, *(np.flatnonzero(new) + 1).tolist()]
+            if len(at) > 1:
+                yield compared(table, at)
+            held = table.slice(at[-1])
+        if held is not None:
+            yield compared(held, [0, held.num_rows])
 
     return run
 
@@ -301,7 +330,8 @@ def open_bucket_links(members: DataFrame, labels: DataFrame, payloads: DataFrame
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "label", "shingles")
-    found = rows.groupBy("key", "i", "j").applyInArrow(compare_block(least), "a bigint, b bigint")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = rows.mapInArrow(compare_blocks(least), "a bigint, b bigint")
     return found.unionByName(pairs.where(F.col("s") >= least).select("a", "b")).distinct()
 
 
