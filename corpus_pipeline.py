@@ -34,7 +34,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), nameless=True)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,3 +64,19 @@ def test_many_copies_of_a_leak(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", f"concat('doc ', id, ' {FILL}', \"{ITEMS[1][1]}\") as text")
     _, items = tables(spark)
     assert contamination(docs, items).where("contaminated and size(items) = 1").count() == 3000
+
+
+def found_items(spark, items, docs, **more):
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    return {r.doc_id: r["items"] for r in contamination(docs, items, **more).collect()}
+
+
+def test_items_of_numbers_and_short_items(spark):
+    items = [(1, "Solve 3x + 5 = 20 for x"), (2, "Add 12 and 30 kg"), (3, "Compute 12 * 7 + 5 - 3 / 9 exactly now"), (4, "too short"), (5, "17 18 19 20 21 22 23 24 25 26 27 28 29 30"), (6, "..."), (None, "who of all men never had an id in here?")]
+    docs = [FILL + t + " " + FILL for _, t in items]
+    docs += [FILL + "Solve 3x + 5 = 21 for x " + FILL, FILL + "Add 12 and 31 kg " + FILL, FILL + "too, short " + FILL, " ".join(str(n) for n in range(40, 80))]
+    found = found_items(spark, items, docs, nameless=True)
+    assert [found[i] for i in range(5)] == [[1], [2], [3], [4], [5]]
+    assert found[5] == [] and len(found[6]) == 1
+    assert all(found[i] == [] for i in (7, 8, 10)) and found[9] == [4]

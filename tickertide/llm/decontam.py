@@ -6,6 +6,10 @@ hashed and joined with the windows of the benchmark items. A run of matching win
 distance between the texts is an item again, perhaps with other parameters, if its slots
 agree: one value of the item always stands for the same value of the document.
 
+Besides, windows of the real words are matched, without placeholders. An item of fewer words
+than a window is one such window, whatever its words are, so verbatim copies of any item are
+found.
+
 The hashes of the items' windows lie in shared files as sorted arrays. Tasks that read
 documents look windows up there, so only windows that occur in an item are shuffled.
 """
@@ -24,9 +28,10 @@ from tickertide.llm.shared import U64, find, listed, read_arrays, shard_bits, sh
 from tickertide.llm.words import hash_spans, hash_word, lowered, mix, pieces, plain, raw_bytes, word_spans
 
 WINDOW = 8  # words of a window
-SHORTEST = 5  # words of the shortest item that is looked for; up to WINDOW it is one window
+SHORTEST = 5  # words of the shortest item with a template; up to WINDOW it is one window
 LITERALS = 4  # words of a window that are no placeholders
 MARK_BITS = 22
+EXACT = 64  # tells hashes of real words from those of templates
 MATCHES = 5  # windows of an item that a document must have, or all of a shorter item
 
 # -- fixed values: units, as they are written behind a number --
@@ -88,20 +93,53 @@ def window_hashes(doc: np.ndarray, canonical: np.ndarray, slot: np.ndarray, size
         return np.zeros(0, np.int64), np.zeros(0, U64)
     literal = np.concatenate(([0], np.cumsum(slot == 0)))
     inside = (doc[size - 1 :] == doc[:n]) & (literal[size:] - literal[:n] >= min(LITERALS, size - 1))
-    total = np.full(n, size, U64)
+    begin = np.flatnonzero(inside)
+    return begin, hash_runs(canonical, size, size)[begin]
+
+
+def hash_runs(words: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """A hash of each run of ``size`` words."""
+    n = len(words) - size + 1
+    total = np.full(n, seed, U64)
     with np.errstate(over="ignore"):
         for k in range(size):
-            total = total * U64(0x9E3779B97F4A7C15) + mix(canonical[k : k + n])
-    begin = np.flatnonzero(inside)
-    return begin, mix(total[begin])
+            total = total * U64(0x9E3779B97F4A7C15) + mix(words[k : k + n])
+    return mix(total)
+
+
+def real_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, word) of the words of a piece of texts, without placeholders."""
+    doc, canonical, slot = templates(texts)
+    return doc, np.where(slot == 0, canonical, slot)
+
+
+def exact_hashes(doc: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the windows of ``size`` real words. Windows of fewer words than
+    WINDOW are whole items, so the first of equal ones of a text is enough."""
+    n = len(doc) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    begin = np.flatnonzero(doc[size - 1 :] == doc[:n])
+    return begin, hash_runs(word, size, EXACT + size)[begin]
 
 
-def hits_batch(ids: pa.Array, begin: np.ndarray, doc: np.ndarray, word_at: np.ndarray, hashes: np.ndarray, slot: np.ndarray, size: int) -> pa.RecordBatch:
-    slots = np.lib.stride_tricks.sliding_window_view(slot, size)[begin] if len(begin) else np.zeros((0, size), U64)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * len(begin) + 1, size, dtype=np.int32)), pa.array(slots.ravel().view(np.int64)))
+def first_ones(begin: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The places of the first of equal hashes of each text."""
+    order = np.lexsort((begin, hashes, doc[begin]))
+    d, h = doc[begin][order], hashes[order]
+    return np.sort(order[np.concatenate(([True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])))]) if len(order) else order
+
+
+def hits_batch(ids: pa.Array, begin: np.ndarray, doc: np.ndarray, word_at: np.ndarray, hashes: np.ndarray, slot: np.ndarray | None, size: int) -> pa.RecordBatch:
+    """Windows as rows; those of real words have no slots (None)."""
+    width = 0 if slot is None else size
+    slots = np.lib.stride_tricks.sliding_window_view(slot, size)[begin] if width and len(begin) else np.zeros((0, size), U64)
+    ends = np.arange(len(begin) + 1, dtype=np.int32) * np.int32(width)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(slots.ravel().view(np.int64)))
+    same = [pa.array(np.full(len(begin), x)) for x in (np.int32(size), slot is None)]
     return pa.record_batch(
-        [ids.take(pa.array(doc[begin])), pa.array(word_at[begin], pa.int64()), pa.array(hashes.view(np.int64)), lists],
-        names=["id", "at", "hash", "slots"],
+        [ids.take(pa.array(doc[begin])), pa.array(word_at[begin], pa.int64()), pa.array(hashes.view(np.int64)), lists, *same],
+        names=["id", "at", "hash", "slots", "size", "exact"],
     )
 
 
@@ -111,11 +149,12 @@ def places(doc: np.ndarray) -> np.ndarray:
     return np.arange(len(doc)) - first
 
 
-WINDOWS = "id bigint, at bigint, hash bigint, slots array<bigint>"
+WINDOWS = "id bigint, at bigint, hash bigint, slots array<bigint>, size int, exact boolean"
 
 
-def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """Windows of benchmark items; an item of fewer words than a window is one window."""
+def item_windows(items: DataFrame, item_id: str, text: str, nameless: bool = False) -> DataFrame:
+    """Windows of benchmark items; an item of fewer words than a window is one window.
+    ``nameless`` items, those without id, are known by a hash of their text."""
 
     def run(batches):
         for batch in batches:
@@ -131,8 +170,20 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
                         whole = sizes[doc[begin]] == size
                         begin, hashes = begin[whole], hashes[whole]
                     yield hits_batch(ids, begin, doc, at, hashes, slot, size)
+                doc, word = real_words(piece)
+                at = places(doc)
+                sizes = np.bincount(doc, minlength=len(piece))
+                for size in range(1, WINDOW + 1):
+                    begin, hashes = exact_hashes(doc, word, size)
+                    if size < WINDOW:
+                        whole = sizes[doc[begin]] == size
+                        begin, hashes = begin[whole], hashes[whole]
+                    yield hits_batch(ids, begin, doc, at, hashes, None, size)
 
-    return items.where(F.col(item_id).isNotNull()).select(item_id, text).mapInArrow(run, WINDOWS)
+    key = F.col(item_id).cast("bigint")
+    if nameless:
+        key = F.coalesce(key, F.xxhash64(F.col(text)))
+    return items.select(key.alias("id"), text).where("id is not null").mapInArrow(run, WINDOWS)
 
 
 @lru_cache(maxsize=2)
@@ -151,7 +202,7 @@ def is_item_window(hashes: np.ndarray, folder: str, bits: int) -> np.ndarray:
     return some[find(folder, bits, hashes[some], [])["found"]]
 
 
-def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[int]) -> DataFrame:
+def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[int], exact_sizes: list[int]) -> DataFrame:
     """Windows of the documents (id, text) that occur in an item."""
 
     def run(batches):
@@ -165,37 +216,49 @@ def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[i
                     known = is_item_window(hashes, folder, bits)
                     if len(known):
                         yield hits_batch(ids, begin[known], doc, places(doc), hashes[known], slot, size)
+                doc, word = real_words(piece)
+                for size in exact_sizes:
+                    begin, hashes = exact_hashes(doc, word, size)
+                    known = is_item_window(hashes, folder, bits)
+                    if size < WINDOW:
+                        known = known[first_ones(begin[known], hashes[known], doc)]
+                    if len(known):
+                        yield hits_batch(ids, begin[known], doc, places(doc), hashes[known], None, size)
 
     return documents.mapInArrow(run, WINDOWS)
 
 
-def matches(documents: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id, item, windows, reworded) for each document and item it contains.
+def matches(documents: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", nameless: bool = False) -> DataFrame:
+    """(id, item, windows, reworded) for each document and item it contains, by windows of
+    templates or of real words.
 
     ``documents`` has id and text. ``reworded`` says that some slot has another value.
     """
     spark = documents.sparkSession
-    items = item_windows(benchmark, item_id, item_text).withColumnsRenamed({"id": "item", "at": "item_at", "slots": "item_slots"})
+    items = item_windows(benchmark, item_id, item_text, nameless).withColumnsRenamed({"id": "item", "at": "item_at", "slots": "item_slots"})
     folder, bits = shared_path(spark, "benchmark-windows"), shard_bits(spark)
-    known = items.groupBy(F.col("hash").alias("key")).agg(F.max(F.size("item_slots")).alias("size"))
+    known = items.groupBy(F.col("hash").alias("key")).agg(F.max("size").alias("size"))
     write_sorted(known, folder, bits)
-    sizes = sorted(r["size"] for r in items.select(F.size("item_slots").alias("size")).distinct().collect())  # 4 at most
-    needed = items.groupBy("item").agg(F.least(F.count_distinct("item_at"), F.lit(MATCHES)).alias("needed"))
-    hits = document_windows(documents, folder, bits, sizes).distinct().join(items, "hash")
+    kinds = items.select("exact", "size").distinct().collect()  # WINDOW of either kind at most
+    sizes, exact_sizes = (sorted(r["size"] for r in kinds if r["exact"] == exact) for exact in (False, True))
+    needed = items.groupBy("item", "exact").agg(F.count_distinct("item_at").alias("all"))
+    needed = needed.withColumn("needed", F.least("all", F.lit(MATCHES)))
+    hits = document_windows(documents, folder, bits, sizes, exact_sizes).drop("size", "exact").distinct().join(items, "hash")
     hits = hits.withColumn("shift", F.col("at") - F.col("item_at"))
+    run = ["id", "item", "exact", "shift"]
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
     # One row per slot value of the item, and one with null for windows without slots.
-    slots = hits.select("id", "item", "shift", "item_at", F.explode_outer(pairs).alias("p"))
-    by_value = slots.groupBy("id", "item", "shift", "p.item_slots").agg(
-        F.min("p.slots").alias("lo"), F.max("p.slots").alias("hi")
-    )
-    odd = by_value.groupBy("id", "item", "shift").agg(
+    slots = hits.select(*run, "item_at", F.explode_outer(pairs).alias("p"))
+    by_value = slots.groupBy(*run, "p.item_slots").agg(F.min("p.slots").alias("lo"), F.max("p.slots").alias("hi"))
+    odd = by_value.groupBy(*run).agg(
         F.coalesce(F.bool_or(F.col("lo") != F.col("hi")), F.lit(False)).alias("odd"),
         F.coalesce(F.bool_or(F.col("lo") != F.col("item_slots")), F.lit(False)).alias("reworded"),
     )
-    counts = hits.groupBy("id", "item", "shift").agg(F.count_distinct("item_at").alias("windows"))
-    runs = counts.join(odd.where("not odd"), ["id", "item", "shift"]).join(needed, "item").where("windows >= needed")
-    return runs.groupBy("id", "item").agg(F.max("windows").alias("windows"), F.bool_and("reworded").alias("reworded"))
+    counts = hits.groupBy(*run).agg(F.count_distinct("item_at").alias("windows"))
+    runs = counts.join(odd.where("not odd"), run).join(needed, ["item", "exact"]).where("windows >= needed")
+    # Real words tell that nothing is reworded only if they are the whole item.
+    reworded = F.when(~F.col("exact") | (F.col("windows") == F.col("all")), F.col("reworded"))
+    return runs.groupBy("id", "item").agg(F.max("windows").alias("windows"), F.coalesce(F.bool_and(reworded), F.lit(False)).alias("reworded"))
 
 
 def row_key(documents: DataFrame) -> Column:
@@ -203,16 +266,18 @@ def row_key(documents: DataFrame) -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text")))
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
     """One row per document: doc_id, contaminated, items (ids of the items found, sorted),
     windows (of all of them) and reworded (an item has other parameters).
 
-    Rows that share an id are one document, whatever their texts. Items without id, items of
-    fewer than five words and items made of placeholders only are not looked for. Null texts
-    are empty. Needs doc_id and text; other columns are ignored.
+    Rows that share an id are one document, whatever their texts. Items of fewer than five
+    words, and windows with few literal words, are found by their real words only: an item of
+    one word is in every document with that word. Items without a word are in none. Items
+    without id are looked for if ``nameless`` is set; their id is a hash of their text. Null
+    texts are empty. Needs doc_id and text; other columns are ignored.
     """
     keyed = documents.select("doc_id", row_key(documents).alias("id"), "text")
-    found = matches(keyed.select("id", "text"), benchmark).groupBy("id").agg(
+    found = matches(keyed.select("id", "text"), benchmark, nameless=nameless).groupBy("id").agg(
         F.sort_array(F.collect_list("item")).alias("items"), F.sum("windows").alias("windows"), F.bool_or("reworded").alias("reworded")
     )
     return keyed.select("doc_id", "id").join(found, "id", "left").select(
@@ -222,9 +287,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
     """The rows without benchmark items; all columns stay."""
     key = row_key(documents)
-    found = matches(documents.select(key.alias("id"), "text"), benchmark).select("id")
+    found = matches(documents.select(key.alias("id"), "text"), benchmark, nameless=nameless).select("id")
     folder, bits = id_set(found, "contaminated")
     return documents.where(~in_set(key, folder, bits))

@@ -8,4 +8,4 @@ from tickertide.llm.registry import query, table
 
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), nameless=True)
