@@ -80,3 +80,19 @@ def test_items_of_numbers_and_short_items(spark):
     assert [found[i] for i in range(5)] == [[1], [2], [3], [4], [5]]
     assert found[5] == [] and len(found[6]) == 1
     assert all(found[i] == [] for i in (7, 8, 10)) and found[9] == [4]
+
+
+def test_case_and_punctuation(spark):
+    text = "Ñasquera lleva óscar y été. Größe misst “fünf” Wörter: Élan bleibt. Ähre steht. Öl fließt. Übung macht. Čas běží. Žena čte. Ďábel spí."
+    names = "Then Anna met Bob Carl Dora Emil Fritz Gina Hans Ida Jan Kurt Lea"
+    bare = "".join(c for c in text if c.isalnum() or c.isspace())
+    docs = [FILL + t + " " + FILL for t in (text, bare, text.upper(), bare.lower(), names, names.lower(), names.upper(), text.replace(" ", "\n"))]
+    found = found_items(spark, [(1, text), (2, names)], docs)
+    assert [found[i] for i in range(8)] == [[1], [1], [1], [1], [2], [2], [2], [1]]
+
+
+def test_a_slot_that_differs_once(spark):
+    head, tail = "Anna has 12 apples and 12 pears.", "Now tell how many of all these fruits are left in the very old basket of her brother."
+    docs = [f"{FILL} {head.replace('12 pears', '13 pears')} {tail} {FILL}", f"{FILL} {head.replace('12', '14')} {tail} {FILL}", f"{FILL} {head.replace('12', '14')} {tail} {head} {tail}"]
+    rows = contamination(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string"), spark.createDataFrame([(1, f"{head} {tail}")], "item_id bigint, text string")).collect()
+    assert {r.doc_id: (r["items"], r.reworded) for r in rows} == {0: ([1], True), 1: ([1], True), 2: ([1], False)}

@@ -6,7 +6,9 @@ hashed and joined with the windows of the benchmark items. A run of matching win
 distance between the texts is an item again, perhaps with other parameters, if its slots
 agree: one value of the item always stands for the same value of the document.
 
-Besides, windows of the real words are matched, without placeholders. An item of fewer words
+Besides, windows of the real words are matched, in lower case without punctuation and
+placeholders, so a copy is found whatever its case and punctuation make of its names, and
+where the slots of a part do not agree. An item of fewer words
 than a window is one such window, whatever its words are, so verbatim copies of any item are
 found.
 
@@ -20,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,10 @@ UNITS = (
     "week weeks month months year years km/h mph percent degrees celsius fahrenheit dollars euros usd eur"
 ).split()
 
+# -- fixed values: what lower case leaves different, and what is no part of a real word --
+SAME = {"\u00a0": " ", "ß": "ss", "ς": "σ"}
+PUNCTUATION = r"[^\pL\pN\pM\t-\r ]+"
+
 NUMBER, NAME, UNIT = (U64(x) for x in (0x4E554D, 0x4E414D45, 0x554E4954))
 
 
@@ -108,9 +115,14 @@ def hash_runs(words: np.ndarray, size: int, seed: int) -> np.ndarray:
 
 
 def real_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, word) of the words of a piece of texts, without placeholders."""
-    doc, canonical, slot = templates(texts)
-    return doc, np.where(slot == 0, canonical, slot)
+    """(text, word) of the words of a piece of texts, without placeholders, case and
+    punctuation. Words of punctuation only do not count."""
+    low = pc.utf8_lower(texts)
+    for a, b in SAME.items():
+        low = pc.replace_substring(low, a, b)
+    data, offsets = raw_bytes(pc.replace_substring_regex(low, PUNCTUATION, ""))
+    starts, ends = word_spans(data, offsets)
+    return np.searchsorted(offsets, starts, "right") - 1, hash_spans(data, starts, ends)
 
 
 def exact_hashes(doc: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,10 +267,13 @@ def matches(documents: DataFrame, benchmark: DataFrame, item_id: str = "item_id"
         F.coalesce(F.bool_or(F.col("lo") != F.col("item_slots")), F.lit(False)).alias("reworded"),
     )
     counts = hits.groupBy(*run).agg(F.count_distinct("item_at").alias("windows"))
-    runs = counts.join(odd.where("not odd"), run).join(needed, ["item", "exact"]).where("windows >= needed")
-    # Real words tell that nothing is reworded only if they are the whole item.
-    reworded = F.when(~F.col("exact") | (F.col("windows") == F.col("all")), F.col("reworded"))
-    return runs.groupBy("id", "item").agg(F.max("windows").alias("windows"), F.coalesce(F.bool_and(reworded), F.lit(False)).alias("reworded"))
+    runs = counts.join(odd, run).join(needed, ["item", "exact"]).where("windows >= needed")
+    # A run whose slots do not agree is no match, but tells that slots have other values. Real
+    # words tell that nothing is reworded only if they are the whole item.
+    reworded = F.when(~F.col("exact") | (F.col("windows") == F.col("all")), F.col("odd") | F.col("reworded"))
+    return runs.groupBy("id", "item").agg(
+        F.max(F.when(~F.col("odd"), F.col("windows"))).alias("windows"), F.coalesce(F.bool_and(reworded), F.lit(False)).alias("reworded")
+    ).where("windows is not null")
 
 
 def row_key(documents: DataFrame) -> Column:
