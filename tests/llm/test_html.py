@@ -46,3 +46,18 @@ def test_templates_and_odd_pages(spark):
     assert got[304] == ("long " * 50000).strip() and got[305] == "deep"
     assert all(r.n_chars == len(r.text) for r in out)
     assert extract_text(docs.limit(0)).count() == 0
+
+
+def test_wrappers_named_like_asides(spark):
+    text = "<h1>Title {0}</h1><p>Own words of page {0} and more of them</p>"
+    bodies = [
+        "<div class='container has-sidebar'>" + text + "</div>",
+        "<div class='content no-sidebar'><article class='post hentry category-social'>" + text + "</article></div>",
+        "<article class='entry comments-open'>" + text + "</article><div id=comments><p>first</p></div>",
+        "<div class='elementor-widget-theme-post-content'>" + text + "</div><div class='ad'>Buy {0}</div>",
+        "<div class='widget'><div class='sidebar'>" + text + "</div></div><div class='related'><article>Other {0}</article></div>",
+        "<form id=aspnetForm><div id='banner'><article class='sponsored'>" + text + "</article></div></form><div id=comments>" + "<p>so {0} many remarks</p>" * 20 + "</div>",
+    ]
+    rows = [(i, f"http://host{i}.example/", page(i, b.format(i))) for i, b in enumerate(bodies)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"Title {i}\nOwn words of page {i} and more of them" for i in range(len(bodies))}

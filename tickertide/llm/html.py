@@ -44,7 +44,7 @@ CLOSES = {
 }
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 TABLE = {"table"}
-# -- fixed values: what is not main text, by element, role, and words of class and id --
+# -- fixed values: what is not main text, by element, and by names in role, class and id --
 ASIDE = set("nav aside form script style noscript template iframe button select input textarea title head menu dialog svg object canvas".split())
 EDGE = {"header", "footer"}
 ASIDE_ROLES = set("navigation banner complementary contentinfo search form dialog alert menu".split())
@@ -53,6 +53,7 @@ ASIDE_WORDS = set(
     "login masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promotion "
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+COMMENTS = set("comment comments disqus replies reply respond".split())
 MAIN = {"article", "main"}
 # Parts of a paragraph, which are no template by themselves.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
@@ -60,23 +61,25 @@ PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-WORDS = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "aside", "key")
+    __slots__ = ("tag", "attributes", "children", "aside", "named", "key")
 
     def __init__(self, tag: str, attributes: str):
         self.tag, self.attributes = tag, attributes
         self.children: list[Element | str] = []
         self.key = 0
         self.aside = tag in ASIDE
+        # Names that make it an aside, if the page's main text is not in it.
+        self.named = {"form"} if tag == "form" else set()
         if not self.aside and "=" in attributes:
             for name, *values in ATTRIBUTE.findall(attributes):
                 value = "".join(values).lower()
                 known = ASIDE_ROLES if name.lower() == "role" else ASIDE_WORDS
-                if tag not in ("html", "body", "main") and not known.isdisjoint(WORDS.findall(value)):
+                if tag not in ("html", "body", "main") and not known.isdisjoint(value.split()):
                     self.aside = True
+                    self.named.update(value.split())
 
 
 def parse(page: str) -> Element:
@@ -132,13 +135,7 @@ def close_open(stack: list[Element], tags: set[str], scopes: set[str]) -> None:
 
 def hash_subtrees(element: Element, host: str) -> int:
     """Give each element a hash of its tag, attributes, text and children, and the host."""
-    # Elements in document order; children come after their parent, so backwards they are ready.
-    order, waiting = [], [element]
-    while waiting:
-        e = waiting.pop()
-        order.append(e)
-        waiting.extend(c for c in e.children if isinstance(c, Element))
-    for e in reversed(order):
+    for e in reversed(in_order(element)):  # children are ready before their parent
         h = xxhash.xxh3_64(f"{host}\0{e.tag}\0{e.attributes}")
         for c in e.children:
             h.update(c.key.to_bytes(8, "little") if isinstance(c, Element) else " ".join(c.split()).encode("utf-8", "replace"))
@@ -147,6 +144,58 @@ def hash_subtrees(element: Element, host: str) -> int:
     return element.key
 
 
+def in_order(root: Element) -> list[Element]:
+    """The elements of a tree; children come after their parent."""
+    order, waiting = [], [root]
+    while waiting:
+        e = waiting.pop()
+        order.append(e)
+        waiting.extend(c for c in e.children if isinstance(c, Element))
+    return order
+
+
+def free_main(root: Element) -> None:
+    """No element that is or holds the article of the page, or most of its text, is an aside
+    by its class, id or role, or as a form.
+
+    The article is the longest one, if all articles stand in asides and it has more text than
+    is left outside of them. Text in other asides by element counts for forms only.
+    """
+    order = in_order(root)
+    if not any(e.named for e in order):
+        return
+    whole: dict[int, int] = {}
+    size: dict[int, int] = {}
+    seen: dict[int, int] = {}  # text of an element outside of the asides in it, but for those with most of the page's
+    for e in reversed(order):
+        own = sum(len("".join(c.split())) for c in e.children if isinstance(c, str))
+        below = [c for c in e.children if isinstance(c, Element)]
+        whole[id(e)] = own + sum(whole[id(c)] for c in below)
+        size[id(e)] = own + sum(size[id(c)] for c in below if c.named or not c.aside)
+    most = {id(e) for e in order if e.named and 2 * (of := whole if e.tag == "form" else size)[id(e)] > of[id(root)]}
+    for e in reversed(order):
+        below = [c for c in e.children if isinstance(c, Element)]
+        own = size[id(e)] - sum(size[id(c)] for c in below if c.named or not c.aside)
+        seen[id(e)] = own + sum(seen[id(c)] for c in below if not c.aside or id(c) in most and c.named.isdisjoint(COMMENTS))
+    if main_roots(root) == [root]:
+        parent = {id(c): e for e in order for c in e.children if isinstance(c, Element)}
+        articles = [e for e in order if e.tag in MAIN]
+        best = max(articles, key=lambda e: size[id(e)], default=None)
+        if best is not None and size[id(best)] > seen[id(root)]:
+            while best is not root:
+                best.aside = best.aside and not best.named
+                best = parent[id(best)]
+    for e in order:
+        if id(e) in most:
+            e.aside = False
+
+
+def read_page(page: str) -> Element:
+    root = parse(page)
+    free_main(root)
+    return root
+
+
 def main_roots(root: Element) -> list[Element]:
     """Articles outside of asides, outermost ones; else the main element; else the page."""
     for tag in ("article", "main"):
@@ -220,7 +269,7 @@ def page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         hosts, subtrees, contents = [], [], []
         for host, page in zip(batch.column(0).to_pylist(), plain(batch.column(1)).to_pylist()):
-            root = parse(page)
+            root = read_page(page)
             hash_subtrees(root, host)
             roots = main_roots(root)
             content = signed(xxhash.xxh3_64_intdigest("\n".join(text_blocks(roots, set())).encode("utf-8", "replace")))
@@ -259,7 +308,7 @@ def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
     def main_text(hosts: pa.Array, documents: pa.Array) -> pa.Array:
         out = []
         for host, page in zip(hosts.to_pylist(), plain(documents).to_pylist()):
-            root = parse(page)
+            root = read_page(page)
             roots = main_roots(root)
             hash_subtrees(root, host)
             keys = np.array([e.key for e in candidates(roots)], U64)
