@@ -61,3 +61,10 @@ def test_wrappers_named_like_asides(spark):
     rows = [(i, f"http://host{i}.example/", page(i, b.format(i))) for i, b in enumerate(bodies)]
     got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got == {i: f"Title {i}\nOwn words of page {i} and more of them" for i in range(len(bodies))}
+
+
+def test_templates_of_a_large_host(spark):
+    menu = "<ul><li><a href=/a>Home</a></li><li><a href=/b>All news</a></li></ul><div><p>This shop is closed over the holidays of the year</p></div>"
+    rows = [(i, f"http://large.example/{i}", page(i, (menu if i % 25 == 0 else "") + f"<div><p>Own words {i}</p><p>{'Yes' if i % 25 == 1 else i}</p></div>")) for i in range(500)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"Own words {i}\n{'Yes' if i % 25 == 1 else i}" for i in range(500)}

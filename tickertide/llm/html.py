@@ -27,8 +27,9 @@ from tickertide.llm.hostrank import host_of
 from tickertide.llm.shared import U64, find, shard_bits, shared_path, write_sorted
 from tickertide.llm.words import plain
 
-LEAST_PAGES = 4  # different pages of a host that a template subtree stands on, at least
-LEAST_SHARE = 0.1  # and this share of the host's pages
+LEAST_PAGES = 4  # different pages of a host that a template subtree stands on, at least; as many more for each power of ten above 100
+SHORT = 5  # words; single blocks of fewer recur by chance, so they must also stand on
+LEAST_SHARE = 0.1  # this share of the host's pages
 
 # -- fixed values: elements of HTML by their part in a page --
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -264,20 +265,35 @@ def candidates(roots: list[Element]) -> list[Element]:
 
 
 def page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, subtree, content) of each distinct candidate of each page (host, html); the
-    first row of a page has no subtree."""
+    """(host, subtree, short, content) of each distinct candidate of each page (host, html);
+    the first row of a page has no subtree."""
     for batch in batches:
-        hosts, subtrees, contents = [], [], []
+        hosts, subtrees, shorts, contents = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), plain(batch.column(1)).to_pylist()):
             root = read_page(page)
             hash_subtrees(root, host)
             roots = main_roots(root)
             content = signed(xxhash.xxh3_64_intdigest("\n".join(text_blocks(roots, set())).encode("utf-8", "replace")))
-            keys = [None, *{signed(e.key) for e in candidates(roots)}]
+            keys = {None: False} | {signed(e.key): is_short(e) for e in candidates(roots)}
             hosts.extend([host] * len(keys))
             subtrees.extend(keys)
+            shorts.extend(keys.values())
             contents.extend([content] * len(keys))
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(subtrees, pa.int64()), pa.array(contents, pa.int64())], names=["host", "subtree", "content"])
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(subtrees, pa.int64()), pa.array(shorts, pa.bool_()), pa.array(contents, pa.int64())], names=["host", "subtree", "short", "content"])
+
+
+def is_short(element: Element) -> bool:
+    """Whether an element is a single block of a few words."""
+    texts, waiting = [], [element]
+    while waiting:
+        e = waiting.pop()
+        if isinstance(e, str):
+            texts.append(e)
+        elif e is element or e.tag in INLINE:
+            waiting.extend(e.children)
+        else:
+            return False
+    return sum(len(t.split()) for t in texts) < SHORT
 
 
 def signed(key: int) -> int:
@@ -286,11 +302,12 @@ def signed(key: int) -> int:
 
 def template_subtrees(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
     """Keys of the subtrees that stand on many different pages of their host."""
-    rows = pages.mapInArrow(page_subtrees, "host string, subtree bigint, content bigint").distinct()
-    counts = rows.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    rows = pages.mapInArrow(page_subtrees, "host string, subtree bigint, short boolean, content bigint").distinct()
+    counts = rows.groupBy("host", "subtree", "short").agg(F.count("*").alias("n"))
     hosts = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
     often = counts.where("subtree is not null").where(F.col("n") >= least_pages)
-    return often.join(hosts, "host").where(F.col("n") >= least_share * F.col("pages")).select(F.col("subtree").alias("key")).distinct()
+    least = F.when(F.col("short"), least_share * F.col("pages")).otherwise(least_pages * F.log10(F.col("pages") / 10))
+    return often.join(hosts, "host").where(F.col("n") >= least).select(F.col("subtree").alias("key")).distinct()
 
 
 def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
