@@ -41,3 +41,13 @@ def test_long_and_empty(spark):
     got = {r.turn: r for r in reply_ordered(table).collect()}
     assert got[0].n_quoted == sum(i % 3 > 0 for i in range(20000))
     assert reply_ordered(table.limit(0)).count() == 0
+
+
+def test_short_sentences(spark):
+    rows = [
+        (1, 0, "Yes. I agree with the plan."), (1, 1, "No! Why not? Then we wait."), (1, 2, "> Yes.\nGood."), (1, 3, "> Why not?\nBecause."),
+        (1, 4, "> No! Why not?\nHm."), (1, 5, "Yes."), (1, 6, "> Yes. I agree with the plan.\nFine."),
+    ]
+    table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id bigint, turn bigint, role string, text string")
+    got = {r.turn: r.reply_to for r in reply_ordered(table).collect()}
+    assert got == {0: None, 1: None, 2: 0, 3: 1, 4: 1, 5: None, 6: 0}

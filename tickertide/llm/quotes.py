@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickertide.session import cut_lineage
 
-SHORTEST = 3  # words of a sentence that is linked by itself; passages are linked whole as well
+SHORTEST = 3  # words of a quoted sentence that counts beside longer ones of its passage
 SPAN = 256  # turns of a conversation that one task looks through for a sentence
 MARKS = r"^(?:[ \t]*>)+"
 # A line that announces a quotation.
@@ -67,10 +67,13 @@ def passages(lines: Column) -> Column:
     return F.filter(found, lambda p: p["words"] != "")
 
 
-def units(words: Column) -> Column:
-    """Hashes of the sentences of a passage with at least SHORTEST words, and of the whole."""
+def units(words: Column, quoted: Column) -> Column:
+    """Hashes of the sentences of a passage, and of the whole. A quoted passage leaves out
+    sentences of fewer than SHORTEST words if it has longer ones."""
     plain = F.lower(F.trim(F.regexp_replace(words, r"\s+", " ")))
-    sentences = F.filter(F.split(plain, r"(?<=[.!?]) "), lambda s: F.size(F.split(s, " ")) >= SHORTEST)
+    sentences = F.split(plain, r"(?<=[.!?]) ")
+    longer = F.filter(sentences, lambda s: F.size(F.split(s, " ")) >= SHORTEST)
+    sentences = F.when(quoted & (F.size(longer) > 0), longer).otherwise(sentences)
     return F.transform(F.array_distinct(F.array_append(sentences, plain)), lambda s: F.xxhash64(s))
 
 
@@ -85,7 +88,7 @@ def quotation_links(messages: DataFrame) -> DataFrame:
     """
     known = messages.where("conv_id is not null and turn is not null")
     rows = known.select("conv_id", "turn", F.explode(passages(F.col("lines"))).alias("p"))
-    rows = rows.select("conv_id", "turn", F.col("p.level").alias("level"), F.explode(units(F.col("p.words"))).alias("unit")).distinct()
+    rows = rows.select("conv_id", "turn", F.col("p.level").alias("level"), F.explode(units(F.col("p.words"), F.col("p.level") > 0)).alias("unit")).distinct()
     quoted = rows.where("level > 0")
     # Own sentences that someone in the conversation quotes.
     own = rows.where("level = 0").select("conv_id", "unit", "turn").join(quoted.select("conv_id", "unit").distinct(), ["conv_id", "unit"], "left_semi")
