@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from tickertide.llm import hostrank
 from tickertide.llm.hostrank import DAMPING, RULES, filter_urls, propagate
 
 URLS = [
@@ -74,3 +75,17 @@ def test_links_decide_hosts_without_rule(spark):
     table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
     got = {r.page_id: r.verdict for r in filter_urls(table).collect()}
     assert got == {1: "allow", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block"}
+
+
+def test_hosts_far_from_their_seeds(spark, monkeypatch):
+    monkeypatch.setattr(hostrank, "TOLERANCE", 0.01)  # some 32 rounds, where 20 do not reach the last hosts
+    # 24 links lead from h24 to the blocked host, through pages that no rule fits.
+    pages = [(0, "http://bad.com/de/1", "x")] + [(i, f"http://h{i}.net/", f"<a href='http://{f'h{i - 1}.net' if i > 1 else 'bad.com'}/'>n</a>") for i in range(1, 25)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = filter_urls(table).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r.page_id for r in rows if r.verdict == "block"} == set(range(25))

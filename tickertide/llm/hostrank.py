@@ -18,8 +18,9 @@ from tickertide.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-ROUNDS = 20  # at most; scores change by less than 0.85^20 = 4% of the seeds' after that
+ROUNDS = 20  # of propagate by itself; hosts are judged by scores within TOLERANCE
 TOLERANCE = 1e-6  # ends the rounds once all scores together change by less
+GUARD = 200  # rounds that are never needed: changes shrink by DAMPING a round, to TOLERANCE in some 95
 CUT = 4  # rounds between checkpoints
 
 # -- fixed values: the rules, longest first where several fit --
@@ -68,11 +69,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src != '' and src != dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
     """(kind, host, score) from seeds of the same form, whose scores sum to 1 per kind.
 
     Scores of kind ``trust`` follow links, those of kind ``distrust`` go against them. What a
-    host without links would hand on returns to the seeds.
+    host without links would hand on returns to the seeds. Without ``rounds`` it goes on until
+    scores change by less than TOLERANCE.
     """
     forward = links.select(F.lit("trust").alias("kind"), "src", "dst", "n")
     backward = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
@@ -83,7 +85,7 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
     scores = seeds.select("kind", "host", F.col("seed").alias("score"))
     if edges.isEmpty():
         return scores
-    for i in range(rounds):
+    for i in range(GUARD if rounds is None else rounds):
         moved = scores.join(edges, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(
             (F.sum(F.col("score") * F.col("part")) * DAMPING).alias("moved")
         )
@@ -100,7 +102,9 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
         moved_on = step.join(old, ["kind", "host"], "full").agg(F.sum(change)).first()[0] or 0.0
         scores = step
         if moved_on < TOLERANCE:
-            break
+            return scores
+    if rounds is None:
+        raise RuntimeError(f"scores of hosts still change after {GUARD} rounds")
     return scores
 
 
@@ -116,7 +120,7 @@ def judge_hosts(judged: DataFrame, links: DataFrame) -> DataFrame:
     counts = cut_lineage(counts)
     total = counts.groupBy("kind").agg(F.sum("n").alias("all"))  # one row per kind
     seeds = counts.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("score"))
-    scores = propagate(links, seeds)
+    scores = propagate(links, seeds, rounds=None)
     score = {k: F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)) for k in ("trust", "distrust")}
     hosts = scores.groupBy("host").agg(score["trust"].alias("trust"), score["distrust"].alias("distrust"))
     return hosts.select("host", F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow").alias("verdict"))
