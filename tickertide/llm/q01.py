@@ -10,4 +10,4 @@ from tickertide.llm.registry import query, table
 @query("op1_lm_score")
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    return score_texts(table(spark, sf_dir, "documents"), held_out)
+    return score_texts(table(spark, sf_dir, "documents"), held_out, order=3)
