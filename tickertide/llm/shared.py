@@ -19,9 +19,11 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.session import scratch_path
+from tickertide.session import TASK_BYTES, scratch_path
 
 U64 = np.uint64
+MOST_BITS = 20  # of a key that name a shard
+UNKNOWN_BYTES = 1 << 60
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -84,6 +86,15 @@ def shard_bits(spark: SparkSession) -> int:
     return max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
+def bits_for(rows: DataFrame) -> int:
+    """As ``shard_bits``, but a shard or more for each ``TASK_BYTES`` / 2 of input files.
+
+    Rows that Spark knows no size of, such as checkpoints, leave it at ``shard_bits``."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size if size < UNKNOWN_BYTES else 0
+    return max(shard_bits(rows.sparkSession), min(MOST_BITS, (2 * known // TASK_BYTES).bit_length()))
+
+
 def shard_of(key: Column, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits).cast("int")
 

@@ -83,10 +83,10 @@ def words_per_text(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(starts, offsets))
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A hash of the bytes of each span, eight bytes at a time."""
     sizes = ends - starts
-    out = np.zeros(len(starts), U64)
+    out = np.full(len(starts), seed, U64)
     padded = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 8)
     live, begin, left = np.arange(len(starts)), starts, sizes
     while len(live):
