@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.llm.shared import bits_for, find, shared_path, write_sorted
-from tickertide.llm.words import U64, hash_spans, join_hashes, pieces, plain, raw_bytes, runs, word_spans, words_per_text
+from tickertide.llm.words import U64, hash_spans, join_hashes, mix, pieces, plain, raw_bytes, runs, word_spans, words_per_text
 
 WINDOW = 20  # words
 SEED = 6  # words of a minimiser
@@ -93,7 +93,8 @@ def cut(texts: pa.Array, window: int, seed: int) -> Piece:
     head = runs(where[windows])
     first = windows[head]
     count = np.diff(np.append(head, len(windows)))
-    return Piece(packed, at, words, best[first], first, count, text[head], first - begin[text[head]])
+    # The smallest of many hashes is small; mixed again, keys spread evenly over shards.
+    return Piece(packed, at, words, mix(best[first]), first, count, text[head], first - begin[text[head]])
 
 
 def expand(piece: Piece, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
