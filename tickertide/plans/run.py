@@ -17,12 +17,13 @@ from tickertide.operators.summaries import GRAINS
 from tickertide.plans.state import RUN, RunState
 from tickertide.session import cut_lineage
 from tickertide.sources.messages import scan_messages
+from tickertide.sources.snapshots import Snapshots
 from tickertide.sources.tables import (
-    accumulate_summary,
+    accumulated,
     create_tables,
     mentions_append_new,
     read_table,
-    refresh_summary,
+    refreshed,
     table_exists,
     with_event_date,
 )
@@ -53,21 +54,25 @@ def save_batch(spark: SparkSession, root: str, mentions: DataFrame, mode: str =
     and old mentions are read only where there are no sums. Both keep the sums, so modes may
     alternate. A log says which days a batch touches before it does and when it is done:
     days of a batch that failed in between are recomputed by the next one, whatever its
-    mode, so a repeated batch adds nothing.
+    mode, so a repeated batch adds nothing. All summaries and their sums change in one
+    commit; if another writer changed the same days meanwhile, ``Conflict`` is raised and
+    the batch stays open.
     """
     if mentions.isEmpty():
         return
     days = with_event_date(mentions, "created_at").select("event_date").distinct()
     days = cut_lineage(days.withColumn("batch", F.lit(uuid.uuid4().hex)).select("batch", "event_date"))
     unfinished = cut_lineage(open_days(spark, root))
+    store = Snapshots(spark, root)
+    base = store.current()
     log_batch(days, root, done=False)
     added = mentions_append_new(spark, root, mentions, keep_added=mode == "accumulate")
     touched = days.unionByName(unfinished)
+    adding = mode == "accumulate" and unfinished.isEmpty()
+    changes = []
     for grain in GRAINS.values():
-        if mode == "accumulate" and unfinished.isEmpty():
-            accumulate_summary(spark, root, added, grain)
-        else:
-            refresh_summary(spark, root, touched, grain)
+        changes += accumulated(spark, root, added, grain, base) if adding else refreshed(spark, root, touched, grain)
+    store.commit(changes, base)
     log_batch(touched, root, done=True)
 
 

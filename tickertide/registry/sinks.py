@@ -39,8 +39,10 @@ from tickertide.registry.sql import select
 from tickertide.session import scratch_path
 from tickertide.sources import prices as P
 from tickertide.sources import tables
+from tickertide.sources.snapshots import Conflict, Snapshots
 from tickertide.streaming.dedup import dedup_stream
 from tickertide.streaming.incremental import incremental
+from tickertide.streaming.staging import ingest_stream, staged_stream
 from tickertide.streaming.windows import compact_updates, window_totals, write_updates
 
 CUT = derived.BATCH_CUT
@@ -129,7 +131,7 @@ def _accumulate_modes(spark, sf):
     return summary_parts(spark, root)
 
 
-@query("ingest_raw", select(
+INGEST_SQL = select(
     f"""select document_id, message_id, content, score, cast("timestamp" as varchar) as timestamp from (
       select s.document_id, s.message_id, case when l.message_id is null then s.content else l.content end as content,
         coalesce(l.score, s.score) as score, case when l.message_id is null then s."timestamp" else l."timestamp" end as "timestamp"
@@ -143,18 +145,40 @@ def _accumulate_modes(spark, sf):
         case when event_id % 3 = 0 then "timestamp" + interval 2 day else "timestamp" end as "timestamp") from raw
         where created_at >= timestamp '2024-01-18' and content is distinct from '[deleted]'),
       latest as (select * exclude (rn) from (select *, row_number() over (partition by message_id order by
-        ingestion_timestamp desc, created_at desc, event_id desc) as rn from batch) where rn = 1)"""))
+        ingestion_timestamp desc, created_at desc, event_id desc) as rn from batch) where rn = 1)""")
+
+
+@query("ingest_raw", INGEST_SQL)
 def _ingest_raw(spark, sf):
     """Two staged batches, the second one twice; some messages move to another day."""
     root = scratch_path(spark, "ingest")
+    first, second = staged_batches(spark, sf)
+    for staged in (first, second, second):
+        tables.ingest_raw(spark, root, staged)
+    return spark.read.parquet(f"{root}/raw_messages").select("document_id", "message_id", "content", "score", "timestamp")
+
+
+def staged_batches(spark, sf):
+    """Messages of the first days, and of the others with another document, score and, for
+    some, day."""
     rows = raw(spark, sf)
     first = rows.where("created_at < timestamp '2024-01-20'")
     later = F.when(F.col("event_id") % 3 == 0, F.col("timestamp") + F.expr("interval 2 days")).otherwise(F.col("timestamp"))
     second = rows.where("created_at >= timestamp '2024-01-18'").withColumns({
         "score": F.col("score") + 100, "document_id": F.concat(F.lit("x"), "document_id"), "timestamp": later,
     })
-    for staged in (first, second, second):
-        tables.ingest_raw(spark, root, staged)
+    return first, second
+
+
+@query("ingest_stream", INGEST_SQL)
+def _ingest_stream(spark, sf):
+    """The same batches as JSON files that arrive in two goes; the stream is stopped between."""
+    root, staging = scratch_path(spark, "ingest"), scratch_path(spark, "staging")
+    progress, archive = scratch_path(spark, "progress"), scratch_path(spark, "archive")
+    for batch in staged_batches(spark, sf):
+        batch.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").mode("append").json(staging)
+        stream = staged_stream(spark, staging, f"{schemas.RAW_MESSAGES}, event_id bigint", archive)
+        _drain(ingest_stream(stream, root, progress))
     return spark.read.parquet(f"{root}/raw_messages").select("document_id", "message_id", "content", "score", "timestamp")
 
 
@@ -199,6 +223,31 @@ def _summary_upsert(spark, sf):
     return tables.read_table(spark, root, name).select(*metric_columns(G.DAILY))
 
 
+@query("summary_commits", select(
+    f"select *, 1 as refused from ({summary_sql(G.DAILY)})", "mentions"))
+def _summary_commits(spark, sf):
+    """Two writers start from one snapshot. The one that is late on the same days is refused
+    and repeats its work; a change of other days goes on top."""
+    root, rows, grain = scratch_path(spark, "commits"), stored_mentions(spark, sf), G.DAILY
+    tables.create_tables(spark, root)
+    tables.mentions_append_new(spark, root, rows)
+    days = rows.select(F.to_date("created_at").alias("event_date")).distinct()
+    early, late = days.where(F.dayofmonth("event_date") < 12), days.where(F.dayofmonth("event_date") >= 12)
+    store = Snapshots(spark, root)
+    base = store.current()
+    mine, same, other = (tables.refreshed(spark, root, d, grain) for d in (early, early, late))
+    store.commit(mine, base)
+    store.commit(other, base)
+    try:
+        store.commit(same, base)
+        refused = 0
+    except Conflict:
+        refused = 1
+        tables.refresh_summary(spark, root, early, grain)
+    stored = tables.read_table(spark, root, "stock_daily_summary").select(*metric_columns(grain))
+    return stored.withColumn("refused", F.lit(refused))
+
+
 @query("save_records", select("select document_id, score, 1 as stamped from raw", "raw"))
 def _save_records(spark, sf):
     saved = tables.save_records(spark, raw(spark, sf).select("document_id", "score"))
@@ -424,15 +473,34 @@ def _new_mentions(spark, sf):
     )
 
 
+def stored_root(spark, sf):
+    """Tables with all mentions."""
+    root = scratch_path(spark, "stored")
+    tables.create_tables(spark, root)
+    tables.mentions_append_new(spark, root, stored_mentions(spark, sf))
+    return root
+
+
 @query("mention_exists", select(
     """select t as ticker, cast(exists (select 1 from mentions m where m.ticker = t and m.message_id = 'm' || k) as int) as found
     from (select unnest(['AAPL', 'TSLA', 'AMD']) as t), (select unnest([7, 40]) as k)""", "mentions"))
 def _mention_exists(spark, sf):
-    """Some keys, looked up one by one."""
-    rows = stored_mentions(spark, sf)
-    keys = [(t, f"m{k}") for t in ("AAPL", "TSLA", "AMD") for k in (7, 40)]
-    found = [(t, int(merge.key_exists(rows, ticker=t, message_id=m))) for t, m in keys]
-    return spark.createDataFrame(found, "ticker string, found int")
+    """Some keys, asked at once."""
+    keys = spark.range(1).select(F.explode(F.array(*map(F.lit, ("AAPL", "TSLA", "AMD")))).alias("ticker")).crossJoin(
+        spark.range(1).select(F.explode(F.array(F.lit("m7"), F.lit("m40"))).alias("message_id")))
+    return tables.mentions_exist(spark, stored_root(spark, sf), keys).select("ticker", F.col("found").cast("int").alias("found"))
+
+
+@query("mention_exists_all", select(
+    """select m.message_id, m.ticker, exists (select 1 from mentions x where x.ticker = m.ticker and x.message_id = m.message_id) as found
+    from (select message_id, ticker from mentions union all select 'x' || message_id, ticker from mentions
+      union all select message_id, ticker || '.' from mentions) as m""", "mentions"))
+def _mention_exists_all(spark, sf):
+    """The keys of all mentions, and as many that are not stored, asked of the key index."""
+    rows = stored_mentions(spark, sf).select("message_id", "ticker")
+    keys = rows.unionByName(rows.withColumn("message_id", F.concat(F.lit("x"), "message_id")))
+    keys = keys.unionByName(rows.withColumn("ticker", F.concat("ticker", F.lit("."))))
+    return tables.mentions_exist(spark, stored_root(spark, sf), keys)
 
 
 @query("point_lookup", select(
@@ -692,7 +760,7 @@ def _add_windows(grain):
         """The same windows over a stream of several batches, in update mode, with rows of
         one window in different batches."""
         out = scratch_path(spark, "totals")
-        stream = file_stream(stored_mentions(spark, sf).repartition(6, "message_id"), files_per_batch=2)
+        stream = file_stream(stored_mentions(spark, sf).repartition("message_id"), files_per_batch=2)
         totals = window_totals(stream, grain, "40 days")
         _drain(
             totals.writeStream.foreachBatch(write_updates(out)).outputMode("update")
@@ -724,16 +792,17 @@ def _tumbling_hour_day_week(spark, sf):
 
 @query("incremental_stream", select(summary_sql(G.WEEKLY), "mentions"))
 def _incremental_stream(spark, sf):
-    """Messages as a stream of two batches. The second one holds copies of all messages on
-    other days, which add nothing: the weekly table at the end equals a full run."""
+    """Messages as a stream of two batches, with the copies each holds. The second one has all
+    messages again on other days, which add nothing: the weekly table equals a full run."""
     root, path = scratch_path(spark, "tables"), scratch_path(spark, "stream")
     tables.create_tables(spark, root)
-    single = dedup_by_event_time(C.valid_content(raw(spark, sf)))
-    copies = single.withColumn("created_at", F.col("created_at") + F.expr("interval 9 days"))
-    for part in (single, copies):
-        part.coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.option("maxFilesPerTrigger", 1).schema(single.schema)
-    _drain(incremental(reader.parquet(path), root, universe(spark, sf), scratch_path(spark, "progress")))
+    rows = raw(spark, sf)
+    copies = rows.withColumn("created_at", F.col("created_at") + F.expr("interval 9 days"))
+    progress = scratch_path(spark, "progress")
+    for part in (rows, copies):
+        part.write.mode("append").parquet(path)
+        reader = spark.readStream.schema(rows.schema).parquet(path)
+        _drain(incremental(reader, root, universe(spark, sf), progress))
     return tables.read_table(spark, root, "stock_weekly_summary").select(*metric_columns(G.WEEKLY))
 
 

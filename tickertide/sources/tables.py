@@ -1,7 +1,8 @@
 """Tables as Parquet folders: layout, appends, overwrites and upserts.
 
-Nothing reads and overwrites a folder in one plan: an upsert is computed for the touched
-partitions, cut with a reliable checkpoint, and then written over those partitions only.
+Nothing reads and overwrites a folder in one plan: raw messages are merged for the touched
+partitions, cut with a reliable checkpoint, and then written over those partitions only;
+summaries go to folders of their own and become visible by a commit.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tickertide import schemas
@@ -17,7 +18,8 @@ from tickertide.functions.values import json_text
 from tickertide.operators.clean import drop_deleted
 from tickertide.operators.merge import (
     affected_rows,
-    new_rows,
+    contents,
+    latest_per_key,
     raw_upsert,
     replace_upsert,
     staging_ack,
@@ -26,7 +28,9 @@ from tickertide.operators.merge import (
 from tickertide.operators.summaries import Grain, accumulate, summarize, without_ids
 from tickertide.operators.universe import listing_symbols, require_rows
 from tickertide.session import cut_lineage
+from tickertide.sources.keys import KeyIndex
 from tickertide.sources.listing import listing_scan
+from tickertide.sources.snapshots import PARTITION, Change, Snapshot, Snapshots
 
 # Partition column of each table and the time column it is the date of.
 PARTITION_TIME = {
@@ -36,7 +40,6 @@ PARTITION_TIME = {
     "stock_hourly_summary": "hour_start",
     "stock_weekly_summary": "week_start",
 }
-PARTITION = "event_date"
 CLUSTER = ("source", "subreddit", "message_type")
 
 
@@ -89,7 +92,13 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A result table with its declared columns; the partition column stays for pruning."""
+    """A result table with its declared columns; the partition column stays for pruning.
+
+    Of a table that changes by commits the newest snapshot is read."""
+    store = Snapshots(spark, root)
+    snapshot = store.current()
+    if name in snapshot.tables:
+        return store.read(name, schemas.TABLES[name], snapshot)
     schema = f"{schemas.TABLES[name]}, {PARTITION} date"
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
@@ -137,31 +146,71 @@ def same_periods(
     return stored.where(touched.isin([r.period for r in periods.collect()]))
 
 
+def mention_key(df: DataFrame) -> Column:
+    """What a mention is known by: its message and ticker, or its contents where one is null."""
+    same = [c for c in schemas.columns("stock_mentions") if c != "etl_timestamp"]
+    known = F.concat_ws("\n", F.lit("id"), "message_id", "ticker")
+    return F.when(F.col("message_id").isNotNull() & F.col("ticker").isNotNull(), known).otherwise(contents(df, same))
+
+
+def mention_index(spark: SparkSession, root: str) -> KeyIndex:
+    """The index of the stored mentions. It is made where it is missing, and mended after an
+    append that did not end: of that one's keys those count whose mention is stored."""
+    index = KeyIndex(spark, f"{root}/stock_mentions_keys")
+    if not index.exists():
+        stored = read_table(spark, root, "stock_mentions")
+        if not stored.isEmpty():
+            index.finish(index.add(stored.select(mention_key(stored).alias("key"))))
+    pending = index.pending()
+    if pending:
+        stored = read_table(spark, root, "stock_mentions")
+        keys = stored.select(mention_key(stored).alias("key"))
+        index.finish(index.add(index.keys(pending).select("key").join(keys, "key", "left_semi")))
+        index.drop(*pending)
+    return index
+
+
+def mentions_exist(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
+    """``keys`` (message_id, ticker) with ``found``: whether the mention is stored."""
+    asked = keys.withColumn("key", F.concat_ws("\n", F.lit("id"), "message_id", "ticker"))
+    asked = asked.withColumn("key", F.when(F.col("message_id").isNotNull() & F.col("ticker").isNotNull(), F.col("key")))
+    stored = mention_index(spark, root).stored(asked.select("key")).withColumn("found", F.lit(True))
+    return asked.join(stored, "key", "left").select(*keys.columns, F.coalesce("found", F.lit(False)).alias("found"))
+
+
 def mentions_append_new(
     spark: SparkSession, root: str, mentions: DataFrame, keep_added: bool = False
 ) -> DataFrame | None:
     """Append the mentions whose message and ticker are not stored.
 
-    ``mentions`` is read more than once, so it should be a table or a checkpoint. Copies of
-    a message may have other dates, so the keys of the whole stored table are compared; of
-    the stored rows with a key no other column is read. With ``keep_added`` the added rows
-    are returned.
+    Copies of a message may have other dates, so the keys of all stored mentions count; they
+    are asked of an index, which reads only what the batch may be in. A row with a null in
+    its key is known by its other columns. With ``keep_added`` the added rows are returned.
     """
-    batch = with_etl_timestamp(mentions)
-    added = new_rows(batch, read_table(spark, root, "stock_mentions"), ["message_id", "ticker"])
-    if keep_added:
-        added = cut_lineage(added)
-    partition_and_cluster(added, f"{root}/stock_mentions", "created_at")
-    return added if keep_added else None
+    index = mention_index(spark, root)
+    batch = with_etl_timestamp(mentions).select(*schemas.columns("stock_mentions"))
+    keyed = latest_per_key(batch.withColumn("key", mention_key(batch)), ["key"], ["etl_timestamp"])[0]
+    added, counted = cut_lineage(keyed), Observation()
+    if index.generations():
+        fresh = added.join(index.stored(added.select("key")), "key", "left_anti")
+        added = cut_lineage(fresh.observe(counted, F.count("*").alias("n")))
+        n = counted.get["n"]
+    else:
+        n = added.count()
+    if n:
+        generation = index.add(added.select("key"), n)
+        partition_and_cluster(added.drop("key"), f"{root}/stock_mentions", "created_at")
+        index.finish(generation)
+    return added.drop("key") if keep_added else None
 
 
-def write_sums(sums: DataFrame, root: str, grain: Grain) -> None:
-    """Overwrite the touched day folders of a summary and of the sums it derives from."""
-    table = f"stock_{grain.name}_summary"
-    sums = cut_lineage(sums)
-    partition_and_cluster(sums, f"{root}/{table}_sums", grain.period, mode="overwrite")
-    summary = without_ids(sums.select(*schemas.columns(table)))
-    partition_and_cluster(summary, f"{root}/{table}", grain.period, mode="overwrite")
+def stage_sums(store: Snapshots, sums: DataFrame, grain: Grain) -> list[Change]:
+    """Write the sums of a summary's periods, and from them the summary, for one commit."""
+    table, day = f"stock_{grain.name}_summary", F.to_date(grain.period)
+    kind = ", ".join(f"{n} {k}" for n, k in sums.dtypes)
+    staged = store.stage(f"{table}_sums", sums, day)
+    summary = without_ids(store.staged(staged, kind).select(*schemas.columns(table)))
+    return [staged, store.stage(table, summary, day)]
 
 
 def period_mentions(spark: SparkSession, root: str, days: DataFrame, grain: Grain) -> DataFrame:
@@ -170,28 +219,32 @@ def period_mentions(spark: SparkSession, root: str, days: DataFrame, grain: Grai
     return same_periods(read_table(spark, root, "stock_mentions"), days, period)
 
 
+def refreshed(spark: SparkSession, root: str, days: DataFrame, grain: Grain) -> list[Change]:
+    """The changes of ``refresh_summary``, not committed yet."""
+    rows = period_mentions(spark, root, days, grain)
+    return stage_sums(Snapshots(spark, root), summarize(rows, grain, keep_sums=True), grain)
+
+
 def refresh_summary(spark: SparkSession, root: str, days: DataFrame, grain: Grain) -> None:
     """Recompute the summary of every period that ``days`` touch, all tickers of it.
 
-    Only the touched folders are read and written, nothing stored is merged, and running
-    it again gives the same table. The sums are kept beside it, for batches to be added.
+    Only the touched days are read and written, nothing stored is merged, and running it
+    again gives the same table. The sums are kept beside it, for batches to be added; both
+    change in one commit.
     """
-    rows = period_mentions(spark, root, days, grain)
-    write_sums(summarize(rows, grain, keep_sums=True), root, grain)
-
+    store = Snapshots(spark, root)
+    base = store.current()
+    store.commit(refreshed(spark, root, days, grain), base)
 
-def accumulate_summary(spark: SparkSession, root: str, added: DataFrame, grain: Grain) -> None:
-    """Add new mentions, which are stored already, to the sums of their periods.
 
-    Old mentions are read only in periods that have no sums yet. The same mentions must not
-    be added twice; see ``plans.run.save_batch``.
-    """
-    path = f"{root}/stock_{grain.name}_summary_sums"
+def accumulated(spark: SparkSession, root: str, added: DataFrame, grain: Grain, base: Snapshot) -> list[Change]:
+    """The changes of ``accumulate_summary``, not committed yet."""
+    store, name = Snapshots(spark, root), f"stock_{grain.name}_summary_sums"
     batch = cut_lineage(with_event_date(summarize(added, grain, keep_sums=True), grain.period))
-    if not table_exists(spark, path):
-        write_sums(summarize(period_mentions(spark, root, batch, grain), grain, keep_sums=True), root, grain)
-        return
-    stored = same_periods(spark.read.parquet(path), batch)
+    kind = ", ".join(f"{n} {k}" for n, k in batch.dtypes if n != PARTITION)
+    if name not in base.tables:
+        return stage_sums(store, summarize(period_mentions(spark, root, batch, grain), grain, keep_sums=True), grain)
+    stored = same_periods(store.read(name, kind, base), batch)
     summed = stored.select(PARTITION).distinct()
     known = batch.join(summed, PARTITION, "left_semi").drop(PARTITION)
     total = accumulate(stored.drop(PARTITION), known, grain)
@@ -200,17 +253,35 @@ def accumulate_summary(spark: SparkSession, root: str, added: DataFrame, grain:
     if not missing.isEmpty():
         rest = summarize(period_mentions(spark, root, missing, grain), grain, keep_sums=True)
         total = total.unionByName(rest)
-    write_sums(total, root, grain)
+    return stage_sums(store, total, grain)
+
+
+def accumulate_summary(spark: SparkSession, root: str, added: DataFrame, grain: Grain) -> None:
+    """Add new mentions, which are stored already, to the sums of their periods.
+
+    Old mentions are read only in periods that have no sums yet. The same mentions must not
+    be added twice; see ``plans.run.save_batch``.
+    """
+    store = Snapshots(spark, root)
+    base = store.current()
+    store.commit(accumulated(spark, root, added, grain, base), base)
 
 
 def summary_upsert(spark: SparkSession, root: str, name: str, batch: DataFrame, keys: list[str]) -> int:
-    """Replace or add summary rows, rewriting the touched days only."""
-    time = PARTITION_TIME[name]
-    fresh = cut_lineage(with_event_date(with_etl_timestamp(batch), time))
-    stored = same_periods(read_table(spark, root, name), fresh)
-    merged = cut_lineage(replace_upsert(stored, fresh, keys))
-    partition_and_cluster(merged.drop(PARTITION), f"{root}/{name}", time, mode="overwrite")
-    return fresh.count()
+    """Replace or add summary rows, rewriting the touched days only; one commit.
+
+    Raises ``Conflict`` if another writer changed one of these days meanwhile; nothing is
+    changed then. Returns the number of rows of the batch.
+    """
+    store, counted = Snapshots(spark, root), Observation()
+    base = store.current()
+    dated = with_event_date(with_etl_timestamp(batch), PARTITION_TIME[name])
+    fresh = cut_lineage(dated.observe(counted, F.count("*").alias("n")))
+    stored = same_periods(store.read(name, schemas.TABLES[name], base), fresh)
+    merged = replace_upsert(stored, fresh, keys).drop(PARTITION)
+    change = store.stage(name, merged, F.to_date(PARTITION_TIME[name]))
+    store.commit([change], base)
+    return counted.get["n"]
 
 
 def current_path(spark: SparkSession, root: str) -> str | None:
@@ -276,12 +347,22 @@ def ingest_raw(spark: SparkSession, root: str, staged: DataFrame) -> Row:
     nothing, and documents processed earlier are left out. Returns the counts of updated and
     inserted rows.
     """
-    table, keys, done = f"{root}/raw_messages", f"{root}/raw_message_days", f"{root}/staging_done"
+    batch = cut_lineage(waiting(spark, root, staged))
+    counts = merge_raw(spark, root, batch)
+    batch.select("document_id").where("document_id is not null").write.mode("append").parquet(f"{root}/staging_done")
+    return counts
+
+
+def merge_raw(spark: SparkSession, root: str, batch: DataFrame) -> Row:
+    """Merge a batch of documents, which is read several times, into the stored raw messages.
+
+    See ``ingest_raw``; nothing is acknowledged here. Merging a batch again changes nothing.
+    """
+    table, keys = f"{root}/raw_messages", f"{root}/raw_message_days"
     if not table_exists(spark, table):
         spark.createDataFrame([], schemas.RAW_MESSAGES).write.mode("ignore").parquet(table)
     if not table_exists(spark, keys):
         spark.createDataFrame([], schemas.RAW_DAYS).write.mode("ignore").parquet(keys)
-    batch = cut_lineage(waiting(spark, root, staged))
     wanted = drop_deleted(batch)
     dated = with_event_date(wanted, PARTITION_TIME["raw_messages"])
     ids = wanted.select("message_id").where("message_id is not null").distinct()
@@ -310,7 +391,6 @@ def ingest_raw(spark: SparkSession, root: str, staged: DataFrame) -> Row:
     fresh = moved.select("message_id", PARTITION).where("message_id is not null").distinct()
     known = spark.read.schema(schemas.RAW_DAYS).parquet(keys)
     fresh.join(known, ["message_id", PARTITION], "left_anti").write.mode("append").parquet(keys)
-    batch.select("document_id").where("document_id is not null").write.mode("append").parquet(done)
     return counts.head()
 
 
