@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from tickertide.llm.nearcopies import id_set, in_set
 from tickertide.llm.shared import U64, find, listed, read_arrays, shard_bits, shared_path, write_sorted
-from tickertide.llm.words import hash_spans, hash_word, lowered, mix, pieces, plain, raw_bytes, word_spans
+from tickertide.llm.words import hash_spans, hash_word, lowered, mix, pieces, plain, raw_bytes, release, word_spans
 
+PIECE = 1 << 19  # text bytes worked on at once; each takes some 60 bytes of arrays meanwhile
 WINDOW = 8  # words of a window
 SHORTEST = 5  # words of the shortest item with a template; up to WINDOW it is one window
 LITERALS = 4  # words of a window that are no placeholders
@@ -220,7 +221,7 @@ def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[i
     def run(batches):
         for batch in batches:
             all_ids = batch.column(0)
-            for start, piece in pieces(plain(batch.column(1))):
+            for start, piece in pieces(plain(batch.column(1)), PIECE):
                 ids = all_ids.slice(start, len(piece))
                 doc, canonical, slot = templates(piece)
                 for size in sizes:
@@ -236,6 +237,7 @@ def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[i
                         known = known[first_ones(begin[known], hashes[known], doc)]
                     if len(known):
                         yield hits_batch(ids, begin[known], doc, places(doc), hashes[known], None, size)
+            release()
 
     return documents.mapInArrow(run, WINDOWS)
 

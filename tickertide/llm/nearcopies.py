@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 from tickertide.llm.components import components
 from tickertide.llm.mixing import stored
 from tickertide.llm.shared import U64, find, shard_bits, shared_path, write_sorted
-from tickertide.llm.words import hashed_words, join_hashes, mix, pieces, plain, runs
+from tickertide.llm.words import hashed_words, join_hashes, mix, pieces, plain, release, runs
 
 SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 7, 32
 REGISTERS = ROWS * BANDS
 BLOCK = 512  # members compared at once
-PIECE = 2 << 20  # text bytes worked on at once
+PIECE = 1 << 19  # text bytes worked on at once; each takes some 50 bytes of arrays meanwhile
 SIGNED = "shingles bigint, print0 bigint, print1 bigint, bands array<bigint>"
 
 
@@ -121,6 +121,7 @@ def signed(text: Column) -> Column:
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
         offsets = np.arange(0, len(columns[3]) + 1, BANDS, dtype=np.int32)
         bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(columns[3]))
+        release()
         return pa.StructArray.from_arrays([*[pa.array(c) for c in columns[:3]], bands], ["shingles", "print0", "print1", "bands"])
 
     return sign(text)
@@ -142,6 +143,7 @@ def payload(ids: Column, text: Column, folder: str, bits: int) -> Column:
             shingles += [repeated[(ends[i - 1] if i else 0) : end].tobytes() for i, end in enumerate(ends)]
         place = np.full(len(values), -1, np.int64)
         place[wanted] = np.arange(len(wanted))
+        release()
         return pa.array(shingles, pa.binary()).take(pa.array(place, mask=place < 0))
 
     return pack(ids, text)
@@ -303,6 +305,8 @@ def compare_blocks(least: float):
             held = table.slice(at[-1])
         if held is not None:
             yield compared(held, [0, held.num_rows])
+        held = None
+        release()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,16 @@ U64 = np.uint64
 # Text bytes worked on at once; each takes some 30 bytes of arrays meanwhile.
 PIECE_BYTES = 4 << 20
 
+
+def release() -> None:
+    """Give memory that is free back to the system: workers stay for the next stage, and what
+    they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def solid_bytes(data: np.ndarray) -> np.ndarray:
     """False for white space: the space and the control characters 9 to 13."""
     return (data != 32) & ((data - np.uint8(9)) > 4)
