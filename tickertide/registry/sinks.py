@@ -36,7 +36,7 @@ from tickertide.registry.mention_queries import (
     summary_sql,
 )
 from tickertide.registry.sql import select
-from tickertide.session import scratch_path
+from tickertide.session import cut_lineage, scratch_path
 from tickertide.sources import prices as P
 from tickertide.sources import tables
 from tickertide.sources.snapshots import Conflict, Snapshots
@@ -690,11 +690,9 @@ def _reset_state(spark, sf):
     run_log(spark, sf).write.parquet(path)
     state = RunState(spark, path)
     steps = state.all_watermarks().agg(F.count("*").alias("steps"))
-    before = steps.head().steps
+    before = cut_lineage(steps)
     state.reset()
-    return state.all_watermarks().agg(
-        F.lit(before).cast("bigint").alias("steps"), F.count("*").cast("int").alias("after_reset")
-    )
+    return before.crossJoin(state.all_watermarks().agg(F.count("*").cast("int").alias("after_reset")))
 
 
 @query("stage_switches", select(
@@ -821,4 +819,5 @@ def _scheduled_flow(spark, sf):
         "before": before, "messages": current, "mentions": tables.read_table(spark, root, "stock_mentions"),
     }
     exported = spark.read.parquet(out).select("subreddit", "message_count", "avg_sentiment")
-    return exported.select("*", *[F.lit(df.count()).cast("bigint").alias(n) for n, df in counts.items()])
+    # One row of counts, beside each exported row.
+    return reduce(DataFrame.crossJoin, [df.agg(F.count("*").alias(n)) for n, df in counts.items()], exported)
