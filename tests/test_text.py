@@ -140,6 +140,24 @@ def test_context_property(spark, window):
             assert context == expected_context(text, "GG", window, matches, head), text
 
 
+def test_long_texts(spark):
+    """Texts of megabytes with matches everywhere end in seconds."""
+    numbers = "20000 0.5 " * 200_000 + "1.2.5% 7 " + "3% " * 100_000
+    digits = "9" * 200_000 + " 15"
+    tickers = "GG 🚀 xGG " * 100_000 + "é$GG"
+    assert column(spark, [numbers, digits], X.price_target) == [7.0, 15.0]
+    assert column(spark, [numbers, digits], X.percent_change) == [2.5, None]
+    got = column(spark, [tickers], lambda t: X.ticker_context(t, F.lit("GG"), 20))
+    assert got == [expected_context(tickers, "GG", 20, None, None)]
+
+
+@pytest.mark.parametrize("window", [1, 4])
+def test_context_of_one_letter(spark, window):
+    texts = ["".join(random.Random(i).choice(["F", "FF", "$F", " ", "x", "é", "🚀"]) for _ in range(25)) for i in range(500)]
+    got = column(spark, texts, lambda t: X.ticker_context(t, F.lit("F"), window))
+    assert got == [expected_context(t, "F", window, None, None) for t in texts]
+
+
 def test_mention_context_fallback(spark):
     text = "aapl " + "word " * 200
     assert column(spark, [text], lambda t: X.mention_context(t, F.lit("AAPL"))) == [text]

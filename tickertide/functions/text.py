@@ -17,7 +17,9 @@ _NOT_AFTER_WORD = f"(?<!{V.WORD_CHAR})"
 _NOT_BEFORE_WORD = f"(?!{V.WORD_CHAR})"
 _BETWEEN_WORDS = V.WORD_CHAR.replace("[", "[^", 1) + "+"
 _TICKER_WORD = f"{_NOT_AFTER_WORD}([A-Za-z]{{2,5}}+)(?![A-Za-z])"
-_PERCENT = rf"([+-]?[0-9]+(?:\.[0-9]+)?){V.SPACE_CHAR}?%"
+# A run of digits is tried from its beginning only, so that long runs cost no more than others.
+_PERCENT = rf"([+-]?(?<![0-9])[0-9]++(?:\.[0-9]++)?){V.SPACE_CHAR}?%"
+_PERCENT_START = rf"([+-]?(?<![0-9])[0-9])[0-9]*+(?:\.[0-9]++)?{V.SPACE_CHAR}?%"
 _PRICE = r"\$?[0-9]+(?:\.[0-9]+)?\$?"
 _NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 
@@ -142,47 +144,48 @@ def ticker_context(
     ``otherwise`` or nothing.
 
     The text is cut at the plain ticker; a cut is a mention if no word character touches
-    it. The running length of the gaps is the position of each.
+    it. Only the ends of the gaps next to a mention are put together again, so no position
+    is counted and the time grows with the text, not with its square.
     """
-    width = F.length(ticker)
     word, inner = rf"{V.WORD_CHAR}\z", rf"\A{V.WORD_CHAR}"
+    reach = max(window + 1, 2)  # with a dollar sign in front
+    # No more gaps than these lie within the window.
+    near = (F.lit(window) / F.greatest(F.length(ticker), F.lit(1))).cast("int") + 2
 
-    def around(gaps: Column) -> Column:
-        # Each gap but the last with what stands behind the ticker after it.
-        pairs = F.zip_with(
-            F.slice(gaps, 1, F.size(gaps) - 1), F.slice(gaps, 2, F.size(gaps) - 1),
-            lambda a, b: F.struct(a.alias("gap"), b.alias("next")),
-        )
-        last = F.size(gaps) - 1
+    def around(ends: Column) -> Column:
+        starts, tails = ends["starts"], ends["tails"]
+        last = F.size(tails) - 1
 
-        def add(state: Column, pair: Column) -> Column:
-            gap, start = pair["gap"], state["at"] + F.length(pair["gap"])
+        def spot(tail: Column, i: Column) -> Column:
+            after = F.get(starts, i + 1)
             # An empty gap inside the text stands between two tickers, so it is a word's.
-            first, final = state["n"] == 0, state["n"] + 1 == last
-            left = F.when(gap == "", ~first).otherwise(gap.rlike(word))
-            right = F.when(pair["next"] == "", ~final).otherwise(pair["next"].rlike(inner))
+            left = F.when(tail == "", i > 0).otherwise(tail.rlike(word))
+            right = F.when(after == "", i + 1 < last).otherwise(after.rlike(inner))
+            return F.when((i < last) & ~left & ~right, i)
+
+        def part(i: Column) -> Column:
+            tail = F.get(tails, i)
             # "x$ABC": a dollar sign after a word character belongs to the mention.
-            dollar = gap.rlike(rf"{V.WORD_CHAR}\$\z") | ((gap == "$") & ~first)
-            begin = F.greatest(start - F.when(dollar, 1).otherwise(0) - window, F.lit(0))
-            # Spark's substring clips at the end of the text.
-            part = F.substring(text, begin + 1, start + width + window - begin)
-            found = ~left & ~right
-            if matches:
-                found = found & (F.size(state["parts"]) < matches)
-            return F.struct(
-                (start + width).alias("at"), (state["n"] + 1).alias("n"),
-                F.when(found, F.array_append(state["parts"], part)).otherwise(state["parts"]).alias("parts"),
+            dollar = tail.rlike(rf"{V.WORD_CHAR}\$\z") | ((tail == "$") & (i > 0))
+            first = F.greatest(i + 2 - near, F.lit(1))
+            before = F.call_function("array_join", F.slice(tails, first, i + 2 - first), ticker)
+            behind = F.call_function("array_join", F.slice(starts, i + 2, near), ticker)
+            return F.concat(
+                F.right(before, window + dollar.cast("int")), ticker, F.left(behind, F.lit(window))
             )
 
-        empty = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("parts"))
-        return F.aggregate(
-            pairs, empty, add, lambda s: F.when(F.size(s["parts"]) > 0, F.concat_ws(" ", s["parts"]))
-        )
+        spots = F.array_compact(F.transform(tails, spot))
+        parts = F.transform(F.slice(spots, 1, matches) if matches else spots, part)
+        return F.when(F.size(parts) > 0, F.array_join(parts, " "))
 
-    windows = let(F.split(text, F.concat(F.lit(r"\Q"), ticker, F.lit(r"\E"))), around)
+    gaps = F.split(text, F.concat(F.lit(r"\Q"), ticker, F.lit(r"\E")))
+    ends = let(gaps, lambda g: F.struct(
+        F.transform(g, lambda gap: F.left(gap, F.lit(window + 1))).alias("starts"),
+        F.transform(g, lambda gap: F.right(gap, F.lit(reach))).alias("tails"),
+    ))
     return F.when(F.length(text) <= 3 * window, text).otherwise(
         F.coalesce(
-            windows,
+            F.when(text.contains(ticker), let(ends, around)),
             F.when(text.contains(ticker), F.substring(text, 1, head) if head else text),
             F.lit("") if otherwise is None else otherwise,
         )
@@ -203,35 +206,25 @@ def percent_change(text: Column) -> Column:
 
 
 def price_target(text: Column) -> Column:
-    """First number in 1..10000 that does not touch the first percentage."""
-
-    def span(around: Column) -> Column:
-        # Lengths count characters; regexp_instr would count UTF-16 units.
-        start = F.when(F.size(around) > 1, F.length(around[0]) + 1).otherwise(0)
-        end = F.length(text) - F.length(F.get(around, F.lit(1))) + 1
-        return F.struct(start.alias("start"), end.alias("end"))
-
-    no_span = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
-    percent = F.when(
-        text.contains("%"), let(F.split(text, F.lit(_PERCENT), 2), span)
-    ).otherwise(no_span)
-    prices = F.regexp_extract_all(text, F.lit(_PRICE), F.lit(0))
-
-    def step(state: Column, match: Column) -> Column:
-        start = F.position(match, text, state["at"])
-        end = start + F.length(match)
-        value = F.regexp_extract(match, _NUMBER, 0).cast("double")
-        pct = state["percent"]
-        apart = (pct["start"] == 0) | (end <= pct["start"]) | (start >= pct["end"])
-        target = F.when(
-            state["target"].isNull() & apart & value.between(1, 10000), value
-        ).otherwise(state["target"])
-        return F.struct(end.alias("at"), pct.alias("percent"), target.alias("target"))
-
-    begin = F.struct(
-        F.lit(1).alias("at"), percent.alias("percent"), F.lit(None).cast("double").alias("target")
-    )
-    return F.aggregate(prices, begin, step, lambda s: s["target"])
+    """First number in 1..10000 that does not touch the first percentage.
+
+    The text is cut at that percentage. Its first digit is left to the part before it, where
+    it is the last number, or the end of one that runs into the percentage: either is dropped.
+    """
+
+    def prices(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(_PRICE), F.lit(0))
+
+    def beside(parts: Column) -> Column:
+        before = prices(F.concat(parts[0], F.regexp_extract(text, _PERCENT_START, 1)))
+        apart = F.concat(
+            let(before, lambda found: F.slice(found, 1, F.size(found) - 1)), prices(F.get(parts, F.lit(1)))
+        )
+        return F.when(F.size(parts) > 1, apart).otherwise(prices(text))
+
+    found = F.when(text.contains("%"), let(F.split(text, F.lit(_PERCENT), 2), beside)).otherwise(prices(text))
+    values = F.transform(found, lambda p: F.regexp_extract(p, _NUMBER, 0).cast("double"))
+    return F.get(F.filter(values, lambda v: v.between(1, 10000)), F.lit(0))
 
 
 def float_text(value: Column) -> Column:
