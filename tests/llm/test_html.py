@@ -2,8 +2,9 @@
 
 import html
 import re
+import time
 
-from tickertide.llm.html import extract_text
+from tickertide.llm.html import extract_text, parse
 from tickertide.llm.registry import table
 
 
@@ -68,3 +69,38 @@ def test_templates_of_a_large_host(spark):
     rows = [(i, f"http://large.example/{i}", page(i, (menu if i % 25 == 0 else "") + f"<div><p>Own words {i}</p><p>{'Yes' if i % 25 == 1 else i}</p></div>")) for i in range(500)]
     got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got == {i: f"Own words {i}\n{'Yes' if i % 25 == 1 else i}" for i in range(500)}
+
+
+def test_names_of_parts(spark):
+    text = "<h1>Title {0}</h1><p>Own words of page {0} and more of them</p>"
+    bodies = [
+        "<article>" + text + "<div data-id='share' aria-menuid=menu data-role=search><p>Main words</p></div></article>",
+        "<div>" + text + "<p>Main words</p></div><div class='comment-list'><p>first one {0}!</p></div><div id=site_footer>by me {0}</div>",
+        "<div class='sidebar-left'>left {0}</div><ul class='nav-menu'><li>menu {0}</ul><div>" + text + "<p class='comments-open'>Main words</p></div>",
+        "<article class='site-post'>" + text + "<p>Main words</p></article><section ID = 'comments-2'><p>so {0}</p></section>",
+    ]
+    rows = [(i, f"http://host{i}.example/", page(i, b.format(i))) for i, b in enumerate(bodies)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"Title {i}\nOwn words of page {i} and more of them\nMain words" for i in range(len(bodies))}
+
+
+def test_broken_markup(spark):
+    bodies = {
+        "<p>one</p><a title=\"x>two</a><p>three</p>": "one\ntwo\nthree",
+        "<p>one <a href='a>b'>two</a> <i": "one two <i",
+        "<p>a < b <!-- <p>no</p> --> c</p><!doctype html><p>d": "a < b c\nd",
+        "<p>one</p></div></x><p>two</section>": "one\ntwo",
+    }
+    rows = [(i, f"http://host{i}.example/", b) for i, b in enumerate(bodies)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == dict(enumerate(bodies.values()))
+
+
+def test_parser_is_linear():
+    """Megabytes of broken markup are parsed in seconds."""
+    n = 200_000
+    for text in ("<a \"" * n, "<a \">\" " * n, "<a '>" * n, "<a" * n, "<div>" * n + "</p>" * n, "<article>" + "<div>" * n + "</section>" * n,
+                 "<section><article>" + "<b>" * n + "</section>" * n, "<p " + "x " * n + ">", "<!--" * n, "<ul>" * n + "<li>" * n):
+        begin = time.process_time()
+        parse(text)
+        assert time.process_time() - begin < 15, text[:20]

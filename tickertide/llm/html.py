@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tickertide.llm.hostrank import host_of
 from tickertide.llm.shared import U64, find, shard_bits, shared_path, write_sorted
 from tickertide.llm.words import plain
+from tickertide.session import cut_lineage
 
 LEAST_PAGES = 4  # different pages of a host that a template subtree stands on, at least; as many more for each power of ten above 100
 SHORT = 5  # words; single blocks of fewer recur by chance, so they must also stand on
@@ -45,6 +46,7 @@ CLOSES = {
 }
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 TABLE = {"table"}
+PARAGRAPH_SCOPES = {"article", "section", "div", "td", "th", "li", "blockquote", "table"}
 # -- fixed values: what is not main text, by element, and by names in role, class and id --
 ASIDE = set("nav aside form script style noscript template iframe button select input textarea title head menu dialog svg object canvas".split())
 EDGE = {"header", "footer"}
@@ -54,14 +56,21 @@ ASIDE_WORDS = set(
     "login masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promotion "
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+# Words that say where a part named by one of the words above is, or of what form.
+PLACES = set(
+    "site page post entry article global main primary secondary top bottom left right upper lower sub inner outer mobile desktop "
+    "sticky fixed list listing item items block box bar area section container wrapper wrap panel column row group body links link "
+    "button buttons icons form title heading thread tree count text slot unit zone posts articles".split()
+)
 COMMENTS = set("comment comments disqus replies reply respond".split())
 MAIN = {"article", "main"}
 # Parts of a paragraph, which are no template by themselves.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+TOKEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+QUOTE_OR_END = re.compile("[>\"']")
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
 class Element:
@@ -76,64 +85,118 @@ class Element:
         self.named = {"form"} if tag == "form" else set()
         if not self.aside and "=" in attributes:
             for name, *values in ATTRIBUTE.findall(attributes):
-                value = "".join(values).lower()
-                known = ASIDE_ROLES if name.lower() == "role" else ASIDE_WORDS
-                if tag not in ("html", "body", "main") and not known.isdisjoint(value.split()):
+                name = name.lower()
+                if name not in ("class", "id", "role") or tag in ("html", "body", "main"):
+                    continue
+                words = "".join(values).lower().split()
+                if name == "role":
+                    found = ASIDE_ROLES.intersection(words)
+                else:
+                    found = {w for word in words for w in aside_words(word)}
+                if found:
                     self.aside = True
-                    self.named.update(value.split())
+                    self.named |= found
+
+
+def aside_words(name: str) -> set[str]:
+    """The words that make a class or id an aside: ``comment-list`` and ``site_footer`` say what
+    they are and where, but ``has-sidebar`` and ``comments-open`` speak of something else."""
+    parts = name.replace("_", "-").split("-")
+    found = ASIDE_WORDS.intersection(parts)
+    return found if all(w in found or w in PLACES or not w or w.isdigit() for w in parts) else set()
+
+
+class Stack:
+    """The open elements, and where those of each tag are among them."""
+
+    def __init__(self, root: Element):
+        self.open = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        self.open.append(element)
+
+    def last(self, tags) -> int:
+        """The place of the innermost element of these tags, 0 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, place: int) -> None:
+        """End the element at a place and all in it."""
+        while len(self.open) > place:
+            self.places[self.open.pop().tag].pop()
+
+    def close_open(self, tags, scopes) -> None:
+        place = self.last(tags)
+        if place > self.last(scopes):
+            self.close(place)
+
+
+def tag_end(page: str, at: int) -> int:
+    """Where the > of a tag is; -1 if there is none outside of quotes."""
+    while (stop := QUOTE_OR_END.search(page, at)) is not None:
+        if stop[0] == ">":
+            return stop.start()
+        at = page.find(stop[0], stop.end()) + 1
+        if not at:
+            break
+    return -1
 
 
 def parse(page: str) -> Element:
-    """The tree of a page. Unclosed elements end where HTML ends them or with their parent."""
+    """The tree of a page. Unclosed elements end where HTML ends them or with their parent.
+
+    From a tag on whose quotes would swallow the rest of the page, quotes mean nothing and tags
+    end at the next >. What begins like a tag behind the last > is text. Time grows with the
+    page, whatever is broken in it.
+    """
     root = Element("", "")
-    stack, at = [root], 0
-    while True:
-        token = TOKEN.search(page, at)
-        if token is None:
-            break
-        if token.start() > at:
-            stack[-1].children.append(page[at : token.start()])
-        at = token.end()
-        close, tag = token.group(1), token.group(2)
+    stack = Stack(root)
+    at, begin = 0, 0  # text from begin on is not in the tree yet
+    quotes, final = True, page.rfind(">")
+    while (token := TOKEN.search(page, at)) is not None:
+        close, tag = token.group(2), token.group(3)
+        start, at = token.span()
+        if tag is None:
+            comment = token.group(1) is not None
+            end = page.find("-->" if comment else ">", at)
+            end = len(page) if end < 0 else end + (3 if comment else 1)
+        else:
+            if start > final:
+                break
+            end = tag_end(page, at) if quotes else page.find(">", at)
+            if end < 0:
+                quotes, end = False, page.find(">", at)
+            end += 1
+        if start > begin:
+            stack.open[-1].children.append(page[begin:start])
+        attributes = page[at : end - 1]
+        at = begin = end
         if tag is None:
             continue
         tag = tag.lower()
         if close:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in MAIN and tag not in ("body", "html", "main", "article"):
-                    break  # a stray tag does not end the article
+            place = stack.last((tag,))
+            # A stray tag does not end the article.
+            if place and (tag in ("body", "html", "main", "article") or place > stack.last(MAIN)):
+                stack.close(place)
             continue
         if tag in BLOCKS:
-            close_open(stack, {"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "table"})
+            stack.close_open(("p",), PARAGRAPH_SCOPES)
         if tag in CLOSES:
-            close_open(stack, CLOSES[tag], SCOPES.get(tag, TABLE))
-        element = Element(tag, token.group(3))
-        stack[-1].children.append(element)
+            stack.close_open(CLOSES[tag], SCOPES.get(tag, TABLE))
+        element = Element(tag, attributes)
+        stack.open[-1].children.append(element)
         if tag in RAW:
-            end = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
-            if end is None:
-                at = len(page)
-            else:
-                at = end.end()
-        elif tag not in VOID and not token.group(3).endswith("/"):
-            stack.append(element)
-    if at < len(page):
-        stack[-1].children.append(page[at:])
+            close_tag = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
+            at = begin = len(page) if close_tag is None else close_tag.end()
+        elif tag not in VOID and not attributes.endswith("/"):
+            stack.push(element)
+    if begin < len(page):
+        stack.open[-1].children.append(page[begin:])
     return root
 
 
-def close_open(stack: list[Element], tags: set[str], scopes: set[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in scopes:
-            return
-
-
 def hash_subtrees(element: Element, host: str) -> int:
     """Give each element a hash of its tag, attributes, text and children, and the host."""
     for e in reversed(in_order(element)):  # children are ready before their parent
@@ -304,8 +367,10 @@ def template_subtrees(pages: DataFrame, least_pages: int, least_share: float) ->
     """Keys of the subtrees that stand on many different pages of their host."""
     rows = pages.mapInArrow(page_subtrees, "host string, subtree bigint, short boolean, content bigint").distinct()
     counts = rows.groupBy("host", "subtree", "short").agg(F.count("*").alias("n"))
+    # Written once, as it is read for hosts and for subtrees: pages are parsed once to count.
+    counts = cut_lineage(counts.where(F.col("subtree").isNull() | (F.col("n") >= least_pages)))
     hosts = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    often = counts.where("subtree is not null").where(F.col("n") >= least_pages)
+    often = counts.where("subtree is not null")
     least = F.when(F.col("short"), least_share * F.col("pages")).otherwise(least_pages * F.log10(F.col("pages") / 10))
     return often.join(hosts, "host").where(F.col("n") >= least).select(F.col("subtree").alias("key")).distinct()
 
