@@ -1,5 +1,7 @@
 """URL parts, rules and scores against plain statements."""
 
+import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -65,6 +67,21 @@ def test_scores(spark):
     assert got == pytest.approx({k: s for k, s in want.items() if s}, abs=1e-5)
 
 
+def test_scores_that_keep_still(spark):
+    """To TOLERANCE, over thirty links with circles, within a minute."""
+    rng = random.Random(5)
+    edges = {(f"h{a}", f"h{b}"): n for a, b, n in [(rng.randrange(12), rng.randrange(12), 1 + rng.randrange(3)) for _ in range(34)] if a != b}
+    links = spark.createDataFrame([(*k, v) for k, v in edges.items()], "src string, dst string, n bigint")
+    seeds = spark.createDataFrame([("trust", "h0", 0.5), ("trust", "h5", 0.5), ("distrust", "h3", 1.0)], "kind string, host string, score double")
+    begin = time.time()
+    got = {(r.kind, r.host): r.score for r in propagate(links, seeds, rounds=None).collect()}
+    assert time.time() - begin < 60
+    want = {("trust", h): s for h, s in plain_rank(edges, {"h0": 0.5, "h5": 0.5}, 300).items()}
+    back = {(b, a): n for (a, b), n in edges.items()}
+    want |= {("distrust", h): s for h, s in plain_rank(back, {"h3": 1.0}, 300).items()}
+    assert got == pytest.approx({k: s for k, s in want.items() if s}, abs=1e-5)
+
+
 def test_links_decide_hosts_without_rule(spark):
     pages = [
         (1, "http://good.org/x", '<a href="http://friend.net/1">f</a> <A HREF=//Other.net/>o</A> <a href="/self">s</a>'),

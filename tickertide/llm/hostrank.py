@@ -21,7 +21,6 @@ DAMPING = 0.85
 ROUNDS = 20  # of propagate by itself; hosts are judged by scores within TOLERANCE
 TOLERANCE = 1e-6  # ends the rounds once all scores together change by less
 GUARD = 200  # rounds that are never needed: changes shrink by DAMPING a round, to TOLERANCE in some 95
-CUT = 4  # rounds between checkpoints
 
 # -- fixed values: the rules, longest first where several fit --
 RULES = {
@@ -75,6 +74,11 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS) -
     Scores of kind ``trust`` follow links, those of kind ``distrust`` go against them. What a
     host without links would hand on returns to the seeds. Without ``rounds`` it goes on until
     scores change by less than TOLERANCE.
+
+    The state is the score of each host that has one or has links to hand it on. What is handed
+    on follows from the scores of hosts with links, so a round is one join with the links and
+    one sum by host of what arrives, what returns to the seeds and the old score. Each state is
+    checkpointed: no plan grows, and only four numbers reach the driver.
     """
     forward = links.select(F.lit("trust").alias("kind"), "src", "dst", "n")
     backward = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
@@ -85,27 +89,32 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS) -
     scores = seeds.select("kind", "host", F.col("seed").alias("score"))
     if edges.isEmpty():
         return scores
+
+    def rows(df: DataFrame, host: str, score: Column, old: Column, linked: Column) -> DataFrame:
+        return df.select("kind", F.col(host).alias("host"), score.alias("score"), old.alias("old"), linked.alias("linked"))
+
+    def by_host(parts: list[DataFrame]) -> DataFrame:
+        sums = reduce(DataFrame.unionAll, parts).groupBy("kind", "host")
+        return cut_lineage(sums.agg(F.sum("score").alias("score"), F.sum("old").alias("old"), F.bool_or("linked").alias("linked")))
+
+    none, no, yes = F.lit(0.0), F.lit(False), F.lit(True)
+    state = by_host([rows(seeds, "host", F.col("seed"), none, no), rows(edges.select("kind", "host").distinct(), "host", none, none, yes)])
     for i in range(GUARD if rounds is None else rounds):
-        moved = scores.join(edges, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(
-            (F.sum(F.col("score") * F.col("part")) * DAMPING).alias("moved")
-        )
-        kept = moved.groupBy("kind").agg(F.sum("moved").alias("sum"))  # one row per kind
-        both = seeds.join(moved, ["kind", "host"], "full").join(F.broadcast(kept), "kind", "left")
-        back = F.coalesce("seed", F.lit(0.0)) * (1 - F.coalesce("sum", F.lit(0.0)))
-        step = both.select("kind", "host", (back + F.coalesce("moved", F.lit(0.0))).alias("score"))
-        if (i + 1) % CUT:
-            scores = step
-            continue
-        step = cut_lineage(step)
-        old = scores.withColumnRenamed("score", "old")
-        change = F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))
-        moved_on = step.join(old, ["kind", "host"], "full").agg(F.sum(change)).first()[0] or 0.0
-        scores = step
-        if moved_on < TOLERANCE:
-            return scores
-    if rounds is None:
-        raise RuntimeError(f"scores of hosts still change after {GUARD} rounds")
-    return scores
+        linked = F.sum(F.when(F.col("linked"), F.col("score")).otherwise(0.0))
+        sums = state.groupBy("kind").agg(linked.alias("linked"), F.sum(F.abs(F.col("score") - F.col("old"))).alias("change")).collect()
+        if rounds is None and i and sum(r.change for r in sums) < TOLERANCE:
+            break
+        back = reduce(lambda c, r: c.when(F.col("kind") == r.kind, 1 - DAMPING * r.linked), sums, F.when(F.lit(False), 1.0))
+        moved = state.where("linked and score > 0").select("kind", "host", "score").join(edges, ["kind", "host"])
+        state = by_host([
+            rows(moved, "dst", F.col("score") * F.col("part") * DAMPING, none, no),
+            rows(seeds, "host", F.col("seed") * back, none, no),
+            rows(state, "host", none, F.col("score"), F.col("linked")),
+        ])
+    else:
+        if rounds is None:
+            raise RuntimeError(f"scores of hosts still change after {GUARD} rounds")
+    return state.where("score > 0").select("kind", "host", "score")
 
 
 def judge_hosts(judged: DataFrame, links: DataFrame) -> DataFrame:
