@@ -1,6 +1,9 @@
 """Templates and the items they find."""
 
-from tickertide.llm.decontam import contamination, drop_contaminated
+import random
+import re
+
+from tickertide.llm.decontam import LITERALS, MATCHES, SHORTEST, UNITS, WINDOW, contamination, drop_contaminated
 
 ITEMS = [
     (1, "Anna has 12 apples and gives 5 kg of them to her brother who already had 12 pears in the old basket. How many are left?"),
@@ -43,7 +46,9 @@ def test_contamination(spark):
     assert len(rows) == len(DOCS)
     found = {r.doc_id: (r["items"], r.reworded) for r in rows if r.contaminated and r.doc_id is not None}
     assert found == {1: ([1], False), 2: ([1], True), 5: ([2], False), 6: ([2], False), 11: ([2], False), 12: ([2, 5], False)}
-    assert sorted(r.contaminated for r in rows if r.doc_id is None) == [False, True]
+    assert [r.contaminated for r in rows if r.doc_id is None] == [True, True]
+    named = contamination(docs, items, nameless=False).collect()
+    assert sorted(r.contaminated for r in named if r.doc_id is None) == [False, True]
     assert all(r.windows == 0 for r in rows if not r.contaminated)
 
 
@@ -51,6 +56,8 @@ def test_drop(spark):
     docs, items = tables(spark)
     left = drop_contaminated(docs, items)
     assert left.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["3", "4", "4", "7", "8", "9", "10"])
+    left = drop_contaminated(docs, items, nameless=False)
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["3", "4", "4", "7", "8", "9", "10", "None"])
 
 
@@ -74,14 +81,78 @@ def found_items(spark, items, docs, **more):
 
 def test_items_of_numbers_and_short_items(spark):
     items = [(1, "Solve 3x + 5 = 20 for x"), (2, "Add 12 and 30 kg"), (3, "Compute 12 * 7 + 5 - 3 / 9 exactly now"), (4, "too short"), (5, "17 18 19 20 21 22 23 24 25 26 27 28 29 30"), (6, "..."), (None, "who of all men never had an id in here?")]
-    docs = [FILL + t + " " + FILL for _, t in items]
-    docs += [FILL + "Solve 3x + 5 = 21 for x " + FILL, FILL + "Add 12 and 31 kg " + FILL, FILL + "too, short " + FILL, " ".join(str(n) for n in range(40, 80))]
-    found = found_items(spark, items, docs, nameless=True)
+    docs = [FILL + t + ("\n" if i == 4 else " ") + FILL for i, t in items]
+    docs += [FILL + "Solve 3x + 5 = 21 for x " + FILL, FILL + "Add 12 and 31 kg " + FILL, FILL + "(Too, short!) " + FILL, " ".join(str(n) for n in range(40, 80))]
+    found = found_items(spark, items, docs)
     assert [found[i] for i in range(5)] == [[1], [2], [3], [4], [5]]
     assert found[5] == [] and len(found[6]) == 1
     assert all(found[i] == [] for i in (7, 8, 10)) and found[9] == [4]
 
 
+def test_short_items_are_sentences(spark):
+    items = [(1, "Why?"), (2, "Who is it?"), (3, "Now then, one two")]
+    docs = ["the cat sat on a mat. Why so?", "the cat sat. Why?", "why", "Say why\nwhy not", "He asked: who is it? Nobody.", "who is it that sat here", "x\nNOW then one two\ny", "now then one two three", "Why"]
+    found = found_items(spark, items, docs)
+    assert [found[i] for i in range(9)] == [[], [1], [1], [], [2], [], [3], [], [1]]
+
+
+def plain_words(text):
+    """(canonical, slot) and real words of an ASCII text."""
+    out, real, before = [], [], None
+    for m in re.finditer(r"[^ \t-\r]+", text):
+        core = re.search(r"[A-Za-z0-9](?:.*[A-Za-z0-9])?", m[0])
+        if core is None:
+            continue
+        word = core[0].lower()
+        real.append(re.sub(r"[^a-z0-9]", "", word))
+        begin, end = m.start() + core.start(), m.start() + core.end()
+        follows = before is not None and text[before[1] : before[1] + 1] not in tuple(".!?:") and "\n" not in text[before[1] : begin]
+        if word[0].isdigit():
+            kind = "#"
+        elif core[0][0].isupper() and core[0][1:2].islower() and follows:
+            kind = "@"
+        elif before is not None and before[0] and word in UNITS:
+            kind = "%"
+        else:
+            kind = ""
+        out.append((kind or word, word if kind else None))
+        before = (kind == "#", end)
+    return out, real
+
+
+def plain_found(item, doc):
+    """Whether a document has an item, by comparing all windows at all distances."""
+    (a, ra), (b, rb) = plain_words(item), plain_words(doc)
+    for exact, x, y in ((False, a, b), (True, [(w, None) for w in ra], [(w, None) for w in rb])):
+        size = min(WINDOW, len(x))
+        if not exact and size < SHORTEST:
+            continue
+        literal = [exact or sum(s is None for _, s in x[i : i + size]) >= min(LITERALS, size - 1) for i in range(len(x) - size + 1)]
+        for shift in range(-len(x), len(y)):
+            same = [i for i, ok in enumerate(literal) if ok and i + shift >= 0 and [w for w, _ in x[i : i + size]] == [w for w, _ in y[i + shift : i + shift + size]]]
+            values = {(s, y[i + shift + k][1]) for i in same for k, (_, s) in enumerate(x[i : i + size]) if s is not None}
+            if same and len(same) >= min(MATCHES, sum(literal)) and len(values) == len({s for s, _ in values}):
+                return True
+    return False
+
+
+def test_against_all_windows(spark):
+    rng = random.Random(3)
+    words = "the old dog ran 12 30 5 kg km Anna Bob home. and then: 7 Why? (so) x-ray".split()
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([5, 6, 8, 12, 14])))) for i in range(40)]
+    docs = []
+    for _ in range(300):
+        text = rng.choice(items)[1].split()
+        swap = {w: rng.choice(["12", "44", "Carl", "Bob", "kg", "m"]) for w in rng.sample(["12", "30", "Anna", "kg"], 2)} if rng.random() < 0.6 else {}
+        text = [swap.get(w, w) for w in text]
+        if rng.random() < 0.4:
+            text[rng.randrange(len(text))] = rng.choice(words)
+        docs.append(" ".join(rng.choices(words, k=rng.randrange(6)) + text + rng.choices(words, k=rng.randrange(6))))
+    found = found_items(spark, items, docs)
+    for i, d in enumerate(docs):
+        assert found[i] == [k for k, t in items if plain_found(t, d)], d
+
+
 def test_case_and_punctuation(spark):
     text = "Ñasquera lleva óscar y été. Größe misst “fünf” Wörter: Élan bleibt. Ähre steht. Öl fließt. Übung macht. Čas běží. Žena čte. Ďábel spí."
     names = "Then Anna met Bob Carl Dora Emil Fritz Gina Hans Ida Jan Kurt Lea"

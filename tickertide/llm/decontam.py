@@ -10,7 +10,8 @@ Besides, windows of the real words are matched, in lower case without punctuatio
 placeholders, so a copy is found whatever its case and punctuation make of its names, and
 where the slots of a part do not agree. An item of fewer words
 than a window is one such window, whatever its words are, so verbatim copies of any item are
-found.
+found. Items of fewer than five words are common phrases, so they must be whole sentences or
+lines of a document.
 
 The hashes of the items' windows lie in shared files as sorted arrays. Tasks that read
 documents look windows up there, so only windows that occur in an item are shuffled.
@@ -48,6 +49,7 @@ UNITS = (
 # -- fixed values: what lower case leaves different, and what is no part of a real word --
 SAME = {"\u00a0": " ", "ß": "ss", "ς": "σ"}
 PUNCTUATION = r"[^\pL\pN\pM\t-\r ]+"
+SENTENCE_END = r"[.!?:\x{2026}\x{3002}]+[^\pL\pN\pM\t-\r ]*[\t-\r ]"
 
 NUMBER, NAME, UNIT = (U64(x) for x in (0x4E554D, 0x4E414D45, 0x554E4954))
 
@@ -115,24 +117,35 @@ def hash_runs(words: np.ndarray, size: int, seed: int) -> np.ndarray:
     return mix(total)
 
 
-def real_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, word) of the words of a piece of texts, without placeholders, case and
-    punctuation. Words of punctuation only do not count."""
+def real_words(texts: pa.Array, sentences: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word, begins) of the words of a piece of texts, without placeholders, case and
+    punctuation. Words of punctuation only do not count. ``begins`` marks the words that begin
+    a sentence or line, where ``sentences`` are asked for."""
     low = pc.utf8_lower(texts)
     for a, b in SAME.items():
         low = pc.replace_substring(low, a, b)
+    if sentences:
+        low = pc.replace_substring_regex(low, SENTENCE_END, "\n")
     data, offsets = raw_bytes(pc.replace_substring_regex(low, PUNCTUATION, ""))
     starts, ends = word_spans(data, offsets)
-    return np.searchsorted(offsets, starts, "right") - 1, hash_spans(data, starts, ends)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    begins = np.ones(len(doc) + 1, bool)
+    if sentences and len(doc):
+        breaks = np.flatnonzero((data >= 10) & (data <= 13))
+        begins[1:-1] = (doc[1:] != doc[:-1]) | (np.searchsorted(breaks, starts[1:]) > np.searchsorted(breaks, ends[:-1]))
+    return doc, hash_spans(data, starts, ends), begins
 
 
-def exact_hashes(doc: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of the windows of ``size`` real words. Windows of fewer words than
-    WINDOW are whole items, so the first of equal ones of a text is enough."""
+def exact_hashes(doc: np.ndarray, word: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the windows of ``size`` real words, below SHORTEST those that
+    begin and end with a sentence."""
     n = len(doc) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    begin = np.flatnonzero(doc[size - 1 :] == doc[:n])
+    inside = doc[size - 1 :] == doc[:n]
+    if size < SHORTEST:
+        inside &= begins[:n] & begins[size:]
+    begin = np.flatnonzero(inside)
     return begin, hash_runs(word, size, EXACT + size)[begin]
 
 
@@ -165,7 +178,7 @@ def places(doc: np.ndarray) -> np.ndarray:
 WINDOWS = "id bigint, at bigint, hash bigint, slots array<bigint>, size int, exact boolean"
 
 
-def item_windows(items: DataFrame, item_id: str, text: str, nameless: bool = False) -> DataFrame:
+def item_windows(items: DataFrame, item_id: str, text: str, nameless: bool = True) -> DataFrame:
     """Windows of benchmark items; an item of fewer words than a window is one window.
     ``nameless`` items, those without id, are known by a hash of their text."""
 
@@ -183,11 +196,12 @@ def item_windows(items: DataFrame, item_id: str, text: str, nameless: bool = Fal
                         whole = sizes[doc[begin]] == size
                         begin, hashes = begin[whole], hashes[whole]
                     yield hits_batch(ids, begin, doc, at, hashes, slot, size)
-                doc, word = real_words(piece)
+                doc, word, _ = real_words(piece)
                 at = places(doc)
+                whole_item = np.ones(len(doc) + 1, bool)
                 sizes = np.bincount(doc, minlength=len(piece))
                 for size in range(1, WINDOW + 1):
-                    begin, hashes = exact_hashes(doc, word, size)
+                    begin, hashes = exact_hashes(doc, word, whole_item, size)
                     if size < WINDOW:
                         whole = sizes[doc[begin]] == size
                         begin, hashes = begin[whole], hashes[whole]
@@ -229,9 +243,10 @@ def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[i
                     known = is_item_window(hashes, folder, bits)
                     if len(known):
                         yield hits_batch(ids, begin[known], doc, places(doc), hashes[known], slot, size)
-                doc, word = real_words(piece)
+                doc, word, begins = real_words(piece, sentences=any(size < SHORTEST for size in exact_sizes))
                 for size in exact_sizes:
-                    begin, hashes = exact_hashes(doc, word, size)
+                    begin, hashes = exact_hashes(doc, word, begins, size)
+                    # Of equal windows that are whole items the first one of a text is enough.
                     known = is_item_window(hashes, folder, bits)
                     if size < WINDOW:
                         known = known[first_ones(begin[known], hashes[known], doc)]
@@ -242,7 +257,7 @@ def document_windows(documents: DataFrame, folder: str, bits: int, sizes: list[i
     return documents.mapInArrow(run, WINDOWS)
 
 
-def matches(documents: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", nameless: bool = False) -> DataFrame:
+def matches(documents: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", nameless: bool = True) -> DataFrame:
     """(id, item, windows, reworded) for each document and item it contains, by windows of
     templates or of real words.
 
@@ -283,14 +298,14 @@ def row_key(documents: DataFrame) -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text")))
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, nameless: bool = True) -> DataFrame:
     """One row per document: doc_id, contaminated, items (ids of the items found, sorted),
     windows (of all of them) and reworded (an item has other parameters).
 
     Rows that share an id are one document, whatever their texts. Items of fewer than five
-    words, and windows with few literal words, are found by their real words only: an item of
-    one word is in every document with that word. Items without a word are in none. Items
-    without id are looked for if ``nameless`` is set; their id is a hash of their text. Null
+    words are found where they are a whole sentence or line, and windows with few literal words
+    by their real words only. Items without a word are in no document. Items without id have a
+    hash of their text as id; they are left out if ``nameless`` is not set. Null
     texts are empty. Needs doc_id and text; other columns are ignored.
     """
     keyed = documents.select("doc_id", row_key(documents).alias("id"), "text")
@@ -304,7 +319,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, nameless: bool = F
     )
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, nameless: bool = True) -> DataFrame:
     """The rows without benchmark items; all columns stay."""
     key = row_key(documents)
     found = matches(documents.select(key.alias("id"), "text"), benchmark, nameless=nameless).select("id")
