@@ -1,6 +1,11 @@
 """Quotations: taken out, linked, ordered."""
 
-from tickertide.llm.quotes import reply_ordered
+import random
+import time
+
+from pyspark.sql import functions as F
+
+from tickertide.llm.quotes import lines_of, passages, reply_ordered
 
 A = "Hello all, the build is broken again. Does anybody know why that is?\n\nThe log says nothing useful at all."
 B = "On Monday Ann wrote:\n> Hello all, the build is broken again. Does\n> anybody know why that is?\n\nYes, the disk of the server is full."
@@ -51,3 +56,37 @@ def test_short_sentences(spark):
     table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id bigint, turn bigint, role string, text string")
     got = {r.turn: r.reply_to for r in reply_ordered(table).collect()}
     assert got == {0: None, 1: None, 2: 0, 3: 1, 4: 1, 5: None, 6: 0}
+
+
+def plain_passages(text):
+    out, before = [], None
+    for line in text.split("\n"):
+        level = 0
+        while line.lstrip(" ").startswith(">"):
+            line = line.lstrip(" ")[1:]
+            level += 1
+        words = line.strip(" ")
+        if out and before == (level, True) and words:
+            out[-1] = (level, out[-1][1] + " " + words)
+        elif words:
+            out.append((level, words))
+        before = (level, bool(words))
+    return out
+
+
+def test_passages(spark):
+    rng = random.Random(2)
+    texts = ["\n".join(rng.choice(["", ">", "> ", ">> ", "> > "]) + rng.choice(["", "a b", "c.", "d 🚀", " x"]) for _ in range(rng.randrange(9))) for _ in range(800)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", lines_of(F.col("t")).alias("l")).select("i", passages(F.col("l")).alias("p"))
+    got = {r.i: [(p.level, p.words) for p in r.p] for r in rows.collect()}
+    assert got == {i: plain_passages(t) for i, t in enumerate(texts)}
+
+
+def test_passages_are_linear(spark):
+    n = 100_000
+    text = "\n".join(["> " * (i % 3) + f"line {i}" for i in range(n)]) + "\n" + "one\n" * n + "\n" * n
+    table = spark.createDataFrame([(text,)], "t string").select(lines_of(F.col("t")).alias("l"))
+    begin = time.time()
+    # The last of the numbered lines and those of one word are one passage.
+    assert table.select(F.size(passages(F.col("l"))).alias("n")).first()["n"] == n
+    assert time.time() - begin < 20

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickertide.functions.text import let
 from tickertide.session import cut_lineage
 
 SHORTEST = 3  # words of a quoted sentence that counts beside longer ones of its passage
@@ -44,26 +45,33 @@ def own_text(lines: Column) -> Column:
     count = F.size(lines)
     quoted_next = lambda i: (i + 1 < count) & (F.get(lines, i + 1)["level"] > 0)
     kept = F.filter(lines, lambda x, i: (x["level"] == 0) & ~(x["words"].rlike(ANNOUNCED) & quoted_next(i)))
-    return F.regexp_replace(F.array_join(F.transform(kept, lambda x: x["words"]), "\n"), r"\A\s+|\s+\z", "")
+    return F.regexp_replace(F.array_join(F.transform(kept, lambda x: x["words"]), "\n"), r"\A\s+|(?<!\s)\s++\z", "")
 
 
 def passages(lines: Column) -> Column:
     """Passages as (level, words): consecutive lines of one level joined by spaces; an empty
-    line ends a passage."""
-    empty = F.array().cast("array<struct<level:int,words:string>>")
-
-    def add(found: Column, line: Column) -> Column:
-        last = F.element_at(found, -1)
-        joined = F.concat(
-            F.slice(found, 1, F.size(found) - 1),
-            F.array(F.struct(last["level"].alias("level"), F.concat_ws(" ", last["words"], line["words"]).alias("words"))),
-        )
-        new = F.concat(found, F.array(F.struct(line["level"].alias("level"), line["words"].alias("words"))))
-        same = (F.size(found) > 0) & (F.try_element_at(found, F.lit(-1))["level"] == line["level"])
-        open_ = same & (F.try_element_at(found, F.lit(-1))["words"] != "") & (line["words"] != "")
-        return F.when(open_, joined).otherwise(new)
+    line ends a passage.
 
-    found = F.aggregate(F.transform(lines, lambda x: F.struct(x["level"].cast("int").alias("level"), F.trim(x["words"]).alias("words"))), empty, add)
+    The lines are joined to one text with marks where passages begin, and cut there again, so
+    the time grows with the lines. The two control characters that serve as marks are spaces
+    in the words.
+    """
+    trimmed = F.transform(lines, lambda x: F.struct(
+        x["level"].cast("int").alias("level"), F.trim(F.regexp_replace(x["words"], r"[\x01\x02]", " ")).alias("words")
+    ))
+
+    def marked(all_lines: Column) -> Column:
+        def joined(line: Column, i: Column) -> Column:
+            last = F.get(all_lines, i - 1)
+            goes_on = (i > 0) & (last["level"] == line["level"]) & (last["words"] != "") & (line["words"] != "")
+            begin = F.concat(F.lit("\x01"), line["level"].cast("string"), F.lit("\x02"))
+            return F.concat(F.when(goes_on, F.lit(" ")).otherwise(begin), line["words"])
+
+        return F.split(F.array_join(F.transform(all_lines, joined), ""), "\x01")
+
+    found = F.transform(let(trimmed, marked), lambda p: F.struct(
+        F.substring_index(p, "\x02", 1).try_cast("int").alias("level"), F.substring_index(p, "\x02", -1).alias("words")
+    ))
     return F.filter(found, lambda p: p["words"] != "")
 
 
