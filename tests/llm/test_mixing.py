@@ -75,6 +75,12 @@ def test_taken(spark):
     assert sorted(map(tuple, taken_words(docs.repartition(2)).collect()), key=str) == sorted(map(tuple, rows), key=str)
 
 
+def test_more_passes(spark):
+    """Four times every source: each document four times, as many passes as the caller allows."""
+    docs = documents(spark, [(i, s, "w " * (i % 7 + 1), "s", 1) for i, s in enumerate(["a", "b", None] * 40)])
+    assert all(r.taken == 4 * r.size for r in taken_words(docs, share=4.0, most=4).collect())
+
+
 def test_mix_rows_are_the_taken_words(spark):
     docs = documents(spark, some_rows(300))
     taken = Counter()

@@ -102,7 +102,7 @@ def draw_plan(sizes: DataFrame, seed: str, **limits: float) -> tuple[DataFrame,
     cuts = cuts.select("place", F.when(F.col("best.miss") < F.col("left"), F.col("best.h")).otherwise(-1).alias("last_cut"))
     taken = F.concat(
         F.transform(
-            F.filter(F.sequence(F.lit(1), F.lit(MOST)), lambda i: i <= F.col("passes")),
+            F.filter(F.sequence(F.lit(1), F.greatest("passes", F.lit(1))), lambda i: i <= F.col("passes")),
             lambda i: F.struct(i.alias("pass"), F.lit(whole).alias("cut")),
         ),
         F.when(F.col("before") + F.col("words") <= F.col("rest"), F.array(F.struct(F.lit(0).alias("pass"), F.lit(whole).alias("cut"))))
