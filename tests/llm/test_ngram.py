@@ -101,3 +101,26 @@ def test_probabilities_sum_to_one(spark):
     for before in ("the", "cat", "unheard"):
         chance = model.probability([np.full(len(after), hash_word(before), np.uint64), after])
         assert chance.sum() == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 20000])
+def test_blocks_keep_their_rows(n):
+    import numpy as np
+
+    from tickertide.llm.ngram import pack, unpack
+
+    some = np.random.default_rng(n)
+    known = some.integers(0, 1 << 63, 50).astype(np.uint64)
+    words = [known[some.integers(0, 50, n)] for _ in range(3)]
+    numbers = [some.integers(0, 300, n), some.integers(0, 1 << 40, n)]
+    got = unpack(pack(words, numbers))
+    assert sorted(zip(*got[0], *got[1])) == sorted(zip(*words, *numbers))
+
+
+def test_counts_beyond_32_bits():
+    import numpy as np
+
+    from tickertide.llm.ngram import narrow
+
+    assert narrow(np.array([1, 5_000_000_000])).tolist() == [1, 5_000_000_000]
+    assert narrow(np.array([255])).dtype == np.uint8 and narrow(np.zeros(0, np.int64)).dtype == np.uint8

@@ -12,6 +12,8 @@ workers that score texts map into memory.
   hands its distinct n-grams on, without their first word, to the shards of the next order.
 * Discounts come from the counts of n-grams seen once to four times and are applied when a
   text is scored; the files hold counts.
+* Disk: blocks list their words once and are compressed; numbers take as few bytes as they
+  need, and contexts with one n-gram, seen once, take twelve bytes together with it.
 
 Words and n-grams are known by 64-bit hashes.
 """
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.llm.shared import (
-    U64, find, listed, read_arrays, shard_bits, shards, shared_path, write_arrays, write_sorted,
+    U64, bits_for, find, listed, read_arrays, shards, shared_path, write_arrays, write_sorted,
 )
 from tickertide.llm.words import hashed_words, join_hashes, pieces, plain, runs
 from tickertide.session import cut_lineage
@@ -65,33 +67,57 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
+def planes(column: np.ndarray, width: int) -> bytes:
+    """All lowest bytes first, then all second ones: high bytes are mostly zeros."""
+    return column.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def narrow(column: np.ndarray) -> np.ndarray:
+    """In as few bytes as the numbers need."""
+    most = column.max() if len(column) else 0
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if most <= np.iinfo(k).max), np.int64)
+    return column.astype(kind)
+
+
 def pack(words: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
-    """Rows as one block: the first words as runs, numbers in as few bytes as they need."""
-    at = runs(words[0])
-    parts = [words[0][at], np.diff(np.append(at, len(words[0]))).astype(np.uint32), *words[1:]]
-    kinds = []
-    for n in numbers:
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(n) or n.max() <= np.iinfo(k).max)
-        kinds.append(kind().itemsize)
-        parts.append(n.astype(kind))
-    head = np.array([len(words[0]), len(at), len(words), len(kinds), *kinds], np.uint64)
-    return b"".join([head.tobytes(), *[x.tobytes() for x in parts]])
+    """Rows as one block: its words once, frequent ones first, then the rows in the order of
+    their places in that list, as differences where the words before are the same."""
+    codes, values = pd.factorize(np.concatenate(words))
+    by = np.argsort(-np.bincount(codes), kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    columns = np.split(rank[codes], len(words))
+    order = np.lexsort(columns[::-1])
+    parts, new = [], np.zeros(len(order), bool)
+    new[:1] = True
+    for c in (c[order] for c in columns):
+        parts.append(np.where(new, c, np.diff(c, prepend=0)))
+        new = new | (np.diff(c, prepend=0) != 0)
+    parts += [n[order] for n in numbers]
+    widths = [narrow(x).itemsize for x in parts]
+    body = b"".join([values[by].tobytes(), *[planes(x, k) for x, k in zip(parts, widths)]])
+    head = np.array([len(body), len(order), len(values), len(words), len(numbers), *widths], U64)
+    return head.tobytes() + pa.Codec("zstd").compress(body, asbytes=True)
 
 
 def unpack(block: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    n, n_runs, n_words, n_numbers = np.frombuffer(block, U64, 4).astype(int)
-    kinds = np.frombuffer(block, U64, n_numbers, 32).astype(int)
-    place = 32 + 8 * n_numbers
-
-    def take(kind: type, count: int) -> np.ndarray:
-        nonlocal place
-        out = np.frombuffer(block, kind, count, place)
-        place += out.nbytes
-        return out
-
-    values, lengths = take(U64, n_runs), take(np.uint32, n_runs)
-    words = [np.repeat(values, lengths), *[take(U64, n) for _ in range(n_words - 1)]]
-    return words, [take(np.dtype(f"u{k}"), n).astype(np.int64) for k in kinds]
+    size, n, n_values, n_words, n_numbers = np.frombuffer(block, U64, 5).astype(int)
+    widths = np.frombuffer(block, U64, n_words + n_numbers, 40).astype(int).tolist()
+    body = pa.Codec("zstd").decompress(block[40 + 8 * len(widths) :], int(size), asbytes=True)
+    values, place, parts = np.frombuffer(body, U64, n_values), 8 * n_values, []
+    for width in widths:
+        part = np.frombuffer(body, np.uint8, n * width, place).reshape(width, n).T
+        parts.append(np.ascontiguousarray(part).view(f"<u{width}").ravel().astype(np.int64))
+        place += n * width
+    words, new = [], np.zeros(n, bool)
+    new[:1] = True
+    for part in parts[:n_words]:
+        at, sums = np.flatnonzero(new), np.cumsum(part)
+        base = np.repeat(sums[at] - part[at], np.diff(np.append(at, n)))
+        code = sums - base
+        words.append(values[code])
+        new = new | (np.diff(code, prepend=0) != 0)
+    return words, parts[n_words:]
 
 
 def deal(words: list[np.ndarray], numbers: list[np.ndarray], hot: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -132,6 +158,11 @@ def gram_shards(words: list[np.ndarray], hot: np.ndarray, bits: int) -> np.ndarr
     return np.where(is_hot(words[:-1], hot), shards(join_hashes(*words), bits), by_context)
 
 
+def follower(grams: np.ndarray) -> np.ndarray:
+    """Tells the n-grams of one context apart."""
+    return grams.astype(np.uint32)
+
+
 def context_key(words: list[np.ndarray]) -> np.ndarray:
     return words[0] if len(words) == 1 else join_hashes(*words)
 
@@ -191,6 +222,9 @@ def merge_grams(folder: str, order: int, hot: np.ndarray, bits: int):
     """Writes the n-grams of a shard and the sums of their contexts; hands the distinct
     n-grams without their first word on to the next lower order.
 
+    Most contexts of a higher order are followed by one word, once. These stand apart, with
+    32 bits of their n-gram, and neither sums nor that n-gram are stored.
+
     Numbers of an n-gram are how many different words stand before it and how often it
     occurs; in the highest order, only the latter.
     """
@@ -199,18 +233,24 @@ def merge_grams(folder: str, order: int, hot: np.ndarray, bits: int):
         shard, words, numbers = merged(table)
         counts, often = numbers[0], numbers[-1]
         key = join_hashes(*words)  # sorted
-        many = counts > 1
-        write_arrays(f"{folder}/once{order}/{shard}", {"key": key[~many]})
-        write_arrays(f"{folder}/more{order}/{shard}", {"key": key[many], "count": counts[many].astype(np.uint32)})
         context = context_key(words[:-1])
         by = np.argsort(context)
         at = runs(context[by])
-        sums = {"total": np.add.reduceat(counts[by], at)}
+        total = np.add.reduceat(counts[by], at)
+        shared = is_hot([w[by[at]] for w in words[:-1]], hot)
+        lone = (total == 1) & ~shared
+        alone = np.zeros(len(key), bool)
+        alone[by[at[lone]]] = True
+        write_arrays(f"{folder}/lone{order}/{shard}", {"key": context[by[at[lone]]], "follower": follower(key[by[at[lone]]])})
+        many = counts > 1
+        write_arrays(f"{folder}/once{order}/{shard}", {"key": key[~many & ~alone]})
+        write_arrays(f"{folder}/more{order}/{shard}", {"key": key[many], "count": narrow(counts[many])})
+        sums = {"total": total}
         for k in (1, 2, 3):
             seen = counts == k if k < 3 else counts >= 3
-            sums[f"n{k}"] = np.add.reduceat(seen[by].astype(np.int32), at)
-        shared = is_hot([w[by[at]] for w in words[:-1]], hot)
-        write_arrays(f"{folder}/context{order}/{shard}", {"key": context[by[at]], **sums, "shared": shared.astype(np.int8)})
+            sums[f"n{k}"] = np.add.reduceat(seen[by].astype(np.int64), at)
+        sums = {n: narrow(x[~lone]) for n, x in sums.items()}
+        write_arrays(f"{folder}/context{order}/{shard}", {"key": context[by[at[~lone]]], **sums, "shared": shared[~lone].astype(np.int8)})
         write_arrays(f"{folder}/seen{order}/{shard}", {"n": count_of_counts(counts)})
         return pa.Table.from_batches([deal(*added_up(words[1:], [np.ones(len(key), np.int64), often]), hot, bits)])
 
@@ -223,7 +263,7 @@ def merge_words(folder: str):
 
     def run(table: pa.Table) -> pa.Table:
         shard, (words,), (before, often) = merged(table)
-        write_arrays(f"{folder}/words/{shard}", {"key": words, "count": often, "before": before})
+        write_arrays(f"{folder}/words/{shard}", {"key": words, "count": narrow(often), "before": narrow(before)})
         write_arrays(f"{folder}/seen1/{shard}", {"n": np.append(count_of_counts(before), [before.sum(), (before > 2).sum()])})
         return pa.table({"n": often})
 
@@ -279,11 +319,13 @@ class Model:
         names = ["total", "n1", "n2", "n3"]
         key = context_key(words)
         out = find(f"{self.folder}/context{order}", self.bits, key, names)
+        lone = find(f"{self.folder}/lone{order}", self.bits, key, ["follower"])
+        out = {n: out[n].astype(np.int64) for n in names} | {"lone": lone["found"], "follower": lone["follower"]}
+        out["total"][lone["found"]] = out["n1"][lone["found"]] = 1
         hot = np.flatnonzero(is_hot(words, self.hot))
         if len(hot):
             sums = find(f"{self.folder}/shared{order}", 1, key[hot], names)
             for n in names:
-                out[n] = out[n].astype(np.int64)
                 out[n][hot] = sums[n]
         return out
 
@@ -298,7 +340,8 @@ class Model:
         sums = self.contexts(order, context)
         key, where = join_hashes(*words), gram_shards(words, self.hot, self.bits)
         once = find(f"{self.folder}/once{order}", self.bits, key, [], where)["found"]
-        count = find(f"{self.folder}/more{order}", self.bits, key, ["count"], where)["count"] + once.astype(np.int64)
+        only = sums["lone"][codes] & (sums["follower"][codes] == follower(key))
+        count = find(f"{self.folder}/more{order}", self.bits, key, ["count"], where)["count"] + (once | only).astype(np.int64)
         d = self.discounts[order]
         total = sums["total"].astype(np.float64)
         left = sum(d[k - 1] * sums[f"n{k}"] for k in (1, 2, 3))
@@ -314,7 +357,7 @@ class Model:
         for _, piece in pieces(texts, SCORE_BYTES):
             hashes, sizes = tokens(piece)
             codes, words = pd.factorize(hashes)
-            counts = find(f"{self.folder}/words", self.bits, words, ["count"])["count"]
+            counts = find(f"{self.folder}/words", self.bits, words, ["count"])["count"].astype(np.int64)
             begins = np.cumsum(sizes + 1) - sizes - 1
             first = np.zeros(len(codes), np.int64)
             first[begins] = begins
@@ -362,7 +405,7 @@ def fit(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
     if order not in (2, 3):
         raise ValueError("order is 2 or 3")
     spark = texts.sparkSession
-    bits = shard_bits(spark)
+    bits = bits_for(texts)
     folder = shared_path(spark, "ngrams")
     texts = texts.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     hot = frequent_words(texts)

@@ -161,6 +161,8 @@ def find(
         for n in names:
             if n not in out:
                 out[n] = np.zeros(len(keys), stored[n].dtype)
+            elif out[n].dtype != stored[n].dtype:  # shards may store numbers in fewer bytes
+                out[n] = out[n].astype(np.promote_types(out[n].dtype, stored[n].dtype))
             out[n][rows] = stored[n][at[hit]]
     for n in names:
         out.setdefault(n, np.zeros(len(keys), np.int64))
