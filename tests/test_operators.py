@@ -1,5 +1,6 @@
 """Operators on small tables with the cases that are easy to get wrong."""
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -16,6 +17,7 @@ from tickertide.operators import skew
 from tickertide.operators import summaries as G
 from tickertide.operators import threads
 from tickertide.operators import universe as U
+from tickertide.operators.running import running_sums
 from tickertide.registry import derived
 from tickertide.sources import messages as S
 from tickertide.sources import prices as P
@@ -406,10 +408,69 @@ def test_comment_depth_shapes(spark):
     assert all(depth[f"h{i}"] == (4, "p") for i in range(3000))
     assert depth["o"] == (0, "gone") and depth["on"] == (1, "gone") and depth["n"] == (0, None)
     assert len(depth) == len(data) - 1
+    assert threads.flatten_threads(df.limit(0)).count() == 0
     few = threads.flatten_threads(df, 4).where("thread_id = 'p'").orderBy("place")
     assert [r.message_id for r in few.collect()] == ["c0", "c1", "c2", "c3"]
 
 
+def plain_places(data):
+    """Places by walking the replies of each thread, depth first."""
+    ids, below, out = {m for m, _, _ in data}, {}, {}
+    for m, p, t in sorted(data, key=lambda x: (x[2], x[0])):
+        below.setdefault(p, []).append(m)
+    for top in below.keys() - ids:
+        stack, place = below[top][::-1], 0
+        while stack:
+            m = stack.pop()
+            place += 1
+            out[m] = (top, place)
+            stack += below.get(m, [])[::-1]
+    return out
+
+
+def comments(spark, data):
+    return spark.createDataFrame(
+        [(m, p, V.COMMENT, t) for m, p, t in data],
+        "message_id string, parent_id string, message_type string, created_at timestamp")
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_places_of_random_threads(spark, seed):
+    some = random.Random(seed)
+    data = []
+    for i in range(600):
+        kind = some.random()
+        parent = f"p{some.randrange(3)}" if kind < 0.1 else f"p{i}x" if kind < 0.12 else "c0" if kind < 0.4 else f"c{some.randrange(max(1, i - 9), i + 1) - 1 if i else 0}"
+        data.append((f"c{i}", "p0" if i == 0 else parent, at(1, some.randrange(5))))
+    got = {r.message_id: (r.thread_id, r.place) for r in threads.flatten_threads(comments(spark, data)).collect()}
+    assert got == plain_places(data)
+
+
+def test_places_on_a_long_chain(spark):
+    n = 1500
+    ids = spark.range(n).select(
+        F.concat(F.lit("c"), "id").alias("message_id"),
+        F.when(F.col("id") == 0, "p").otherwise(F.concat(F.lit("c"), F.col("id") - 1)).alias("parent_id"),
+        F.lit(V.COMMENT).alias("message_type"), F.lit(at(1)).alias("created_at"))
+    got = threads.flatten_threads(ids)
+    assert "path" not in got.columns
+    odd = got.where((F.concat(F.lit("c"), F.col("place") - 1) != F.col("message_id")) | (F.col("thread_id") != "p"))
+    assert got.count() == n and odd.count() == 0
+
+
+def test_running_sums_of_a_group_over_many_ranges(spark):
+    rows = spark.range(5000).select(
+        "id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
+        (F.col("id") % 11).alias("v"))
+    want, sums = {}, {}
+    for i, g, v in sorted(tuple(r) for r in rows.collect()):
+        want[i] = sums.get(g, 0)
+        sums[g] = want[i] + v
+    got = running_sums(rows, "g", ["id"], "v", "s").collect()
+    assert {r.id: r.s for r in got} == want and len(got) == 5000
+    assert running_sums(rows.limit(0), "g", ["id"], "v", "s").count() == 0
+
+
 def test_thread_limit_counts(spark):
     data = [("p1", None, V.POST, "stocks", 2), ("p2", None, V.POST, "stocks", 1), ("px", None, V.POST, "other", 1)]
     data += [(f"a{i}", "p1", V.COMMENT, "stocks", 3 + i) for i in range(4)]

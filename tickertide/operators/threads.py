@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 
 from tickertide import vocab as V
 from tickertide.operators.dedup import first_rows
+from tickertide.operators.running import running_sums
 from tickertide.operators.skew import skew_join
 from tickertide.session import cut_lineage
 
 
-def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
+def comment_depth(messages: DataFrame) -> DataFrame:
     """Comments with ``depth`` and ``thread_id`` (the post).
 
-    ``with_path`` adds ``path``, the comments from the top one down; ordering by it goes
-    through a thread depth first.
-
     ``message_id`` is unique. A comment whose parent is no comment has depth 0. Each round
     doubles the distance every comment has looked up the tree, so the number of joins
     grows with the log of the depth. A comment with very many replies is a hot key of the
@@ -40,7 +38,6 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
             F.when(nested, F.col("parent_id")).alias("at"),
             F.when(nested, 1).otherwise(0).alias("depth"),
             F.when(~nested, F.col("parent_id")).alias("thread_id"),
-            *([F.array(F.struct("created_at", "message_id")).alias("path")] if with_path else []),
         )
     )
     # Every path is walked once the steps are as long as there are comments.
@@ -48,7 +45,7 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
     while not (waiting := state.where(F.col("at").isNotNull())).isEmpty():
         if rounds == 0:
             circle = waiting.select(*[
-                F.lit(None).cast(kind).alias(c) if c in ("depth", "thread_id", "at", "path") else F.col(c)
+                F.lit(None).cast(kind).alias(c) if c in ("depth", "thread_id", "at") else F.col(c)
                 for c, kind in waiting.dtypes
             ])
             state = state.where(F.col("at").isNull()).unionByName(circle)
@@ -59,31 +56,57 @@ def comment_depth(messages: DataFrame, with_path: bool = False) -> DataFrame:
             F.col("at").alias("next_at"),
             F.col("depth").alias("more"),
             F.col("thread_id").alias("next_thread"),
-            *([F.col("path").alias("above")] if with_path else []),
         )
         moved = skew_join(waiting, above, "at", F.xxhash64("message_id")).select(
             "message_id", "parent_id", "created_at",
             F.col("next_at").alias("at"),
             (F.col("depth") + F.col("more")).alias("depth"),
             F.col("next_thread").alias("thread_id"),
-            *([F.concat("above", "path").alias("path")] if with_path else []),
         )
         state = cut_lineage(state.where(F.col("at").isNull()).unionByName(moved))
     return state.drop("at")
 
 
-def flatten_threads(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    """Comments depth first, at most ``limit`` per thread.
+def thread_places(threaded: DataFrame) -> DataFrame:
+    """Comments of ``comment_depth``, whole threads of them, with ``place``: their number in
+    their thread, from 1, depth first and replies to one message by time and id.
 
-    With a limit they have ``place``, their number in the thread. Without one ``path`` is
-    the order: numbering would bring a whole thread, however long, to one task.
+    A comment stands after its parent, the earlier replies to that and all below those. So
+    the sizes of the trees below all comments are counted, summed over earlier replies, and
+    these sums added up along the way to the top. Both walks double their step each round;
+    rows stay as wide as they are, and a thread or a message with very many replies is
+    spread over all tasks. Comments in or below a circle have no place.
     """
-    threaded = comment_depth(messages, with_path=True)
-    if limit is None:
-        return threaded
-    order = F.asc("path")
-    place = F.row_number().over(Window.partitionBy("thread_id").orderBy(order))
-    return first_rows(threaded, ["thread_id"], [order], limit).withColumn("place", place)
+    up = F.when(F.col("depth") > 0, F.col("parent_id"))
+    tree = cut_lineage(threaded.withColumn("_up", up))
+    known = tree.where(F.col("depth").isNotNull())
+    rounds = (known.agg(F.max("depth")).first()[0] or 0).bit_length()
+    sizes = known.select("message_id", "_up", F.lit(1).cast("bigint").alias("size"))
+    for _ in range(rounds):
+        below = sizes.where(F.col("_up").isNotNull()).groupBy(F.col("_up").alias("message_id")).agg(F.sum("size").alias("below"))
+        grown = sizes.join(below, "message_id", "left").withColumn("size", F.col("size") + F.coalesce("below", F.lit(0)))
+        sizes = cut_lineage(stepped(grown.drop("below"), sizes.select("message_id", "_up")))
+    family = known.join(sizes.select("message_id", "size"), "message_id").select("message_id", "parent_id", "created_at", "_up", "size")
+    earlier = running_sums(family, "parent_id", ["created_at", "message_id"], "size", "earlier")
+    places = cut_lineage(earlier.select("message_id", "_up", (F.col("earlier") + 1).alias("place")))
+    for _ in range(rounds):
+        above = places.select("message_id", "_up", F.col("place").alias("above"))
+        moved = stepped(places, above).withColumn("place", F.col("place") + F.coalesce("above", F.lit(0)))
+        places = cut_lineage(moved.drop("above"))
+    return tree.drop("_up").join(places.select("message_id", "place"), "message_id", "left")
+
+
+def stepped(rows: DataFrame, above: DataFrame) -> DataFrame:
+    """Rows with the ``_up`` of the comment they look up to, and what else ``above`` has of it."""
+    nexts = above.withColumnsRenamed({"_up": "_next", "message_id": "_up"})
+    found = skew_join(rows, nexts, "_up", F.xxhash64("message_id"), "left")
+    return found.drop("_up").withColumnRenamed("_next", "_up")
+
+
+def flatten_threads(messages: DataFrame, limit: int | None = None) -> DataFrame:
+    """Comments with their ``place`` in their thread, depth first, at most ``limit`` per thread."""
+    placed = thread_places(comment_depth(messages))
+    return placed if limit is None else placed.where(F.col("place") <= limit)
 
 
 def daily_thread_pick(
@@ -110,23 +133,11 @@ def new_thread_comments(
     return comments.where(~F.coalesce(known, F.lit(False)) | (F.col("timestamp") > last_check))
 
 
-def in_threads(messages: DataFrame, threads: DataFrame) -> DataFrame:
-    """The comments below the posts of ``threads`` (thread_id), with ``path``.
-
-    Threads are found without paths; only the comments that stay get one.
-    """
-    found = comment_depth(messages).join(threads.select("thread_id").distinct(), "thread_id", "left_semi")
-    kept = messages.join(found.select("message_id"), "message_id", "left_semi")
-    return comment_depth(kept, with_path=True)
-
-
-def first_comments(replies: DataFrame, n: int | None) -> DataFrame:
-    """(thread_id, message_id, place) of the comments of each thread, depth first, the first
-    ``n`` or all."""
-    if n is not None:
-        replies = first_rows(replies, ["thread_id"], [F.asc("path")], n)
-    order = Window.partitionBy("thread_id").orderBy("path")
-    return replies.withColumn("place", F.row_number().over(order).cast("bigint")).select("thread_id", "message_id", "place")
+def in_threads(threaded: DataFrame, threads: DataFrame, most: int) -> DataFrame:
+    """(thread_id, message_id, place) of the first ``most`` comments, depth first, below each
+    post of ``threads`` (thread_id); ``threaded`` comes from ``comment_depth``."""
+    kept = threaded.join(threads.select("thread_id").distinct(), "thread_id", "left_semi")
+    return thread_places(kept).where(F.col("place") <= most).select("thread_id", "message_id", "place")
 
 
 def thread_limit(
@@ -151,8 +162,8 @@ def thread_limit(
     most = limit if posts_per_forum is None else min(posts_per_forum, limit)
     posts = cut_lineage(first_rows(wanted, ["subreddit"], newest, most))
     most = limit if comments_per_post is None else min(comments_per_post, limit)
-    replies = in_threads(messages, posts.select(F.col("message_id").alias("thread_id")))
-    taken = cut_lineage(first_comments(replies, most))
+    threaded = comment_depth(messages)
+    taken = cut_lineage(in_threads(threaded, posts.select(F.col("message_id").alias("thread_id")), most))
     given = taken.groupBy("thread_id").agg(F.count("*").alias("given"))
     queue = posts.join(given, posts["message_id"] == given["thread_id"], "left").select(
         "message_id", "subreddit", "created_at", F.coalesce("given", F.lit(0)).alias("given")
@@ -180,5 +191,5 @@ def thread_limit(
     )
     tail = thread.select("thread_id", F.col("thread_id").alias("message_id"), F.lit(0).cast("bigint").alias("place"))
     if rest > 1:
-        tail = tail.unionByName(first_comments(in_threads(messages, thread), rest - 1))
+        tail = tail.unionByName(in_threads(threaded, thread, rest - 1))
     return rows.unionByName(tail) if rest > 0 else rows
