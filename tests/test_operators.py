@@ -447,7 +447,7 @@ def test_places_of_random_threads(spark, seed):
 
 
 def test_places_on_a_long_chain(spark):
-    n = 1500
+    n = 200
     ids = spark.range(n).select(
         F.concat(F.lit("c"), "id").alias("message_id"),
         F.when(F.col("id") == 0, "p").otherwise(F.concat(F.lit("c"), F.col("id") - 1)).alias("parent_id"),
