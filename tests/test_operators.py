@@ -108,6 +108,27 @@ def test_dedup_shrinks_copies_before_the_exchange(spark):
     assert D.dedup_by_ingestion(df).count() == 3
 
 
+def test_dedup_by_id_leaves_texts_where_they_are(spark):
+    df = spark.range(1000).select(
+        (F.col("id") % 300).cast("string").alias("message_id"), F.timestamp_seconds(F.col("id") % 7).alias("created_at"),
+        F.timestamp_seconds(F.col("id") % 3).alias("timestamp"), F.repeat(F.lit("text"), F.col("id").cast("int")).alias("content"),
+        "id", F.col("id").alias("event_id"),
+    )
+    plain = D.dedup_by_event_time(df).collect()
+    by_id = D.dedup_by_event_time(df, row_id="id")
+    assert sorted(by_id.collect()) == sorted(plain)
+    ranking = by_id._jdf.queryExecution().executedPlan().toString().split("Window [")[1]
+    assert "content" not in ranking and "Sort [message_id" in ranking
+    fetched = D.dedup_by_event_time(df, row_id="id", fetch=lambda ids: df.join(ids, "id", "left_semi").where("id > 900"))
+    assert sorted(fetched.collect()) == sorted(r for r in plain if r.id > 900)
+
+
+def test_messages_are_not_written_to_be_read(spark, sf_dir):
+    from tickertide.registry.base import clean
+
+    assert {f.rsplit("/", 2)[-1] for f in clean(spark, sf_dir).inputFiles()} <= {"events.parquet", "documents.parquet"}
+
+
 def test_scan_messages_limit(spark):
     df = spark.createDataFrame(
         [(f"m{i}", "text", "u", at(1 + i), "f", None, "url", i, V.POST, at(1)) for i in range(5)],

@@ -13,7 +13,7 @@ from tickertide.operators import dedup as D
 from tickertide.operators import threads
 from tickertide.operators.universe import is_ticker
 from tickertide.registry import derived
-from tickertide.registry.base import clean, deduped, listing_frame, query, raw
+from tickertide.registry.base import by_id, clean, deduped, listing_frame, query, raw
 from tickertide.registry.scans import STAGED, staged_path
 from tickertide.registry.sql import PERCENT, VALID, confidence, price_expr, select, signals
 from tickertide.sources.messages import scan_staging
@@ -169,12 +169,12 @@ def _daily_thread_pick(spark, sf):
 
 @query("dedup_by_ingestion", select("select message_id, document_id, content from deduped", "deduped"))
 def _dedup_by_ingestion(spark, sf):
-    return D.dedup_by_ingestion(raw(spark, sf)).select("message_id", "document_id", "content")
+    return D.dedup_by_ingestion(raw(spark, sf), **by_id(spark, sf)).select("message_id", "document_id", "content")
 
 
 @query("dedup_by_event_time", select("select message_id, document_id, content from clean", "clean"))
 def _dedup_by_event_time(spark, sf):
-    return D.dedup_by_event_time(C.valid_content(raw(spark, sf))).select(
+    return D.dedup_by_event_time(C.valid_content(raw(spark, sf)), **by_id(spark, sf)).select(
         "message_id", "document_id", "content"
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickertide import vocab as V
 from tickertide.operators import universe as U
 from tickertide.registry import derived
-from tickertide.registry.base import listing_frame, query, raw
+from tickertide.registry.base import by_id, listing_frame, query, raw
 from tickertide.registry.sql import VALID, select
 from tickertide.session import scratch_path
 from tickertide.sources import messages as M
@@ -20,7 +20,7 @@ COLUMNS_TEXT = COLUMNS.replace("created_at", "cast(created_at as varchar) as cre
 
 @query("scan_messages", select(f"select {COLUMNS_TEXT} from clean", "clean"))
 def _scan_messages(spark, sf):
-    return M.scan_messages(raw(spark, sf))
+    return M.scan_messages(raw(spark, sf), **by_id(spark, sf))
 
 
 _SINCE = "2024-01-10 06:30:15"
@@ -32,7 +32,7 @@ select {COLUMNS_TEXT} from (select *, row_number() over (partition by message_id
   from raw where {VALID} and created_at > timestamp '{_SINCE}') where rn = 1
 order by created_at desc, message_id limit 250""")
 def _scan_messages_newest(spark, sf):
-    return M.scan_messages(raw(spark, sf), F.lit(f"{_SINCE}.75"), limit=250)
+    return M.scan_messages(raw(spark, sf), F.lit(f"{_SINCE}.75"), limit=250, **by_id(spark, sf))
 
 
 @query("recent_valid_messages", f"""with raw as ({derived.RAW_MESSAGES_SQL})
