@@ -57,7 +57,7 @@ def staged_path(spark, sf) -> str:
         F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
         "message_type", "source", "title", "num_comments", "subreddit", "parent_id",
     )
-    documents.write.json(path)
+    documents.write.option("compression", "gzip").json(path)
     return path
 
 
