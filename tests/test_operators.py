@@ -321,6 +321,47 @@ def test_raw_upsert_keeps_ids(spark):
     assert [r.document_id for r in merge.staging_ack(batch, batch.where("score > 4")).collect()] == ["d3"]
 
 
+def test_raw_upsert_by_id_gives_the_same_rows(spark):
+    from tickertide.session import written
+
+    stored, names = raw_frame(spark, [("d1", "m1", "old", 1, "s1", at(1)), ("d1b", "m1", "copy", 2, "s1", at(1)),
+                                      ("d2", "m2", "stay", 3, None, at(1)), ("d0", None, "no id", 3, None, at(1))])
+    batch, _ = raw_frame(spark, [("d9", "m1", None, 7, "s9", at(3)), ("d8", "m1", "older", 6, "s8", at(2)),
+                                 ("d3", "m3", "new", 4, "s3", at(3)), ("d3", "m3", "older", 4, "s3", at(2)),
+                                 ("d4", None, "no id", 5, None, at(3)), ("d4", None, "no id", 5, None, at(3))])
+    plain = rows(merge.raw_upsert(stored, batch).select(*names), "document_id", "score")
+    numbered = written(batch.withColumn("n", F.monotonically_increasing_id()), "numbered")
+    views = {"fetch_stored": lambda ids: stored.withColumn("n", F.xxhash64("document_id")).join(ids, "n", "left_semi"),
+             "fetch_batch": lambda ids: numbered.join(ids, "n")}
+    assert numbered.select("n").distinct().count() == 6
+    got = merge.raw_upsert(stored, numbered, row_id="n")
+    assert rows(got.select(*names), "document_id", "score") == plain
+    viewed = merge.raw_upsert(stored.withColumn("n", F.xxhash64("document_id")), numbered, row_id="n", **views)
+    assert rows(viewed.select(*names), "document_id", "score") == plain
+    # What meets no stored row does not move.
+    empty = spark.createDataFrame([], schemas.RAW_MESSAGES)
+    plan = merge.raw_upsert(empty, numbered, row_id="n")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and merge.raw_upsert(empty, numbered, row_id="n").count() == 4
+
+
+def test_dropped_rows_are_taken_out_in_place(spark):
+    """Few dropped keys are broadcast; with more, a hot key is spread. The rows are the same."""
+    df = spark.range(0, 3000, 1, 8).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.lit("text").alias("content"))
+    dropped = spark.range(0, 1500).select(F.col("id").alias("k"))
+    few, many = (D.without_rows(df, dropped, "k", most) for most in (1500, 1499))
+    assert rows(few, "id") == rows(many, "id") and few.count() == 2000
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_texts_get_the_tasks_asked_for(spark, sf_dir):
+    from tickertide.registry.base import clean
+
+    rows_ = clean(spark, sf_dir)
+    assert rows_.rdd.getNumPartitions() >= 24  # the ids alone would be one task
+    assert rows_.count() > 0
+
+
 def test_field_merge(spark):
     stored = spark.createDataFrame([("a", "t", 1)], "id string, title string, score int")
     batch = spark.createDataFrame([("a", None, "f"), ("b", "u", None)], "id string, title string, forum string")
