@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickertide.session import written
-from tickertide.sources.tables import merge_raw
+from tickertide.sources.tables import merge_raw, numbered
 
 FILES_PER_BATCH = 1000
 
@@ -44,6 +44,6 @@ def ingest_stream(
 
     def save(batch: DataFrame, _: int) -> None:
         rows = normalize(batch) if normalize else batch
-        merge_raw(batch.sparkSession, root, written(rows, "staged"))
+        merge_raw(batch.sparkSession, root, written(numbered(rows), "staged"))
 
     return staged.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).outputMode("append")
