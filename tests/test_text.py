@@ -192,3 +192,23 @@ def test_compound_from_top_label(spark):
     )
     got = [r.v for r in rows.select(S.compound_from_top_label(F.col("l")).alias("v")).collect()]
     assert got == [0.9, -0.876, 0.0, 0.0, 0.0]
+
+
+def test_few_gaps_give_the_same_context(spark, monkeypatch):
+    """Windows that few gaps fill, and windows that only all gaps fill, as if all were joined."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["AB", "AB ", "$AB", "é", "x ", "word " * rng.randint(1, 9)]) for _ in range(120)) for _ in range(60)]
+    few = column(spark, texts, lambda t: X.ticker_context(t, F.lit("AB"), 30))
+    monkeypatch.setattr(X, "FEW_GAPS", ())
+    assert few == column(spark, texts, lambda t: X.ticker_context(t, F.lit("AB"), 30))
+
+
+def test_words_of_mentions_are_looked_for_once(spark):
+    """Sentiment and signals share them, as one column."""
+    from tickertide.operators.mentions import find_mentions
+
+    names = "message_id string, content string, title string, author string, created_at timestamp, subreddit string, url string, score bigint, message_type string"
+    rows = find_mentions(spark.createDataFrame([("m1", "buy AAPL, buying calls, no buyer", None, None, None, None, None, 1, None)], names), ["AAPL"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(X._whole_words(tuple(t for group in V.TERM_GROUPS for t in group))) == 1
+    assert [(r.sentiment_positive, r.signals) for r in rows.collect()] == [(1.0, ["BUY"])]
