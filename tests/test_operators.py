@@ -354,6 +354,21 @@ def test_dropped_rows_are_taken_out_in_place(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_numbered_rows_stay_where_they_are(spark):
+    """Any number of ids is broadcast a bit each; with too many bitmaps both are joined."""
+    from tickertide.session import written
+
+    df = written(spark.range(0, 200_000, 1, 3).select("id", F.monotonically_increasing_id().alias("n")), "rows")
+    ids = df.where("id % 7 = 0 or id between 32760 and 32780").select("n")
+    few, many = D.numbered_rows(df, ids, "n"), D.numbered_rows(df, ids, "n", most=1)
+    wanted = sorted(i for i in range(200_000) if i % 7 == 0 or 32760 <= i <= 32780)
+    for got in (few, many):
+        assert sorted(r.id for r in got.collect()) == wanted and got.columns == df.columns
+    assert D.numbered_rows(df, ids.limit(0), "n").count() == 0
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_texts_get_the_tasks_asked_for(spark, sf_dir):
     from tickertide.registry.base import clean
 

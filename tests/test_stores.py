@@ -104,6 +104,26 @@ def test_key_index(spark, tmp_path):
     assert len(again.generations()) == 1 and again.stored(spark.range(25000).select(F.concat(F.lit("k"), "id").alias("key"))).count() == 20000
 
 
+def test_append_moves_contexts_to_their_day_only(spark, tmp_path, monkeypatch):
+    """Contexts lie where the batch had them until they are written by day."""
+    root, plans, write = str(tmp_path / "root"), [], tables.written
+    tables.create_tables(spark, root)
+
+    def spied(df, name):
+        if "context" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(tables, "written", spied)
+    first = [mention("a", "AMD", 1), mention("a", "AMD", 2), mention("b", None, 1)]
+    tables.mentions_append_new(spark, root, frame(spark, first))
+    again = frame(spark, [*first, mention("c", "AMD", 2), mention("c", "AMD", 3)])
+    added = tables.mentions_append_new(spark, root, again, keep_added=True)
+    assert [r.message_id for r in added.collect()] == ["c"]
+    assert sorted(r.message_id for r in tables.read_table(spark, root, "stock_mentions").collect()) == ["a", "b", "c"]
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+
+
 def test_append_after_one_that_did_not_end(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "root")
     tables.create_tables(spark, root)
