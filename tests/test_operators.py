@@ -535,6 +535,17 @@ def test_places_on_a_long_chain(spark):
     assert got.count() == n and odd.count() == 0
 
 
+def test_depth_of_a_chain_keeps_the_guessed_size_small(spark):
+    ids = spark.range(40).select(
+        F.concat(F.lit("c"), "id").alias("message_id"),
+        F.when(F.col("id") == 0, "p").otherwise(F.concat(F.lit("c"), F.col("id") - 1)).alias("parent_id"),
+        F.lit(V.COMMENT).alias("message_type"), F.lit(at(1)).alias("created_at"))
+    got = threads.comment_depth(ids)
+    size = got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(size).bit_length() < 64
+    assert got.agg(F.max("depth")).first()[0] == 39
+
+
 def test_running_sums_of_a_group_over_many_ranges(spark):
     rows = spark.range(5000).select(
         "id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),

@@ -11,7 +11,7 @@ from tickertide import vocab as V
 from tickertide.operators.dedup import first_rows
 from tickertide.operators.running import running_sums
 from tickertide.operators.skew import skew_join
-from tickertide.session import cut_lineage
+from tickertide.session import cut_lineage, written
 
 
 def comment_depth(messages: DataFrame) -> DataFrame:
@@ -31,14 +31,15 @@ def comment_depth(messages: DataFrame) -> DataFrame:
     parents = comments.select(F.col("message_id").alias("parent_id"), F.lit(True).alias("nested"))
     start = skew_join(comments, parents, "parent_id", F.xxhash64("message_id"), "left")
     nested = F.coalesce(F.col("nested"), F.lit(False))
-    state = cut_lineage(
+    state = written(
         start.select(
             "message_id", "parent_id", "created_at",
             # "at": the comment looked up to so far; null once the top is known.
             F.when(nested, F.col("parent_id")).alias("at"),
             F.when(nested, 1).otherwise(0).alias("depth"),
             F.when(~nested, F.col("parent_id")).alias("thread_id"),
-        )
+        ),
+        "paths",
     )
     # Every path is walked once the steps are as long as there are comments.
     rounds = comments.count().bit_length()
@@ -63,7 +64,8 @@ def comment_depth(messages: DataFrame) -> DataFrame:
             (F.col("depth") + F.col("more")).alias("depth"),
             F.col("next_thread").alias("thread_id"),
         )
-        state = cut_lineage(state.where(F.col("at").isNull()).unionByName(moved))
+        # A checkpoint would hand on the guessed size of the join, which is squared each round.
+        state = written(state.where(F.col("at").isNull()).unionByName(moved), "paths")
     return state.drop("at")
 
 
@@ -78,21 +80,22 @@ def thread_places(threaded: DataFrame) -> DataFrame:
     spread over all tasks. Comments in or below a circle have no place.
     """
     up = F.when(F.col("depth") > 0, F.col("parent_id"))
-    tree = cut_lineage(threaded.withColumn("_up", up))
+    # Tables rather than checkpoints, as in ``comment_depth``: they tell their size.
+    tree = written(threaded.withColumn("_up", up), "threads")
     known = tree.where(F.col("depth").isNotNull())
     rounds = (known.agg(F.max("depth")).first()[0] or 0).bit_length()
     sizes = known.select("message_id", "_up", F.lit(1).cast("bigint").alias("size"))
     for _ in range(rounds):
         below = sizes.where(F.col("_up").isNotNull()).groupBy(F.col("_up").alias("message_id")).agg(F.sum("size").alias("below"))
         grown = sizes.join(below, "message_id", "left").withColumn("size", F.col("size") + F.coalesce("below", F.lit(0)))
-        sizes = cut_lineage(stepped(grown.drop("below"), sizes.select("message_id", "_up")))
+        sizes = written(stepped(grown.drop("below"), sizes.select("message_id", "_up")), "sizes")
     family = known.join(sizes.select("message_id", "size"), "message_id").select("message_id", "parent_id", "created_at", "_up", "size")
     earlier = running_sums(family, "parent_id", ["created_at", "message_id"], "size", "earlier")
-    places = cut_lineage(earlier.select("message_id", "_up", (F.col("earlier") + 1).alias("place")))
+    places = written(earlier.select("message_id", "_up", (F.col("earlier") + 1).alias("place")), "places")
     for _ in range(rounds):
         above = places.select("message_id", "_up", F.col("place").alias("above"))
         moved = stepped(places, above).withColumn("place", F.col("place") + F.coalesce("above", F.lit(0)))
-        places = cut_lineage(moved.drop("above"))
+        places = written(moved.drop("above"), "places")
     return tree.drop("_up").join(places.select("message_id", "place"), "message_id", "left")
 
 
