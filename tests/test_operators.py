@@ -463,6 +463,24 @@ def test_accumulate_equals_one_run(spark):
             assert shown(total) == shown(whole)
 
 
+def test_hourly_accumulate_adds_up_hours_of_both_batches(spark, monkeypatch):
+    from tickertide.registry import mention_queries as Q
+    from tickertide.registry.base import QUERIES
+
+    times = [datetime(2024, 1, 15, 11, 10), datetime(2024, 1, 15, 11, 50), datetime(2024, 1, 15, 12, 29),
+             datetime(2024, 1, 15, 12, 30), datetime(2024, 1, 16, 3, 59), None]
+    df = mention_frame(spark, [("A", t, "f", 0.5 + i / 10, 0.5, ["BUY"], f"c{i}") for i, t in enumerate(times)])
+    sides, accumulate = [], G.accumulate
+    monkeypatch.setattr(Q, "stored_mentions", lambda *_: df)
+    monkeypatch.setattr(G, "accumulate", lambda a, b, g: sides.append((a, b)) or accumulate(a, b, g))
+    got = QUERIES["hourly_accumulate"](spark, "")
+    [(early, late)] = sides
+    assert rows(early.join(late, ["ticker", "hour_start"]).select("hour_start"), "hour_start") == [
+        (datetime(2024, 1, 15, 11),), (datetime(2024, 1, 15, 12),)]
+    whole = G.summarize(df, G.HOURLY).withColumn("hour_start", F.col("hour_start").cast("string")).select(*got.columns)
+    assert rows(got, "hour_start") == rows(whole, "hour_start") and got.count() == 4
+
+
 def test_summary_plan_combines_before_the_exchange(spark):
     df = mention_frame(spark, [("A", at(7), "f", 0.5, 0.1, ["BUY"], "c")])
     plan = G.hourly_summary(df)._jdf.queryExecution().executedPlan().toString()
