@@ -212,3 +212,11 @@ def test_words_of_mentions_are_looked_for_once(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(X._whole_words(tuple(t for group in V.TERM_GROUPS for t in group))) == 1
     assert [(r.sentiment_positive, r.signals) for r in rows.collect()] == [(1.0, ["BUY"])]
+
+
+def test_words_that_begin_like_no_ticker_are_passed_over(spark):
+    texts = ["Amd aMd, amazing AMAZE! am_d xamd am é amd 9am am9 brk ax"]
+    got = column(spark, texts, lambda t: X.candidate_words(t, None, ["AM", "BR"]))
+    every = column(spark, texts, lambda t: X.candidate_words(t, None))
+    assert got == [[w for w in found if w[:2] in ("AM", "BR")] for found in every] and "AMAZE" in got[0]
+    assert column(spark, texts, lambda t: X.candidate_words(t, None, [])) == [[]]
