@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tickertide import schemas
 from tickertide.operators.clean import normalize_message
 from tickertide.plans import run as R
+from tickertide.session import prepare, shared_folder
 from tickertide.sources import tables
+from tickertide.sources.files import names
 from tickertide.sources.keys import KeyIndex
 from tickertide.sources.snapshots import Conflict, Snapshots
 from tickertide.streaming import staging
+from tickertide.streaming.incremental import incremental
 from tickertide.streaming.staging import ingest_stream, staged_stream
 
 
@@ -206,3 +209,95 @@ def test_staged_stream(spark, tmp_path, monkeypatch):
     drain(spark, root, folder, archive, progress)
     archived = [f for _, _, names in os.walk(archive) for f in names if f.endswith(".json")]
     assert len(archived) >= 2 and stored(spark, root) == stored(spark, plain)
+
+
+def scratch(spark):
+    """Tables with texts that are made on the way."""
+    return {n for n in names(spark, shared_folder(spark)) if n.startswith(("staged-", "merged-", "mentions-"))}
+
+
+def test_ingest_keeps_texts_where_they_are_and_drops_its_tables(spark, tmp_path, monkeypatch):
+    root, plans, write = str(tmp_path / "root"), [], tables.written
+
+    def spied(df, name):
+        if name == "staged":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(tables, "written", spied)
+    kind = [("d1", "m1", "one", "2024-01-01T00:00:00Z", 1.7e9, 1), (None, "m2", "two", None, 1.7e9, 2), ("d3", None, "three", None, None, 3)]
+    docs = normalize_message(spark.createDataFrame(kind, DOCUMENT))
+    before = scratch(spark)
+    tables.ingest_raw(spark, root, docs)
+    read = lambda: sorted((r.content, r.score) for r in spark.read.schema(schemas.RAW_MESSAGES).parquet(f"{root}/raw_messages").collect())
+    assert len(read()) == 3
+    more = [*kind, ("d4", "m1", "four", "2024-01-03T00:00:00Z", 1.7e9 + 2e5, 4), ("d1", "m9", "processed", None, 1.7e9, 9)]
+    tables.ingest_raw(spark, root, normalize_message(spark.createDataFrame(more, DOCUMENT)))
+    assert read() == [("four", 4), ("three", 3), ("two", 2)]
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    assert scratch(spark) == before
+
+
+def test_ingest_stream_drops_its_tables(spark, tmp_path):
+    root, folder, archive, progress = (str(tmp_path / n) for n in ("root", "in/staged", "done", "progress"))
+    before = scratch(spark)
+    put(spark, folder, [("d1", "m1", "one", "2024-01-01T00:00:00Z", 1.7e9, 1)])
+    drain(spark, root, folder, archive, progress)
+    assert [r[0] for r in stored(spark, root)] == ["d1"] and scratch(spark) == before
+
+
+MESSAGE = ("message_id string, content string, author string, created_at timestamp, subreddit string, title string, url string, "
+           "score bigint, message_type string, timestamp timestamp, n bigint")
+
+
+def some_messages(spark):
+    day = datetime(2024, 1, 3)
+    return spark.createDataFrame([("a", "buy AMD", "x", day, "s", None, "u", 1, "REDDIT_COMMENT", day, 1),
+                                  ("b", "sell TSLA and AMD", "x", None, "s", None, "u", 1, "REDDIT_COMMENT", None, 2)], MESSAGE)
+
+
+def test_mentions_are_written_once_by_a_stream(spark, tmp_path, monkeypatch):
+    root, files, again = str(tmp_path / "root"), str(tmp_path / "files"), []
+    tables.create_tables(spark, root)
+    some_messages(spark).write.parquet(files)
+    write = tables.written
+    monkeypatch.setattr(tables, "written", lambda df, name: again.append("context" in df.columns) or write(df, name))
+    before = scratch(spark)
+    for _ in range(2):
+        stream = spark.readStream.schema(MESSAGE).parquet(files)
+        writer = incremental(stream, root, ["AMD", "TSLA"], str(tmp_path / f"progress{len(again)}"), row_id="n")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert tables.read_table(spark, root, "stock_mentions").count() == 3
+    assert again and not any(again) and scratch(spark) == before
+
+
+def test_run_drops_its_mentions(spark, tmp_path, monkeypatch):
+    again, write, before = [], tables.written, scratch(spark)
+    monkeypatch.setattr(tables, "written", lambda df, name: again.append("context" in df.columns) or write(df, name))
+    for mode in ("exact", "accumulate"):
+        report = R.run(spark, str(tmp_path / mode), some_messages(spark), ["AMD", "TSLA"], mode=mode).head()
+        assert (report.messages, report.mentions, report.hourly) == (2, 3, 1)
+    assert again and not any(again) and scratch(spark) == before
+
+
+def test_days_are_written_in_groups(spark, tmp_path, monkeypatch):
+    days = [1, 1, 1, 2, 3, 3, 4, None, None]
+    kind = "v int, timestamp timestamp"
+    df = spark.createDataFrame([(i, datetime(2024, 1, d) if d else None) for i, d in enumerate(days)], kind)
+    dated = tables.with_event_date(df, "timestamp")
+    text = lambda groups: [[str(d)[-1] if d else None for d in g] for g in groups]
+    assert text(tables.day_groups(dated, rows=3, most=9)) == [[None, "1"], ["2", "3"], ["4"]]
+    assert text(tables.day_groups(dated, rows=1, most=2)) == [[None, "1"], ["2", "3", "4"]]
+    assert text(tables.day_groups(dated)) == [[None, "1", "2", "3", "4"]] and tables.day_groups(dated.limit(0)) == []
+    groups = tables.day_groups
+    monkeypatch.setattr(tables, "day_groups", lambda d: groups(d, rows=2))
+    path = str(tmp_path / "days")
+    tables.partition_and_cluster(df, path)
+    read = lambda: sorted((r.v, str(r.event_date)) for r in spark.read.schema(f"{kind}, event_date date").parquet(path).collect())
+    assert read() == sorted((i, f"2024-01-0{d}" if d else "None") for i, d in enumerate(days))
+    tables.partition_and_cluster(df.where("v in (3, 4)").withColumn("v", F.col("v") + 10), path, mode="overwrite")
+    assert [v for v, _ in read()] == [0, 1, 2, 6, 7, 8, 13, 14]
+
+
+def test_exchanged_rows_do_not_wait_for_the_drivers_garbage(spark):
+    assert prepare(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
