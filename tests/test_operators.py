@@ -354,6 +354,26 @@ def test_dropped_rows_are_taken_out_in_place(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_rows_that_meet_no_dropped_key_stay(spark):
+    """With more keys than are broadcast their bits are: only rows that may meet one move."""
+    df = spark.range(0, 3000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.lit("text").alias("content"))
+    many = D.without_rows(df, spark.range(0, 1500).select(F.col("id").alias("k")), "k", 1499)
+    assert many.count() == 2000 and many.where("k is null").count() == 1000
+    assert "bitmap_construct_agg" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_upsert_leaves_texts_that_nobody_reads(spark):
+    from tickertide.session import written
+
+    stored, _ = raw_frame(spark, [("d1", "m1", "old", 1, "s1", at(1))])
+    batch, _ = raw_frame(spark, [("d2", "m1", "new", 2, "s2", at(2)), ("d3", None, "no id", 3, None, at(2))])
+    batch = written(batch, "upserted")
+    merged = merge.raw_upsert(stored, batch).select("message_id", "score")
+    assert sorted(r.score for r in merged.collect()) == [2, 3]
+    scans = [x for x in merged._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x and "upserted" in x]
+    assert scans and not any("content" in x for x in scans)
+
+
 def test_numbered_rows_stay_where_they_are(spark):
     """Any number of ids is broadcast a bit each; with too many bitmaps both are joined."""
     from tickertide.session import written
