@@ -44,6 +44,7 @@ def ingest_stream(
 
     def save(batch: DataFrame, _: int) -> None:
         rows = normalize(batch) if normalize else batch
-        merge_raw(batch.sparkSession, root, written(numbered(rows), "staged"))
+        staged = written(numbered(rows), "staged")
+        merge_raw(batch.sparkSession, root, staged, staged)
 
     return staged.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).outputMode("append")
