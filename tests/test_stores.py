@@ -211,23 +211,37 @@ def test_staged_stream(spark, tmp_path, monkeypatch):
     assert len(archived) >= 2 and stored(spark, root) == stored(spark, plain)
 
 
-def scratch(spark):
-    """Tables with texts that are made on the way."""
-    return {n for n in names(spark, shared_folder(spark)) if n.startswith(("staged-", "merged-", "mentions-"))}
+def spied(monkeypatch, *modules):
+    """The tables with texts that these modules write on the way, as (path, columns)."""
+    made = []
+    for module in modules:
+        def spy(df, name, write=module.written):
+            table = write(df, name)
+            if name in ("staged", "merged", "mentions"):
+                made.append((table._written, df.columns))
+            return table
+
+        monkeypatch.setattr(module, "written", spy)
+    return made
+
+
+def all_gone(spark, made):
+    there = names(spark, shared_folder(spark))
+    return bool(made) and not any(path.split("/")[-1] in there for path, _ in made)
 
 
 def test_ingest_keeps_texts_where_they_are_and_drops_its_tables(spark, tmp_path, monkeypatch):
     root, plans, write = str(tmp_path / "root"), [], tables.written
 
-    def spied(df, name):
+    def planned(df, name):
         if name == "staged":
             plans.append(df._jdf.queryExecution().executedPlan().toString())
         return write(df, name)
 
-    monkeypatch.setattr(tables, "written", spied)
+    monkeypatch.setattr(tables, "written", planned)
+    made = spied(monkeypatch, tables)
     kind = [("d1", "m1", "one", "2024-01-01T00:00:00Z", 1.7e9, 1), (None, "m2", "two", None, 1.7e9, 2), ("d3", None, "three", None, None, 3)]
     docs = normalize_message(spark.createDataFrame(kind, DOCUMENT))
-    before = scratch(spark)
     tables.ingest_raw(spark, root, docs)
     read = lambda: sorted((r.content, r.score) for r in spark.read.schema(schemas.RAW_MESSAGES).parquet(f"{root}/raw_messages").collect())
     assert len(read()) == 3
@@ -235,15 +249,15 @@ def test_ingest_keeps_texts_where_they_are_and_drops_its_tables(spark, tmp_path,
     tables.ingest_raw(spark, root, normalize_message(spark.createDataFrame(more, DOCUMENT)))
     assert read() == [("four", 4), ("three", 3), ("two", 2)]
     assert len(plans) == 2 and not any("Exchange" in p for p in plans)
-    assert scratch(spark) == before
+    assert all_gone(spark, made)
 
 
-def test_ingest_stream_drops_its_tables(spark, tmp_path):
+def test_ingest_stream_drops_its_tables(spark, tmp_path, monkeypatch):
     root, folder, archive, progress = (str(tmp_path / n) for n in ("root", "in/staged", "done", "progress"))
-    before = scratch(spark)
+    made = spied(monkeypatch, tables, staging)
     put(spark, folder, [("d1", "m1", "one", "2024-01-01T00:00:00Z", 1.7e9, 1)])
     drain(spark, root, folder, archive, progress)
-    assert [r[0] for r in stored(spark, root)] == ["d1"] and scratch(spark) == before
+    assert [r[0] for r in stored(spark, root)] == ["d1"] and all_gone(spark, made)
 
 
 MESSAGE = ("message_id string, content string, author string, created_at timestamp, subreddit string, title string, url string, "
@@ -257,27 +271,26 @@ def some_messages(spark):
 
 
 def test_mentions_are_written_once_by_a_stream(spark, tmp_path, monkeypatch):
-    root, files, again = str(tmp_path / "root"), str(tmp_path / "files"), []
+    import tickertide.streaming.incremental as stream_module
+
+    root, files = str(tmp_path / "root"), str(tmp_path / "files")
     tables.create_tables(spark, root)
     some_messages(spark).write.parquet(files)
-    write = tables.written
-    monkeypatch.setattr(tables, "written", lambda df, name: again.append("context" in df.columns) or write(df, name))
-    before = scratch(spark)
-    for _ in range(2):
+    made, again = spied(monkeypatch, stream_module), spied(monkeypatch, tables)
+    for i in range(2):
         stream = spark.readStream.schema(MESSAGE).parquet(files)
-        writer = incremental(stream, root, ["AMD", "TSLA"], str(tmp_path / f"progress{len(again)}"), row_id="n")
+        writer = incremental(stream, root, ["AMD", "TSLA"], str(tmp_path / f"progress{i}"), row_id="n")
         writer.trigger(availableNow=True).start().awaitTermination()
     assert tables.read_table(spark, root, "stock_mentions").count() == 3
-    assert again and not any(again) and scratch(spark) == before
+    assert len(made) == 2 and not again and all_gone(spark, made)
 
 
 def test_run_drops_its_mentions(spark, tmp_path, monkeypatch):
-    again, write, before = [], tables.written, scratch(spark)
-    monkeypatch.setattr(tables, "written", lambda df, name: again.append("context" in df.columns) or write(df, name))
+    made, again = spied(monkeypatch, R), spied(monkeypatch, tables)
     for mode in ("exact", "accumulate"):
         report = R.run(spark, str(tmp_path / mode), some_messages(spark), ["AMD", "TSLA"], mode=mode).head()
         assert (report.messages, report.mentions, report.hourly) == (2, 3, 1)
-    assert again and not any(again) and scratch(spark) == before
+    assert len(made) == 2 and not again and all_gone(spark, made)
 
 
 def test_days_are_written_in_groups(spark, tmp_path, monkeypatch):
